@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendcast.functions.scalars import month_name
 from spendcast.operators.reshape import pivot_wide
 from spendcast.schemas import BUDGETS
 
@@ -67,7 +68,7 @@ def revenue(spark: SparkSession, folder: str) -> DataFrame:
 def budgets(spark: SparkSession, folder: str) -> DataFrame:
     """orders as budgets in millions and ROI per month name."""
     channels = dict(zip(ORDER_CHANNELS, BUDGETS))
-    named = spend(spark, folder).select(F.date_format("DATE", "MMMM").alias("MONTH"), "CHANNEL", "TOTAL_COST")
+    named = spend(spark, folder).select(month_name("DATE").alias("MONTH"), "CHANNEL", "TOTAL_COST")
     wide = pivot_wide(named, "CHANNEL", "TOTAL_COST", channels, ["MONTH"])
     millions = [F.floor(F.floor(b) / 1000000).cast("bigint").alias(b) for b in BUDGETS]
     total = sum((F.floor(b).cast("bigint") for b in BUDGETS[1:]), F.floor(BUDGETS[0]).cast("bigint"))
@@ -79,8 +80,8 @@ def scenarios(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("SCENARIO_ID"),
         F.col("l_quantity").cast("bigint").alias("SEARCHENGINE"),
-        F.round(F.col("l_discount") * 100).cast("bigint").alias("SOCIALMEDIA"),
-        F.round(F.col("l_tax") * 100).cast("bigint").alias("VIDEO"),
+        F.rint(F.col("l_discount") * 100).cast("bigint").alias("SOCIALMEDIA"),
+        F.rint(F.col("l_tax") * 100).cast("bigint").alias("VIDEO"),
         (F.col("l_linenumber") * 10).cast("bigint").alias("EMAIL"),
     )
 

@@ -16,10 +16,15 @@ from spendcast.entries.common import (
     revenue,
     spend,
 )
+from spendcast.entries.training import report_sql
+from spendcast.jobs import call
+from spendcast.operators.reshape import recode
 from spendcast.plans.features import spend_per_month_wide
+from spendcast.plans.training import model_runs
+from spendcast.schemas import CHANNEL_COLUMNS, MONTH_KEYS, TRAIN_REPORT
 from spendcast.sources.landing import bulk_load, load_new_files, narrow_counts, read_csv, stream_csv
 from spendcast.sources.tables import append_by_name, create_or_replace_table, overwrite_table
-from spendcast.streaming.refresh import Refresh, current_features
+from spendcast.streaming.refresh import Refresh, current_features, retrain_with
 from spendcast.workspace import new_folder
 
 _SPEND = T.StructType(
@@ -82,8 +87,8 @@ def _load(spark: SparkSession, root: str) -> None:
     load_new_files(source, f"{root}/table", f"{root}/checkpoint").awaitTermination()
 
 
-def refresh_chain(spark: SparkSession, folder: str) -> DataFrame:
-    """Features after two drops of spend and revenue, each followed by a refresh."""
+def _refresh_twice(spark: SparkSession, folder: str, retrain=None) -> str:
+    """Two drops of spend and revenue, each followed by a refresh; returns the root folder."""
     root = new_folder(spark, "refresh")
     costs, income = spend(spark, folder), revenue(spark, folder)
     first_year = int(_SECOND_DROP[:4])
@@ -91,22 +96,55 @@ def refresh_chain(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("DATE") < _SECOND_DROP, F.col("YEAR") < first_year),
         (F.col("DATE") >= _SECOND_DROP, F.col("YEAR") >= first_year),
     )
-    for early_costs, early_income in drops:
-        costs.filter(early_costs).write.mode("append").parquet(f"{root}/spend")
-        income.filter(early_income).write.mode("append").parquet(f"{root}/revenue")
+    for some_costs, some_income in drops:
+        costs.filter(some_costs).write.mode("append").parquet(f"{root}/spend")
+        income.filter(some_income).write.mode("append").parquet(f"{root}/revenue")
         Refresh(
             spark,
             spark.readStream.schema(costs.schema).parquet(f"{root}/spend"),
             spark.readStream.schema(income.schema).parquet(f"{root}/revenue"),
             f"{root}/out",
             ORDER_CHANNELS,
+            retrain,
         ).run_once()
-    features = current_features(spark, f"{root}/out")
+    return f"{root}/out"
+
+
+def refresh_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """The features after the second refresh."""
+    features = current_features(spark, _refresh_twice(spark, folder))
     return features.select(
         "YEAR", "MONTH", *[F.col(c).cast("decimal(28,2)").alias(c) for c in (*ORDER_CHANNELS.values(), "REVENUE")]
     )
 
 
+def refresh_retrain(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of the training run that followed the second refresh."""
+    root = _refresh_twice(spark, folder, retrain_with(folds=0))
+    runs = model_runs(spark, root)
+    last = runs.agg(F.max("version").alias("version")).scalar()
+    report = [f.name for f in TRAIN_REPORT]
+    rounded = {c: F.round(c, 6) for c in ("train_r2", "test_r2")}
+    return runs.filter(F.col("version") == last).select(*report).withColumns(rounded)
+
+
+def job_feature_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Spend with channel codes and revenue as tables, then the feature job by name."""
+    codes = dict(zip(ORDER_CHANNELS, CHANNEL_COLUMNS))
+    names = {}
+    for kind, rows in (
+        ("spend", recode(spend(spark, folder), codes, ["CHANNEL"])),
+        ("revenue", revenue(spark, folder)),
+    ):
+        path = new_folder(spark, kind)
+        names[kind] = f"{kind}_{path[-12:]}"
+        overwrite_table(rows, names[kind], path)
+    path = new_folder(spark, "features")
+    name = f"features_{path[-12:]}"
+    call(spark, "build_feature_table", names["spend"], names["revenue"], name, path)
+    return spark.table(name)
+
+
 _BOTH_SQL = (
     f"{SPEND_SQL} UNION ALL BY NAME SELECT CAST(value AS DECIMAL(18,2)) AS TOTAL_COST, "
     "event_type AS CHANNEL, CAST(ts AS DATE) AS DATE FROM events"
@@ -119,4 +157,6 @@ ENTRIES = {
     "append_by_name": Entry(append_rows_by_name, _BOTH_SQL),
     "incremental_load": Entry(incremental_load, SPEND_SQL),
     "refresh_chain": Entry(refresh_chain, FEATURES_SQL),
+    "refresh_retrain": Entry(refresh_retrain, report_sql(FEATURES_SQL, MONTH_KEYS)),
+    "job_feature_table": Entry(job_feature_table, FEATURES_SQL),
 }

@@ -18,7 +18,7 @@ from spendcast.entries.common import (
     spend,
     table,
 )
-from spendcast.functions.scalars import fixed_text, percent_change
+from spendcast.functions.scalars import fixed_decimals, month_name, percent_change
 from spendcast.operators.reshape import (
     flag_equal,
     last_by_order,
@@ -154,9 +154,7 @@ def top_n_sorted(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _with_month_name(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").select(
-        "o_orderkey", F.date_format(F.col("o_orderdate").cast("date"), "MMMM").alias("MONTH")
-    )
+    return table(spark, folder, "orders").select("o_orderkey", month_name("o_orderdate").alias("MONTH"))
 
 
 def custom_order_index(spark: SparkSession, folder: str) -> DataFrame:
@@ -185,7 +183,7 @@ def pct_change(spark: SparkSession, folder: str) -> DataFrame:
 def format_label(spark: SparkSession, folder: str) -> DataFrame:
     value = F.col("o_totalprice") / F.lit(100000.0)
     return table(spark, folder, "orders").select(
-        "o_orderkey", fixed_text("$ %.2f million", value, 2).alias("ROI_LABEL")
+        "o_orderkey", F.concat(F.lit("$ "), fixed_decimals(value, 2), F.lit(" million")).alias("ROI_LABEL")
     )
 
 
@@ -273,16 +271,10 @@ ENTRIES = {
         "WITH means AS (SELECT year(o_orderdate) * 12 + month(o_orderdate) AS ix, "
         "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean FROM orders GROUP BY 1), "
         "last AS (SELECT arg_max(mean, ix) AS roi FROM means) "
-        # Adding zero turns a negative zero into zero.
-        "SELECT o_orderkey, round_even((o_totalprice - roi) / roi * 100, 1) + 0.0 AS CHANGE_PCT FROM orders, last",
+        "SELECT o_orderkey, round_even((o_totalprice - roi) / roi * 100, 1) AS CHANGE_PCT FROM orders, last",
     ),
-    # Half-even rounding spelled out on whole cents.
     "format_label": Entry(
-        format_label,
-        "WITH cents AS (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS c FROM orders), "
-        "parts AS (SELECT o_orderkey, c // 100000 AS q, c % 100000 AS r FROM cents) "
-        "SELECT o_orderkey, printf('$ %.2f million', "
-        "(q + CASE WHEN r > 50000 OR (r = 50000 AND q % 2 = 1) THEN 1 ELSE 0 END) / 100.0) AS ROI_LABEL FROM parts",
+        format_label, "SELECT o_orderkey, printf('$ %.2f million', o_totalprice / 100000.0) AS ROI_LABEL FROM orders"
     ),
     "absolute_value": Entry(absolute_value, "SELECT c_custkey, abs(c_acctbal) AS BALANCE FROM customer"),
     "array_of_columns": Entry(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from spendcast.entries.common import BUDGETS_SQL, SCENARIOS_SQL, Entry, budgets, scenarios
 from spendcast.entries.scoring import MODEL, polynomial_sql
@@ -34,14 +33,12 @@ def last_month_roi(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scenario_vs_last(spark: SparkSession, folder: str) -> DataFrame:
-    compared = plans.scenario_vs_last_month(scenarios(spark, folder), budgets(spark, folder), MODEL)
-    return compared.withColumn("PREDICTED_ROI", F.round("PREDICTED_ROI", 6))
+    return plans.scenario_vs_last_month(scenarios(spark, folder), budgets(spark, folder), MODEL)
 
 
 def scenario_dataset(spark: SparkSession, folder: str) -> DataFrame:
     predicted = plans.predict_scenarios(scenarios(spark, folder), MODEL)
-    rows = plans.scenario_dataset(budgets(spark, folder), predicted)
-    return rows.withColumn("ROI", F.round("ROI", 6))
+    return plans.scenario_dataset(budgets(spark, folder), predicted)
 
 
 def save_scenario(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,7 +48,7 @@ def save_scenario(spark: SparkSession, folder: str) -> DataFrame:
     create_or_replace_table(spark, name, BUDGET_ALLOCATIONS_AND_ROI_DDL, path)
     append_by_name(budgets(spark, folder), name)
     plans.save_scenarios(plans.predict_scenarios(scenarios(spark, folder), MODEL), name)
-    return spark.table(name).withColumn("ROI", F.round("ROI", 6))
+    return spark.table(name)
 
 
 _THOUSANDS = [f"CAST({b} * 1000 AS DOUBLE)" for b in BUDGETS]
@@ -82,8 +79,8 @@ ENTRIES = {
         scenario_vs_last,
         f"WITH p AS ({_PREDICTED_SQL}), l AS ({_LAST_SQL}), c AS (SELECT SCENARIO_ID, PREDICTED_ROI, LAST_ROI, "
         "round_even((PREDICTED_ROI - LAST_ROI) / LAST_ROI * 100, 1) AS CHANGE_PCT FROM p, l) "
-        "SELECT SCENARIO_ID, round(PREDICTED_ROI, 6) AS PREDICTED_ROI, LAST_ROI, CHANGE_PCT, "
-        "printf('$ %.2f million', round_even(PREDICTED_ROI, 2)) AS ROI_LABEL, "
+        "SELECT SCENARIO_ID, PREDICTED_ROI, LAST_ROI, CHANGE_PCT, "
+        "printf('$ %.2f million', PREDICTED_ROI) AS ROI_LABEL, "
         "printf('%.1f %% vs last month', CHANGE_PCT) AS CHANGE_LABEL FROM c",
     ),
     "scenario_dataset": Entry(
@@ -92,12 +89,12 @@ ENTRIES = {
         f"{', '.join(BUDGETS)}, PREDICTED_ROI AS ROI FROM ({_PREDICTED_SQL})), "
         f"rows AS ({_long('actual', 'CAST(NULL AS BIGINT) AS SCENARIO_ID, MONTH, ROI')} "
         f"UNION ALL {_long('future', 'SCENARIO_ID, MONTH, ROI')}) "
-        f"SELECT SCENARIO_ID, MONTH, round(ROI, 6) AS ROI, {_LABEL_CASE} AS CHANNEL, BUDGET, "
+        f"SELECT SCENARIO_ID, MONTH, ROI, {_LABEL_CASE} AS CHANNEL, BUDGET, "
         f"CAST(list_position({_MONTHS}, MONTH) AS INT) AS MONTH_IX, MONTH = 'July' AS IS_SCENARIO FROM rows",
     ),
     "save_scenario": Entry(
         save_scenario,
-        f"SELECT MONTH, {', '.join(BUDGETS)}, round(ROI, 6) AS ROI FROM ({BUDGETS_SQL}) UNION ALL "
-        f"SELECT 'July' AS MONTH, {', '.join(BUDGETS)}, round(PREDICTED_ROI, 6) AS ROI FROM ({_PREDICTED_SQL})",
+        f"SELECT MONTH, {', '.join(BUDGETS)}, ROI FROM ({BUDGETS_SQL}) UNION ALL "
+        f"SELECT 'July' AS MONTH, {', '.join(BUDGETS)}, PREDICTED_ROI AS ROI FROM ({_PREDICTED_SQL})",
     ),
 }

@@ -27,18 +27,18 @@ def polynomial_sql(s: str, o: str, v: str, e: str) -> str:
     return f"abs(({INTERCEPT}e0) + {' + '.join(terms)})"
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    return df.select("l_orderkey", "l_linenumber", F.round("PREDICTED_ROI", 6).alias("PREDICTED_ROI"))
+def _predictions(df: DataFrame) -> DataFrame:
+    return df.select("l_orderkey", "l_linenumber", "PREDICTED_ROI")
 
 
 def score_fixed_weights(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(score(row_features(spark, folder), MODEL))
+    return _predictions(score(row_features(spark, folder), MODEL))
 
 
 def score_array_function(spark: SparkSession, folder: str) -> DataFrame:
     register_array_function(spark, MODEL, "predict_roi")
     prediction = F.call_udf("predict_roi", F.array(*FEATURES))
-    return _rounded(row_features(spark, folder).withColumn("PREDICTED_ROI", prediction))
+    return _predictions(row_features(spark, folder).withColumn("PREDICTED_ROI", prediction))
 
 
 def score_sql_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,7 +46,7 @@ def score_sql_text(spark: SparkSession, folder: str) -> DataFrame:
     return run_sql(
         spark,
         "SELECT l_orderkey, l_linenumber, "
-        "round(predict_roi(array(SEARCH_ENGINE * :unit, SOCIAL_MEDIA * :unit, VIDEO * :unit, EMAIL * :unit)), 6) "
+        "predict_roi(array(SEARCH_ENGINE * :unit, SOCIAL_MEDIA * :unit, VIDEO * :unit, EMAIL * :unit)) "
         "AS PREDICTED_ROI FROM {scenarios}",
         {"unit": 2.0},
         scenarios=row_features(spark, folder),
@@ -56,11 +56,11 @@ def score_sql_text(spark: SparkSession, folder: str) -> DataFrame:
 def score_batch(spark: SparkSession, folder: str) -> DataFrame:
     register_batch_function(spark, MODEL, "batch_predict_roi")
     prediction = F.call_udf("batch_predict_roi", *FEATURES)
-    return _rounded(row_features(spark, folder).withColumn("PREDICTED_ROI", prediction))
+    return _predictions(row_features(spark, folder).withColumn("PREDICTED_ROI", prediction))
 
 
 _INPUTS = ("l_quantity", "l_discount", "l_tax", "CAST(l_linenumber AS DOUBLE)")
-_SQL = f"SELECT l_orderkey, l_linenumber, round({polynomial_sql(*_INPUTS)}, 6) AS PREDICTED_ROI FROM lineitem"
+_SQL = f"SELECT l_orderkey, l_linenumber, {polynomial_sql(*_INPUTS)} AS PREDICTED_ROI FROM lineitem"
 _DOUBLED = [f"({text} * 2)" for text in _INPUTS]
 
 ENTRIES = {
@@ -69,6 +69,6 @@ ENTRIES = {
     "score_batch": Entry(score_batch, _SQL),
     "score_sql_text": Entry(
         score_sql_text,
-        f"SELECT l_orderkey, l_linenumber, round({polynomial_sql(*_DOUBLED)}, 6) AS PREDICTED_ROI FROM lineitem",
+        f"SELECT l_orderkey, l_linenumber, {polynomial_sql(*_DOUBLED)} AS PREDICTED_ROI FROM lineitem",
     ),
 }

@@ -29,7 +29,6 @@ from spendcast.plans.features import feature_table
 from spendcast.plans.training import (
     current_model,
     fold_frame,
-    prepared_rows,
     report_frame,
     revenue_pipeline,
     to_polynomial,
@@ -108,15 +107,8 @@ def saved_model_predictions(spark: SparkSession, folder: str) -> DataFrame:
     months = _months(spark, folder)
     root = new_folder(spark, "models")
     train_revenue_model(months, folds=0, train_threshold=-1e9, test_threshold=-1e9, save_root=root)
-    scored = score(months, to_polynomial(current_model(spark, root)))
-    rows = prepared_rows(scored.select(*MONTH_KEYS, *FEATURES, "REVENUE"))
-    return scored.join(rows.select(*MONTH_KEYS, "IS_TEST"), list(MONTH_KEYS)).select(
-        *MONTH_KEYS, "IS_TEST", F.round("PREDICTED_ROI").alias("PREDICTED_ROI")
-    )
-
-
-def _bucket(digest: str, first: int, buckets: int) -> str:
-    return f"CAST(CAST('0x' || substr({digest}, {first}, 8) AS BIGINT) % {buckets} AS INT)"
+    scored = score(with_split(months, MONTH_KEYS), to_polynomial(current_model(spark, root)))
+    return scored.select(*MONTH_KEYS, "IS_TEST", F.round("PREDICTED_ROI").alias("PREDICTED_ROI"))
 
 
 def _digest(keys: tuple[str, ...]) -> str:
@@ -125,9 +117,10 @@ def _digest(keys: tuple[str, ...]) -> str:
 
 
 def split_sql(source: str, keys: tuple[str, ...], folds: int = 10) -> str:
-    digest = _digest(keys)
+    number = f"CAST('0x' || substr({_digest(keys)}, 1, 8) AS BIGINT)"
     return (
-        f"SELECT *, {_bucket(digest, 1, 10)} < 2 AS IS_TEST, {_bucket(digest, 9, folds)} AS FOLD FROM ({source})"
+        f"SELECT * EXCLUDE n, n % 10 < 2 AS IS_TEST, CAST(n // 10 % {folds} AS INT) AS FOLD "
+        f"FROM (SELECT *, {number} AS n FROM ({source}))"
     )
 
 

@@ -24,6 +24,8 @@ def register(name: str, job: Callable[..., Any], replace: bool = True) -> None:
 
 def call(spark: SparkSession, name: str, *args: Any) -> Any:
     """Run a job by name."""
+    if name not in _JOBS:
+        raise LookupError(f"no job {name}; known jobs: {', '.join(sorted(_JOBS))}")
     return _JOBS[name](spark, *args)
 
 
@@ -32,9 +34,11 @@ def build_feature_table(
     spend_table: str = "CAMPAIGN_SPEND",
     revenue_table: str = "MONTHLY_REVENUE",
     features_table: str = "MARKETING_BUDGETS_FEATURES",
+    features_path: str | None = None,
 ) -> str:
     """Rebuild the feature table from the spend and revenue tables."""
-    overwrite_table(feature_table(spark.table(spend_table), spark.table(revenue_table)), features_table)
+    features = feature_table(spark.table(spend_table), spark.table(revenue_table))
+    overwrite_table(features, features_table, features_path)
     return "SUCCESS"
 
 

@@ -24,9 +24,9 @@ def pivot_wide(
     its group keeps its row; a group without a listed name gets NULL there, or 0
     with ``fill_zero``.
 
-    Conditional sums need one aggregation, so rows can come straight from the
-    fact table: each task reduces them to one row per group before the only
-    exchange, however many rows share a group or a name.
+    Conditional sums need one aggregation and one exchange, and each task first
+    reduces its rows to one per group, however many share a group or a name. With
+    few groups and many rows it is cheaper to sum per group and name before.
     """
     if group_columns is None:
         group_columns = [c for c in df.columns if c not in (name_column, value_column)]
@@ -72,8 +72,12 @@ def order_index(column: str | Column, ordered_values: Sequence[str]) -> Column:
 
 
 def sort_by_list(df: DataFrame, column: str, ordered_values: Sequence[str], *then: str) -> DataFrame:
-    """Sort by the position in a fixed list, unknown values last."""
-    return df.orderBy(order_index(column, ordered_values).asc_nulls_last(), *then)
+    """Sort by the position in a fixed list, unknown values last, then by further columns.
+
+    A short list gives few distinct keys, and a range sort would send all rows of one
+    value to one task. The row hash as last key lets it cut within a value.
+    """
+    return df.orderBy(order_index(column, ordered_values).asc_nulls_last(), *then, F.xxhash64(*df.columns))
 
 
 def last_by_order(

@@ -21,10 +21,9 @@ def key_digest(keys: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws(":", *parts, F.lit(str(seed))))
 
 
-def digest_bucket(digest: Column, buckets: int, first_digit: int = 1) -> Column:
-    """Eight hex digits of a digest as a bucket number below ``buckets``."""
-    number = F.conv(F.substring(digest, first_digit, 8), 16, 10).cast("bigint")
-    return (number % F.lit(buckets)).cast("int")
+def digest_number(digest: Column) -> Column:
+    """The first eight hex digits of a digest as a whole number."""
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
 def with_split(
@@ -36,11 +35,11 @@ def with_split(
 ) -> DataFrame:
     """Add IS_TEST, and FOLD (0 to folds - 1) when ``folds`` is given.
 
-    Both come from separate digits of one digest, so the fold of a row says
-    nothing about its side of the split.
+    The last decimal digit of the hash decides the side of the split and the digits
+    before it the fold, so the fold of a row says nothing about its side.
     """
-    digest = key_digest(keys, seed)
-    columns = {"IS_TEST": digest_bucket(digest, 10) < F.lit(test_tenths)}
+    number = digest_number(key_digest(keys, seed))
+    columns = {"IS_TEST": number % F.lit(10) < F.lit(test_tenths)}
     if folds:
-        columns["FOLD"] = digest_bucket(digest, folds, first_digit=9)
+        columns["FOLD"] = (F.floor(number / F.lit(10)) % F.lit(folds)).cast("int")
     return df.withColumns(columns)

@@ -26,11 +26,11 @@ def spend_per_month_wide(
 ) -> DataFrame:
     """Total cost per year and month, one column per listed channel.
 
-    Straight from daily rows in one aggregation; the same result as pivoting
-    ``spend_per_channel`` with one exchange less.
+    Summed per channel first: a daily row then updates one total, where pivoting it
+    directly would update one per listed channel. Both exchanges carry a few rows per
+    task, one for each month and channel.
     """
-    daily = spend.select(*month_of("DATE"), "CHANNEL", "TOTAL_COST")
-    return pivot_wide(daily, "CHANNEL", "TOTAL_COST", channels, MONTH_KEYS, fill_zero)
+    return pivot_wide(spend_per_channel(spend), "CHANNEL", "TOTAL_COST", channels, MONTH_KEYS, fill_zero)
 
 
 def revenue_per_month(revenue: DataFrame) -> DataFrame:
@@ -59,7 +59,9 @@ def feature_table(
 def flag_partial_month(monthly: DataFrame, value: str = LABEL, ratio: float = 0.5) -> DataFrame:
     """Mark the last month when its value is below ``ratio`` times the mean of all months."""
     index = F.col("YEAR") * 12 + F.col("MONTH")
-    # A scalar subquery returns one row by definition: no join, nothing to collect.
-    last = monthly.agg(F.max(index).alias("last")).scalar()
-    mean = monthly.agg(F.avg(F.col(value).cast("double")).alias("mean")).scalar()
-    return monthly.withColumn("IS_PARTIAL", (index == last) & (F.col(value) < mean * F.lit(ratio)))
+    # One scalar subquery for both figures: it needs the same columns as the frame
+    # itself, so Spark reuses the monthly totals and the source is read once.
+    figures = F.struct(F.max(index).alias("last"), F.avg(F.col(value).cast("double")).alias("mean"))
+    whole = monthly.agg(figures.alias("whole")).scalar()
+    is_last = index == whole["last"]
+    return monthly.withColumn("IS_PARTIAL", is_last & (F.col(value) < whole["mean"] * F.lit(ratio)))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendcast.functions.scalars import fixed_text, percent_change
+from spendcast.functions.scalars import fixed_decimals, percent_change
 from spendcast.functions.scoring import Polynomial
 from spendcast.operators.reshape import flag_equal, last_by_order, order_index, recode, unpivot_long
 from spendcast.schemas import BUDGETS, CHANNEL_LABELS, FEATURES, MONTH_NAMES, SCENARIO_MONTH
@@ -94,8 +94,8 @@ def scenario_vs_last_month(
     compared = compared.withColumn("CHANGE_PCT", percent_change(F.col("PREDICTED_ROI"), F.col("LAST_ROI")))
     return compared.withColumns(
         {
-            "ROI_LABEL": fixed_text("$ %.2f million", F.col("PREDICTED_ROI"), 2),
-            "CHANGE_LABEL": fixed_text("%.1f %% vs last month", F.col("CHANGE_PCT"), 1),
+            "ROI_LABEL": F.concat(F.lit("$ "), fixed_decimals(F.col("PREDICTED_ROI"), 2), F.lit(" million")),
+            "CHANGE_LABEL": F.concat(fixed_decimals(F.col("CHANGE_PCT"), 1), F.lit(" % vs last month")),
         }
     )
 
@@ -111,19 +111,18 @@ def scenario_dataset(
     ``predicted`` comes from ``predict_scenarios``. History rows carry no SCENARIO_ID:
     they are stored once, not once per scenario.
     """
-    history = budget_history_long(budgets, scenario_month)
-    wide = predicted.select(
+    future = predicted.select(
         "SCENARIO_ID",
         F.lit(scenario_month).alias("MONTH"),
         *BUDGETS,
         F.col("PREDICTED_ROI").alias("ROI"),
     )
-    scenario_rows = unpivot_long(wide, "Budget", "Channel", BUDGETS)
-    rows = history.unionByName(scenario_rows, allowMissingColumns=True)
-    rows = rows.withColumns(
+    # All that depends on the month alone is computed before a row becomes four.
+    wide = actual_months(budgets, scenario_month).unionByName(future, allowMissingColumns=True)
+    wide = wide.withColumns(
         {"MONTH_IX": order_index("MONTH", months), "IS_SCENARIO": flag_equal("MONTH", scenario_month)}
     )
-    return recode(rows, CHANNEL_LABELS, ["CHANNEL"])
+    return recode(unpivot_long(wide, "Budget", "Channel", BUDGETS), CHANNEL_LABELS, ["CHANNEL"])
 
 
 def save_scenarios(predicted: DataFrame, table: str, scenario_month: str = SCENARIO_MONTH) -> None:

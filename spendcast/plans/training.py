@@ -16,7 +16,6 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import product
 
 import numpy as np
 from pyspark import StorageLevel
@@ -100,13 +99,11 @@ def prepared_rows(
     features: Sequence[str] = FEATURES,
     label: str = LABEL,
 ) -> DataFrame:
-    """Keys, features and label as doubles, IS_TEST and FOLD."""
-    keys = list(keys or split_keys(df))
-    marked = with_split(df, keys, seed, folds=folds)
+    """Features and label as doubles, IS_TEST and FOLD; the keys have done their work."""
+    marked = with_split(df, list(keys or split_keys(df)), seed, folds=folds)
     numbers = [F.col(c).cast("double").alias(c) for c in (*features, label)]
-    kept = [c for c in keys if c not in (*features, label)]
     marks = ["IS_TEST", "FOLD"] if folds else ["IS_TEST"]
-    return marked.select(*kept, *numbers, *marks)
+    return marked.select(*numbers, *marks)
 
 
 def r2_by_split(rows: DataFrame, polynomial: Polynomial, label: str = LABEL) -> dict[bool, dict]:
@@ -145,24 +142,26 @@ def cross_validate(
     terms is again a term, so one grouped aggregation gives the equations of every
     fold. What reaches the driver is one row per fold, whatever the number of rows.
     """
-    terms = ((0,) * len(polynomial.features), *polynomial.exponents)
-    products = sorted({tuple(a + b for a, b in zip(s, t)) for s, t in product(terms, terms)})
-    place = {e: i for i, e in enumerate(products)}
+    features = polynomial.features
+    terms = ((0,) * len(features), *polynomial.exponents)
+    # Each distinct product, with one pair of terms that makes it.
+    products = {tuple(a + b for a, b in zip(terms[i], terms[j])): (i, j) for i in range(len(terms)) for j in range(i + 1)}
+    place = {exponents: k for k, exponents in enumerate(products)}
 
     scaled = rows.filter(~F.col("IS_TEST")).select(
         "FOLD",
         ((F.col(label) - F.lit(mean)) / F.lit(variance**0.5 or 1.0)).alias("y"),
         *[
-            ((F.col(f) - F.lit(c)) / F.lit(s)).alias(f"x{i}")
-            for i, (f, c, s) in enumerate(zip(polynomial.features, polynomial.centers, polynomial.scales))
+            ((F.col(f) - F.lit(center)) / F.lit(scale)).alias(f"x{i}")
+            for i, (f, center, scale) in enumerate(zip(features, polynomial.centers, polynomial.scales))
         ],
     )
-    x = [F.col(f"x{i}") for i in range(len(polynomial.features))]
-    y = F.col("y")
-    sums = [F.sum(_term(x, e)).alias(f"p{i}") for i, e in enumerate(products)]
-    sums += [F.sum(_term(x, e) * y).alias(f"q{i}") for i, e in enumerate(terms)]
-    sums.append(F.sum(y * y).alias("yy"))
-    folds = {r["FOLD"]: r for r in scaled.groupBy("FOLD").agg(*sums).collect()}
+    inputs = [F.col(f"x{i}") for i in range(len(features))]
+    expanded = scaled.select("FOLD", "y", *[_term(inputs, e).alias(f"t{i}") for i, e in enumerate(terms)])
+    sums = [F.sum(F.col(f"t{i}") * F.col(f"t{j}")).alias(f"p{k}") for k, (i, j) in enumerate(products.values())]
+    sums += [F.sum(F.col(f"t{i}") * F.col("y")).alias(f"q{i}") for i in range(len(terms))]
+    sums.append(F.sum(F.col("y") * F.col("y")).alias("yy"))
+    folds = {r["FOLD"]: r for r in expanded.groupBy("FOLD").agg(*sums).collect()}
 
     def equations(row) -> tuple[np.ndarray, np.ndarray, float]:
         gram = [[row[f"p{place[tuple(a + b for a, b in zip(s, t))]}"] for t in terms] for s in terms]
