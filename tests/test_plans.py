@@ -1,0 +1,97 @@
+"""What the physical plans must and must not contain."""
+
+from __future__ import annotations
+
+import pytest
+
+from spendcast.entries import all_entries
+from spendcast.entries.common import ORDER_CHANNELS, revenue, spend
+from spendcast.plans.features import feature_table, flag_partial_month, revenue_per_month, spend_per_month_wide
+from spendcast.workspace import new_folder, shared_folder
+from tests.helpers import final_plan
+
+FOLDER = "/root/testdata/sf0.001"
+ENTRIES = all_entries()
+# Queries that only build a plan; the others also write files or train.
+LAZY = [
+    n
+    for n in ENTRIES
+    if n.split("_")[0] not in {"csv", "bulk", "overwrite", "append", "incremental", "refresh", "job", "save", "saved"}
+    and n not in {"train_report", "train_report_rows", "cv_scores", "cv_scores_rows", "ols_degree1", "ols_quadratic"}
+]
+
+
+def scan_schemas(plan: str) -> list[str]:
+    return [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema: " in line]
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_no_cross_join_and_python_only_where_named(spark, name):
+    plan = ENTRIES[name].run(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert ("Python" in plan) == (name == "score_batch")
+    assert "SortAggregate" not in plan
+
+
+def test_feature_table_reads_the_needed_columns(spark):
+    plan = final_plan(feature_table(spend(spark, FOLDER), revenue(spark, FOLDER), ORDER_CHANNELS))
+    assert set(scan_schemas(plan)) == {
+        "struct<o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string>",
+        "struct<l_extendedprice:double,l_shipdate:timestamp_ntz>",
+    }
+    assert "IsNotNull(o_orderdate)" in plan and "IsNotNull(l_shipdate)" in plan
+
+
+def test_only_totals_are_shuffled(spark):
+    """Every exchange sits above a partial aggregate, so no raw row is moved."""
+    frame = feature_table(spend(spark, FOLDER), revenue(spark, FOLDER), ORDER_CHANNELS)
+    plan = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [plan[i + 1] for i, line in enumerate(plan) if "Exchange hashpartitioning" in line]
+    assert len(below) == 3
+    assert all("HashAggregate" in line and "partial_sum" in line for line in below)
+
+
+def test_sort_merge_join_needs_no_further_exchange(spark):
+    """Keys on both sides are int, so totals meet where the aggregates left them."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        frame = feature_table(spend(spark, FOLDER), revenue(spark, FOLDER), ORDER_CHANNELS)
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "SortMergeJoin" in plan
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_sorts_below_the_output_are_dropped(spark):
+    sorted_first = spend(spark, FOLDER).orderBy("DATE")
+    plan = spend_per_month_wide(sorted_first, ORDER_CHANNELS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" not in plan
+
+
+def test_year_bounds_reach_the_scan(spark):
+    plan = final_plan(ENTRIES["spend_wide_years"].run(spark, FOLDER))
+    assert "GreaterThanOrEqual(o_orderdate,1996-01-01" in plan and "LessThan(o_orderdate,1998-01-01" in plan
+
+
+def test_partial_month_reads_the_source_once(spark):
+    plan = final_plan(flag_partial_month(revenue_per_month(revenue(spark, FOLDER))))
+    assert "ReusedExchange" in plan
+    assert len(set(scan_schemas(plan))) == 1
+
+
+def test_top_n_is_not_a_full_sort(spark):
+    assert "TakeOrderedAndProject" in final_plan(ENTRIES["top_n_sorted"].run(spark, FOLDER))
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    folder = shared_folder(spark)
+    if configured:
+        assert folder == configured.rstrip("/")
+    assert spark.conf.get("spark.checkpoint.dir").rstrip("/") == folder
+    assert new_folder(spark, "x").startswith(folder + "/")
+    assert new_folder(spark, "x") != new_folder(spark, "x")

@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from spendcast.functions.scoring import Polynomial
+from spendcast.plans import scenarios as sc
+from spendcast.schemas import BUDGET_ALLOCATIONS_AND_ROI, BUDGET_ALLOCATIONS_AND_ROI_DDL, FEATURES
+from spendcast.sources.tables import append_by_name, create_or_replace_table
+from tests.helpers import final_plan, rows
+
+# Two months share budgets and ROI; a saved July and a row without month are no history.
+HISTORY = [
+    ("January", 30, 40, 50, 60, 8.0),
+    ("February", 70, 40, 50, None, 12.5),
+    ("June", 30, 40, 50, 60, 8.0),
+    ("July", 1, 2, 3, 4, 99.0),
+    (None, 1, 2, 3, 4, 99.0),
+]
+MODEL = Polynomial.plain(FEATURES, 1, (10.0, 20.0, 30.0, 40.0), -50000.0)
+SCENARIOS = [(1, 10, 20, 30, 40), (2, 0, 0, 0, 0)]
+
+
+@pytest.fixture
+def budgets(spark):
+    return spark.createDataFrame(HISTORY, BUDGET_ALLOCATIONS_AND_ROI)
+
+
+@pytest.fixture
+def scenarios(spark):
+    return spark.createDataFrame(SCENARIOS, "SCENARIO_ID long, SEARCHENGINE long, SOCIALMEDIA long, VIDEO long, EMAIL long")
+
+
+def expected_roi(s):
+    return abs(sum(w * b * 1000 for w, b in zip(MODEL.weights, s[1:])) + MODEL.intercept) / 100000
+
+
+def test_history_has_no_scenario_month_and_no_nulls(budgets):
+    long = sc.budget_history_long(budgets)
+    assert long.columns == ["MONTH", "ROI", "CHANNEL", "BUDGET"]
+    assert long.count() == 11
+    assert {r["MONTH"] for r in long.collect()} == {"January", "February", "June"}
+
+
+def test_allocations_and_roi(budgets):
+    assert sc.month_allocations(budgets).columns == ["MONTH", "CHANNEL", "BUDGET"]
+    june = sc.month_allocations(budgets, "June")
+    assert rows(june.select("CHANNEL", "BUDGET", "ROI")) == [
+        ("EMAIL", 60, 8.0), ("SEARCHENGINE", 30, 8.0), ("SOCIALMEDIA", 40, 8.0), ("VIDEO", 50, 8.0),
+    ]
+    assert rows(sc.month_roi(budgets)) == [("February", 12.5), ("January", 8.0), ("June", 8.0)]
+
+
+def test_month_roi_equals_the_distinct_long_history(budgets):
+    assert rows(sc.month_roi(budgets)) == rows(sc.budget_history_long(budgets).select("MONTH", "ROI").distinct())
+
+
+def test_last_month_follows_the_calendar_not_the_row_order(spark, budgets):
+    assert rows(sc.last_month_roi(budgets)) == [(8.0,)]
+    shuffled = spark.createDataFrame(HISTORY[::-1], BUDGET_ALLOCATIONS_AND_ROI)
+    assert rows(sc.last_month_roi(shuffled)) == [(8.0,)]
+    assert rows(sc.last_month_roi(budgets.filter("MONTH <> 'June'"))) == [(12.5,)]
+
+
+def test_comparison(budgets, scenarios):
+    found = sc.scenario_vs_last_month(scenarios, budgets, MODEL).orderBy("SCENARIO_ID").collect()
+    for row, scenario in zip(found, SCENARIOS):
+        roi = expected_roi(scenario)
+        change = float(np.round((np.float64(roi) - 8.0) / 8.0 * 100, 1))
+        assert row["PREDICTED_ROI"] == pytest.approx(roi, rel=1e-12)
+        assert row["LAST_ROI"] == 8.0
+        assert row["CHANGE_PCT"] == change
+        assert row["ROI_LABEL"] == f"$ {roi:.2f} million"
+        assert row["CHANGE_LABEL"] == f"{change:.1f} % vs last month"
+
+
+def test_no_change_against_a_zero_month(spark, scenarios):
+    zero = spark.createDataFrame([("June", 1, 1, 1, 1, 0.0)], BUDGET_ALLOCATIONS_AND_ROI)
+    found = sc.scenario_vs_last_month(scenarios, zero, MODEL).collect()
+    assert len(found) == 2
+    assert all(r["CHANGE_PCT"] is None and r["CHANGE_LABEL"] is None for r in found)
+
+
+def test_comparison_has_no_join(budgets, scenarios):
+    plan = final_plan(sc.scenario_vs_last_month(scenarios, budgets, MODEL))
+    assert "Join" not in plan and "CartesianProduct" not in plan and "Python" not in plan
+
+
+def test_dataset(budgets, scenarios):
+    predicted = sc.predict_scenarios(scenarios, MODEL)
+    data = sc.scenario_dataset(budgets, predicted)
+    assert data.count() == 11 + 8
+    future = data.filter("IS_SCENARIO")
+    assert {r["MONTH"] for r in future.collect()} == {"July"}
+    assert rows(future.filter("SCENARIO_ID = 1").select("CHANNEL", "BUDGET", "MONTH_IX")) == [
+        ("Email", 40, 7), ("Search engine", 10, 7), ("Social media", 20, 7), ("Video", 30, 7),
+    ]
+    past = data.filter("NOT IS_SCENARIO")
+    assert past.filter("SCENARIO_ID IS NOT NULL").count() == 0
+    assert {r["MONTH_IX"] for r in past.collect()} == {1, 2, 6}
+
+
+def test_saving_adds_rows_that_the_history_leaves_out(spark, budgets, scenarios, table_name):
+    create_or_replace_table(spark, table_name, BUDGET_ALLOCATIONS_AND_ROI_DDL)
+    append_by_name(budgets, table_name)
+    predicted = sc.predict_scenarios(scenarios, MODEL)
+    before = rows(sc.budget_history_long(spark.table(table_name)))
+    sc.save_scenarios(predicted, table_name)
+    sc.save_scenarios(predicted.filter("SCENARIO_ID = 1"), table_name)
+    saved = spark.table(table_name).filter("MONTH = 'July' AND ROI <> 99.0")
+    assert saved.count() == 3
+    first = saved.filter("SEARCHENGINE = 10").first()
+    assert (first["SOCIALMEDIA"], first["VIDEO"], first["EMAIL"]) == (20, 30, 40)
+    assert rows(sc.budget_history_long(spark.table(table_name))) == before
