@@ -51,7 +51,8 @@ def feature_table(
     a hot key and its size does not depend on the size of the inputs. YEAR and
     MONTH stay as row keys for the split; ``keep_month=False`` drops them.
     """
-    wide = spend_per_month_wide(spend, channels, fill_zero)
+    # A missing date joins nothing. Said on the column itself, the filter reaches the scan.
+    wide = spend_per_month_wide(spend.filter(F.col("DATE").isNotNull()), channels, fill_zero)
     features = wide.join(revenue_per_month(revenue), list(MONTH_KEYS), "inner").dropna(how="any")
     return features if keep_month else features.drop(*MONTH_KEYS)
 
