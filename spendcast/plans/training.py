@@ -193,14 +193,19 @@ def train_revenue_model(
     keys: Sequence[str] | None = None,
     seed: int = 42,
     version: int | None = None,
+    persist: bool = True,
 ) -> TrainResult:
     """Fit on the training side, score both sides, save if both scores reach their threshold.
 
     Without ``save_root`` nothing is saved. ``folds`` below 2 skips cross validation.
+    A feature table has one row per month and is kept between the passes; for a stored
+    table larger than the cluster's memory, ``persist=False`` reads it again instead.
     """
     folds = folds if folds >= 2 else 0
-    # Spills to disk when large; a lost executor's part is read again from the source.
-    rows = prepared_rows(features, keys, seed, folds).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = prepared_rows(features, keys, seed, folds)
+    if persist:
+        # Spills to disk; a lost executor's part is computed again from the source.
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted = revenue_pipeline(degree).fit(rows.filter(~F.col("IS_TEST")))
         polynomial = to_polynomial(fitted)
@@ -208,7 +213,8 @@ def train_revenue_model(
         train, test = sides[False], sides.get(True)
         scores = cross_validate(rows, polynomial, train["mean"], train["variance"]) if folds else []
     finally:
-        rows.unpersist()
+        if persist:
+            rows.unpersist()
 
     train_r2, test_r2 = train["r2"], test["r2"] if test else None
     passed = passes_gate(train_r2, train_threshold) and passes_gate(test_r2, test_threshold)

@@ -139,7 +139,7 @@ def published_versions(spark: SparkSession, root: str) -> list[int]:
     published = _read_if_present(spark, f"{root}/published", _PUBLISHED)
     if published is None:
         return []
-    return sorted((r["version"] for r in published.distinct().collect()), reverse=True)
+    return sorted({r["version"] for r in published.collect()}, reverse=True)
 
 
 def current_features(spark: SparkSession, root: str) -> DataFrame:

@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="spendcast-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -15,12 +21,11 @@ def shared_folder(spark: SparkSession) -> str:
     folder. On a cluster such a folder would exist on one machine only.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        configured = tempfile.mkdtemp(prefix="spendcast-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return _local_folder()
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

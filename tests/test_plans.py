@@ -7,7 +7,6 @@ import pytest
 from spendcast.entries import all_entries
 from spendcast.entries.common import ORDER_CHANNELS, revenue, spend
 from spendcast.plans.features import feature_table, flag_partial_month, revenue_per_month, spend_per_month_wide
-from spendcast.workspace import new_folder, shared_folder
 from tests.helpers import final_plan
 
 FOLDER = "/root/testdata/sf0.001"
@@ -93,13 +92,3 @@ def test_partial_month_reads_the_source_once(spark):
 
 def test_top_n_is_not_a_full_sort(spark):
     assert "TakeOrderedAndProject" in final_plan(ENTRIES["top_n_sorted"].run(spark, FOLDER))
-
-
-def test_shared_folder_comes_from_the_session(spark):
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    folder = shared_folder(spark)
-    if configured:
-        assert folder == configured.rstrip("/")
-    assert spark.conf.get("spark.checkpoint.dir").rstrip("/") == folder
-    assert new_folder(spark, "x").startswith(folder + "/")
-    assert new_folder(spark, "x") != new_folder(spark, "x")

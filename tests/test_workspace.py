@@ -1,0 +1,35 @@
+from __future__ import annotations
+
+import pytest
+
+from spendcast.workspace import new_folder, shared_folder
+
+
+class Session:
+    """Stands in for a session with given settings."""
+
+    def __init__(self, **settings):
+        self.settings = {k.replace("_", "."): v for k, v in settings.items()}
+        self.conf = self
+
+    def get(self, name, default=None):
+        return self.settings.get(name, default)
+
+
+def test_folder_is_the_one_the_session_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        assert shared_folder(spark) == named.rstrip("/")
+    assert shared_folder(Session(spark_checkpoint_dir="s3a://bucket/x/", spark_master="yarn")) == "s3a://bucket/x"
+
+
+def test_temporary_folder_on_a_local_master_only():
+    local = Session(spark_master="local[8]")
+    assert shared_folder(local) == shared_folder(local)
+    with pytest.raises(ValueError):
+        shared_folder(Session(spark_master="spark://host:7077"))
+
+
+def test_new_folders_differ(spark):
+    first, second = new_folder(spark, "x"), new_folder(spark, "x")
+    assert first != second and first.startswith(shared_folder(spark) + "/")
