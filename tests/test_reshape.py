@@ -133,3 +133,26 @@ def test_filters_and_flag_on_null(spark):
     df = spark.createDataFrame([("July",), ("May",), (None,)], T.StructType([T.StructField("MONTH", T.StringType())]))
     assert rows(df.filter(F.col("MONTH") != "July")) == [("May",)]
     assert rows(df.select(flag_equal("MONTH", "July"))) == [(False,), (False,), (True,)]
+
+
+def test_one_hot_month_and_channel(spark):
+    """A third of all rows in one month and one channel; totals against a plain loop."""
+    four = ("search_engine", "social_media", "video", "email")
+    hot = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("video"))
+        .otherwise(F.element_at(F.array(*[F.lit(c) for c in four]), (F.col("id") % 4 + 1).cast("int")))
+        .alias("CHANNEL"),
+        F.when(F.col("id") % 3 == 0, F.lit(D(2020, 6, 1)))
+        .otherwise(F.date_add(F.lit(D(2019, 1, 1)), (F.col("id") % 900).cast("int")))
+        .alias("DATE"),
+        (F.col("id") % 97).cast("decimal(38,0)").alias("TOTAL_COST"),
+    )
+    totals = {}
+    for i in range(30000):
+        channel = "video" if i % 3 == 0 else four[i % 4]
+        day = D(2020, 6, 1) if i % 3 == 0 else D(2019, 1, 1) + dt.timedelta(days=i % 900)
+        key = (day.year, day.month)
+        totals.setdefault(key, dict.fromkeys(four))
+        totals[key][channel] = (totals[key][channel] or 0) + i % 97
+    expected = sorted(((*k, *[None if v[c] is None else Decimal(v[c]) for c in four]) for k, v in totals.items()), key=repr)
+    assert rows(spend_per_month_wide(hot)) == expected
