@@ -20,10 +20,14 @@ def month_allocations(spark: SparkSession, folder: str) -> DataFrame:
     return plans.month_allocations(budgets(spark, folder))
 
 
-def last_month_allocations(spark: SparkSession, folder: str) -> DataFrame:
+def june_allocations(spark: SparkSession, folder: str) -> DataFrame:
     return plans.month_allocations(budgets(spark, folder), month="June")
 
 
+def last_month_allocations(spark: SparkSession, folder: str) -> DataFrame:
+    return plans.last_month_allocations(budgets(spark, folder))
+
+
 def month_roi(spark: SparkSession, folder: str) -> DataFrame:
     return plans.month_roi(budgets(spark, folder))
 
@@ -70,8 +74,13 @@ _LABEL_CASE = "CASE CHANNEL " + " ".join(f"WHEN '{c}' THEN '{t}'" for c, t in CH
 ENTRIES = {
     "budget_history_long": Entry(budget_history_long, _HISTORY_SQL),
     "month_allocations": Entry(month_allocations, f"SELECT MONTH, CHANNEL, BUDGET FROM ({_HISTORY_SQL})"),
+    "june_allocations": Entry(
+        june_allocations, f"SELECT MONTH, ROI, CHANNEL, BUDGET FROM ({_HISTORY_SQL}) WHERE MONTH = 'June'"
+    ),
     "last_month_allocations": Entry(
-        last_month_allocations, f"SELECT MONTH, ROI, CHANNEL, BUDGET FROM ({_HISTORY_SQL}) WHERE MONTH = 'June'"
+        last_month_allocations,
+        f"WITH history AS ({_HISTORY_SQL}) SELECT MONTH, ROI, CHANNEL, BUDGET FROM history "
+        f"WHERE list_position({_MONTHS}, MONTH) = (SELECT max(list_position({_MONTHS}, MONTH)) FROM history)",
     ),
     "month_roi": Entry(month_roi, f"SELECT DISTINCT MONTH, ROI FROM ({_HISTORY_SQL})"),
     "last_month_roi": Entry(last_month_roi, _LAST_SQL),

@@ -7,8 +7,9 @@ from typing import Any
 
 from pyspark.sql import SparkSession
 
+from spendcast.functions.scoring import Polynomial, register_array_function, register_batch_function
 from spendcast.plans.features import feature_table
-from spendcast.plans.training import train_revenue_model
+from spendcast.plans.training import current_model, to_polynomial, train_revenue_model
 from spendcast.sources.tables import overwrite_table
 from spendcast.workspace import shared_folder
 
@@ -60,5 +61,22 @@ def train_model(
     return result.report
 
 
+def deploy_functions(
+    spark: SparkSession,
+    model_root: str | None = None,
+    array_name: str = "predict_roi",
+    batch_name: str = "batch_predict_roi",
+) -> Polynomial:
+    """Register both scoring functions with the current model, replacing older ones.
+
+    The model is read once, here; its weights travel with the plan.
+    """
+    model = to_polynomial(current_model(spark, model_root or f"{shared_folder(spark)}/spendcast-models"))
+    register_array_function(spark, model, array_name)
+    register_batch_function(spark, model, batch_name)
+    return model
+
+
 register("build_feature_table", build_feature_table)
 register("train_model", train_model)
+register("deploy_functions", deploy_functions)

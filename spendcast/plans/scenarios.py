@@ -45,6 +45,18 @@ def month_allocations(
     return long.drop("ROI")
 
 
+def last_month_allocations(
+    budgets: DataFrame,
+    months: Sequence[str] = MONTH_NAMES,
+    scenario_month: str = SCENARIO_MONTH,
+) -> DataFrame:
+    """Budgets and ROI per channel of the latest month in calendar order."""
+    index = order_index("MONTH", months)
+    actual = actual_months(budgets, scenario_month)
+    last = actual.agg(F.max(index).alias("MONTH_IX")).scalar()
+    return unpivot_long(actual.filter(index == last), "Budget", "Channel", BUDGETS)
+
+
 def month_roi(budgets: DataFrame, scenario_month: str = SCENARIO_MONTH) -> DataFrame:
     """Distinct MONTH, ROI pairs of months with at least one budget.
 

@@ -5,11 +5,13 @@ from decimal import Decimal
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from spendcast import jobs
 from spendcast.plans.features import feature_table
 from spendcast.plans.training import current_model, model_runs, to_polynomial
-from spendcast.schemas import CAMPAIGN_SPEND, CHANNEL_COLUMNS, MONTHLY_REVENUE
+from spendcast.schemas import CAMPAIGN_SPEND, CHANNEL_COLUMNS, FEATURES, MONTHLY_REVENUE
+from spendcast.sources.landing import load_new_files, stream_csv
 from spendcast.sources.tables import overwrite_table
 from spendcast.streaming import refresh as rf
 from tests.helpers import rows
@@ -164,6 +166,31 @@ def test_nothing_published_yet(spark, tmp_path):
         rf.current_features(spark, str(tmp_path / "none"))
 
 
+def test_from_csv_files_to_features(spark, tmp_path):
+    """New files are loaded into the tables, new rows of the tables refresh the features."""
+    sources = {"spend": CAMPAIGN_SPEND, "revenue": MONTHLY_REVENUE}
+
+    def arrive(year):
+        for name, data in zip(sources, month_rows([year], seed=year)):
+            frame = spark.createDataFrame(data, sources[name])
+            frame.write.mode("append").option("header", "true").csv(f"{tmp_path}/landing/{name}")
+
+    def run():
+        for name, schema in sources.items():
+            files = stream_csv(spark, f"{tmp_path}/landing/{name}", schema)
+            load_new_files(files, f"{tmp_path}/tables/{name}", f"{tmp_path}/checkpoints/{name}").awaitTermination()
+        streams = [spark.readStream.schema(s).parquet(f"{tmp_path}/tables/{n}") for n, s in sources.items()]
+        rf.Refresh(spark, *streams, f"{tmp_path}/out").run_once()
+        return rf.current_features(spark, f"{tmp_path}/out")
+
+    arrive(2019)
+    assert run().count() == 12
+    assert run().count() == 12
+    arrive(2020)
+    tables = [spark.read.schema(s).csv(f"{tmp_path}/landing/{n}", header=True) for n, s in sources.items()]
+    close(rows(run()), rows(feature_table(*tables)))
+
+
 def test_jobs_by_name(spark, tmp_path, table_name):
     costs, income = month_rows(range(2012, 2020))
     overwrite_table(spark.createDataFrame(costs, CAMPAIGN_SPEND), "CAMPAIGN_SPEND")
@@ -172,7 +199,16 @@ def test_jobs_by_name(spark, tmp_path, table_name):
     assert spark.table("marketing_budgets_features").count() == 96
     report = jobs.call(spark, "train_model", "MARKETING_BUDGETS_FEATURES", 10, 2, 0.85, 0.85, True, str(tmp_path))
     assert report["model_saved"] and report["train_r2"] > 0.99
-    assert current_model(spark, str(tmp_path)) is not None
+    model = jobs.call(spark, "deploy_functions", str(tmp_path))
+    assert model == to_polynomial(current_model(spark, str(tmp_path)))
+    scored = spark.table("MARKETING_BUDGETS_FEATURES").select(
+        "REVENUE",
+        F.call_udf("predict_roi", F.array(*FEATURES)).alias("by_array"),
+        F.call_udf("batch_predict_roi", *[F.col(f).cast("double") for f in FEATURES]).alias("by_batch"),
+    )
+    for row in scored.collect():
+        assert row["by_array"] == pytest.approx(row["by_batch"], rel=1e-12)
+        assert row["by_array"] == pytest.approx(row["REVENUE"], rel=0.01)
     with pytest.raises(LookupError):
         jobs.call(spark, "no_such_job")
 

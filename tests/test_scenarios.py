@@ -51,6 +51,12 @@ def test_allocations_and_roi(budgets):
     assert rows(sc.month_roi(budgets)) == [("February", 12.5), ("January", 8.0), ("June", 8.0)]
 
 
+def test_last_allocations_follow_the_calendar(spark, budgets):
+    june = rows(sc.month_allocations(budgets, "June"))
+    assert rows(sc.last_month_allocations(budgets)) == june
+    assert rows(sc.last_month_allocations(spark.createDataFrame(HISTORY[::-1], BUDGET_ALLOCATIONS_AND_ROI))) == june
+
+
 def test_month_roi_equals_the_distinct_long_history(budgets):
     assert rows(sc.month_roi(budgets)) == rows(sc.budget_history_long(budgets).select("MONTH", "ROI").distinct())
 
