@@ -138,9 +138,9 @@ def cross_validate(
 ) -> list[dict]:
     """R2 on every fold of a model fitted to the other folds.
 
-    Least squares needs only sums of products, and the product of two polynomial
-    terms is again a term, so one grouped aggregation gives the equations of every
-    fold. What reaches the driver is one row per fold, whatever the number of rows.
+    Least squares needs only sums of products of terms, and those of the other folds
+    add up, so one grouped aggregation serves every fold. Many pairs of terms have the
+    same product, which is summed once. What reaches the driver is one row per fold.
     """
     features = polynomial.features
     terms = ((0,) * len(features), *polynomial.exponents)

@@ -2,16 +2,20 @@ from __future__ import annotations
 
 import itertools
 import math
+import subprocess
+import sys
 
 import numpy as np
 import pytest
 from py4j.protocol import Py4JJavaError
+from pyspark import cloudpickle
 from pyspark.errors import PySparkException
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.sql import functions as F
 
 from spendcast.functions.scoring import (
     Polynomial,
+    batch_function,
     polynomial_exponents,
     register_array_function,
     register_batch_function,
@@ -97,7 +101,7 @@ def test_negative_predictions_are_folded(spark, budgets):
 def test_null_budget_gives_null_everywhere(spark):
     register_array_function(spark, MODEL, "predict_roi")
     register_batch_function(spark, MODEL, "batch_predict_roi")
-    df = spark.createDataFrame([(1, None, 3, 4), (1, 2, 3, 4)], "SEARCH_ENGINE long, SOCIAL_MEDIA long, VIDEO long, EMAIL long")
+    df = spark.createDataFrame([(1, None, 3, 4), (1, 2, 3, 4)], ", ".join(f"{f} long" for f in FEATURES))
     scored = score(df, MODEL, output="a").select(
         "SOCIAL_MEDIA",
         "a",
@@ -134,6 +138,24 @@ def test_batch_scorer_uses_arrow(spark, budgets):
     assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan
 
 
+def test_batch_function_needs_no_package_on_the_workers(tmp_path):
+    """The function travels by value: plain arrays, numpy and pandas."""
+    payload = tmp_path / "function.pkl"
+    payload.write_bytes(cloudpickle.dumps(batch_function(MODEL).func))
+    code = (
+        "import pickle, sys, pandas as pd\n"
+        "f = pickle.load(open(sys.argv[1], 'rb'))\n"
+        "columns = tuple(pd.Series([v]) for v in (250000, 250000, 200000, 450000))\n"
+        "print(repr(next(f(iter([columns])))[0]))\n"
+        "assert not [m for m in sys.modules if m.startswith('spendcast')]\n"
+    )
+    out = subprocess.run(
+        [sys.executable, "-c", code, str(payload)], cwd=tmp_path, capture_output=True, text=True, check=True
+    )
+    value = float(out.stdout.strip().removeprefix("np.float64(").removesuffix(")"))
+    assert value == pytest.approx(by_hand(MODEL, BUDGETS[0]), rel=1e-12)
+
+
 def test_literals_read_back_exactly(spark):
     for value in itertools.chain(MODEL.weights, (1e-300, 123456789.123456789, -1e22, 0.1)):
         model = Polynomial.plain(("x",), 1, (0.0,), value)

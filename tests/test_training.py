@@ -27,7 +27,8 @@ def frame(spark, x, y):
     data = [
         (2000 + i // 12, i % 12 + 1, *[int(v) for v in x[i]], float(y[i])) for i in range(len(y))
     ]
-    return spark.createDataFrame(data, "YEAR int, MONTH int, " + ", ".join(f"{f} bigint" for f in FEATURES) + ", REVENUE double")
+    budgets = ", ".join(f"{f} bigint" for f in FEATURES)
+    return spark.createDataFrame(data, f"YEAR int, MONTH int, {budgets}, REVENUE double")
 
 
 def expand(x, degree=2):
