@@ -27,10 +27,12 @@ def spend_per_month_wide(
     """Total cost per year and month, one column per listed channel.
 
     Summed per channel first: a daily row then updates one total, where pivoting it
-    directly would update one per listed channel. Both exchanges carry a few rows per
-    task, one for each month and channel.
+    directly would update one per listed channel. Unlisted channels share one group, so
+    both exchanges carry a few rows per task and month, however many names there are.
     """
-    return pivot_wide(spend_per_channel(spend), "CHANNEL", "TOTAL_COST", channels, MONTH_KEYS, fill_zero)
+    listed = F.when(F.col("CHANNEL").isin(*channels), F.col("CHANNEL"))
+    per_channel = spend_per_channel(spend.withColumn("CHANNEL", listed))
+    return pivot_wide(per_channel, "CHANNEL", "TOTAL_COST", channels, MONTH_KEYS, fill_zero)
 
 
 def revenue_per_month(revenue: DataFrame) -> DataFrame:
@@ -51,8 +53,12 @@ def feature_table(
     a hot key and its size does not depend on the size of the inputs. YEAR and
     MONTH stay as row keys for the split; ``keep_month=False`` drops them.
     """
-    # A missing date joins nothing. Said on the column itself, the filter reaches the scan.
-    wide = spend_per_month_wide(spend.filter(F.col("DATE").isNotNull()), channels, fill_zero)
+    # A missing date joins nothing, and a month of unlisted channels only is incomplete
+    # unless it is filled. Said on the columns themselves, both filters reach the scan.
+    spend = spend.filter(F.col("DATE").isNotNull())
+    if not fill_zero:
+        spend = spend.filter(F.col("CHANNEL").isin(*channels))
+    wide = spend_per_month_wide(spend, channels, fill_zero)
     features = wide.join(revenue_per_month(revenue), list(MONTH_KEYS), "inner").dropna(how="any")
     return features if keep_month else features.drop(*MONTH_KEYS)
 

@@ -26,9 +26,14 @@ _PUBLISHED = T.StructType([T.StructField("version", T.LongType())])
 _TOTAL_KEYS = (*MONTH_KEYS, "CHANNEL")
 
 
-def arriving_rows(spend: DataFrame, revenue: DataFrame) -> DataFrame:
-    """Both streams as one: a spend row has a cost, a revenue row has a revenue."""
-    costs = spend.select(*month_of("DATE"), "CHANNEL", "TOTAL_COST")
+def arriving_rows(
+    spend: DataFrame, revenue: DataFrame, channels: Mapping[str, str] = CHANNEL_COLUMNS
+) -> DataFrame:
+    """Both streams as one: a spend row has a cost, a revenue row has a revenue.
+
+    Only listed channels are kept, which bounds the totals by months times channels.
+    """
+    costs = spend.filter(F.col("CHANNEL").isin(*channels)).select(*month_of("DATE"), "CHANNEL", "TOTAL_COST")
     revenues = revenue.select(*MONTH_KEYS, LABEL)
     return costs.unionByName(revenues, allowMissingColumns=True)
 
@@ -77,7 +82,7 @@ class Refresh:
     def start(self, interval: str | None = "1 minute") -> StreamingQuery:
         """Start, or go on after a suspend. Without an interval: handle what is there and end."""
         writer = (
-            arriving_rows(self.spend, self.revenue)
+            arriving_rows(self.spend, self.revenue, self.channels)
             .writeStream.foreachBatch(self._batch)
             .option("checkpointLocation", f"{self.root}/checkpoint")
         )

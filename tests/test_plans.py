@@ -38,7 +38,7 @@ def test_feature_table_reads_the_needed_columns(spark):
         "struct<o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string>",
         "struct<l_extendedprice:double,l_shipdate:timestamp_ntz>",
     }
-    assert "PushedFilters: [IsNotNull(o_orderdate)]" in plan
+    assert "PushedFilters: [IsNotNull(o_orderdate), In(o_orderpriority, [1-URGENT" in plan
 
 
 def test_missing_dates_are_left_out_by_the_scan(spark, tmp_path):
@@ -46,7 +46,7 @@ def test_missing_dates_are_left_out_by_the_scan(spark, tmp_path):
     revenue_per_month(revenue(spark, FOLDER)).write.parquet(str(tmp_path / "revenue"))
     stored = [spark.read.parquet(str(tmp_path / n)) for n in ("spend", "revenue")]
     plan = final_plan(feature_table(*stored, ORDER_CHANNELS))
-    assert "PushedFilters: [IsNotNull(DATE)]" in plan
+    assert "PushedFilters: [IsNotNull(DATE), In(CHANNEL, [1-URGENT" in plan
     assert "PushedFilters: [IsNotNull(YEAR), IsNotNull(MONTH)]" in plan
 
 

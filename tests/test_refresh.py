@@ -93,6 +93,15 @@ def test_refresh_equals_a_rebuild(spark, landing):
     close(rows(landing.current()), rows(landing.rebuilt()))
 
 
+def test_totals_hold_listed_channels_only(spark, landing):
+    costs, income = month_rows([2019])
+    junk = [("c", f"junk{i}", dt.date(2019, 1, 1), Decimal(1), Decimal(5), Decimal(1)) for i in range(200)]
+    landing.drop(costs + junk, income)
+    landing.refresh().run_once()
+    assert spark.read.parquet(rf.totals_path(f"{landing.root}/out", 0)).count() == 12 * 5
+    close(rows(landing.current()), rows(landing.rebuilt()))
+
+
 def test_repeated_batch_counts_once(spark, landing):
     landing.drop(*month_rows([2019]))
     refresh = landing.refresh()

@@ -86,6 +86,12 @@ def test_feature_table_edges(spark):
     assert [r["MONTH"] for r in filled.orderBy("MONTH").collect()] == [1, 2, 3]
 
 
+def test_wide_spend_keeps_a_month_of_unlisted_channels(spark):
+    df = spend(spark, ("radio", D(2020, 3, 1), 1), ("tv", D(2020, 3, 1), 1), (None, D(2020, 4, 1), 1))
+    assert rows(spend_per_month_wide(df)) == [(2020, 3, None, None, None, None), (2020, 4, None, None, None, None)]
+    assert rows(spend_per_month_wide(df, fill_zero=True)) == [(2020, 3, 0, 0, 0, 0), (2020, 4, 0, 0, 0, 0)]
+
+
 def test_partial_last_month_is_flagged_and_kept(spark):
     df = spark.createDataFrame([(2022, 3, 3.3), (2022, 4, 3.1), (2022, 5, 1.1)], MONTHLY_REVENUE)
     assert [tuple(r)[1:] for r in flag_partial_month(df).orderBy("MONTH").collect()] == [
