@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendcast.llm import toxicity
+from spendcast.llm import simhash, toxicity
 from spendcast.llm.common import read
 
 
@@ -23,8 +23,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
+    "op7_simhash": op7_simhash,
 }
 
 # SQL for the queries that SQL can express; the others are tested against brute force.
