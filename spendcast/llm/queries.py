@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendcast.llm import simhash, toxicity
+from spendcast.llm import lines, oracles, simhash, toxicity
 from spendcast.llm.common import read
 
 
@@ -23,6 +23,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What line dedup leaves of every document."""
+    cut = lines.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
+    return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -30,8 +36,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
+    "op4_line_dedup": op4_line_dedup,
     "op7_simhash": op7_simhash,
 }
 
 # SQL for the queries that SQL can express; the others are tested against brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": oracles.OP4,
+}
