@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendcast.llm import lines, oracles, simhash, toxicity
+from spendcast.llm import decontaminate, lines, oracles, simhash, toxicity
 from spendcast.llm.common import read
 
 
@@ -29,6 +29,13 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in every document."""
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "similarity", "start_word"
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -37,6 +44,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op4_line_dedup": op4_line_dedup,
+    "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
 }
 
