@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendcast.llm import decontaminate, lines, oracles, simhash, toxicity
+from spendcast.llm import bpe, decontaminate, lines, oracles, simhash, toxicity
 from spendcast.llm.common import read
 
 
@@ -41,11 +42,25 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the bytes they decode to, as digests."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(documents, ranks, public_tokenizers.PATTERN).drop("text")
+    return encoded.select(
+        "doc_id",
+        F.floor(F.length("token_bytes") / 4).cast("long").alias("n_tokens"),
+        F.sha2("token_bytes", 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("token_bytes"), ranks, spark), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
+    "op8_byte_bpe": op8_byte_bpe,
 }
 
 # SQL for the queries that SQL can express; the others are tested against brute force.
