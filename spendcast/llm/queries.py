@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendcast.llm import bpe, decontaminate, lines, oracles, simhash, toxicity
+from spendcast.llm import bpe, decontaminate, lines, oracles, simhash, spotsigs, toxicity
 from spendcast.llm.common import read
 
 
@@ -55,12 +55,18 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how alike they are."""
+    return spotsigs.compare_with_edits(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_spotsigs": op10_spotsigs,
 }
 
 # SQL for the queries that SQL can express; the others are tested against brute force.
