@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendcast.llm import bpe, decontaminate, lines, oracles, simhash, spotsigs, toxicity
+from spendcast.llm import bpe, decontaminate, lines, oracles, simhash, spotsigs, suffixes, toxicity
 from spendcast.llm.common import read
 
 
@@ -30,6 +30,14 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps when strings of 50 bytes that an earlier one has go."""
+    cut = suffixes.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), length=50)
+    return cut.select(
+        "doc_id", "kept.n_bytes", "kept.n_removed", "kept.n_spans", F.sha2("kept.data", 256).alias("kept_sha256")
+    )
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in every document."""
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).select(
@@ -63,6 +71,7 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op4_line_dedup": op4_line_dedup,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
     "op8_byte_bpe": op8_byte_bpe,
