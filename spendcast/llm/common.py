@@ -35,7 +35,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     folder = new_folder(spark, purpose)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

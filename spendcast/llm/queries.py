@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendcast.llm import bpe, decontaminate, lines, oracles, simhash, spotsigs, suffixes, toxicity
+from spendcast.llm import bpe, decontaminate, lines, oracles, simhash, spotsigs, styletree, suffixes, toxicity
 from spendcast.llm.common import read
 
 
@@ -24,6 +24,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    texts = styletree.extract_text(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What line dedup leaves of every document."""
     cut = lines.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
@@ -70,6 +76,7 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
+    "op3_style_tree": op3_style_tree,
     "op4_line_dedup": op4_line_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontamination": op6_decontamination,
