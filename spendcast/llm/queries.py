@@ -8,10 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendcast.llm import bpe, decontaminate, lines, oracles, simhash, spotsigs, styletree, suffixes, toxicity
+from spendcast.llm import bpe, decontaminate, lines, oracles, separators, simhash, spotsigs, styletree, suffixes, toxicity
 from spendcast.llm.common import read
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files that are written for it."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoder = separators.BpeEncoder(ranks, public_tokenizers.PATTERN)
+    # 50256 is the first id that the ranks leave free.
+    return separators.document_token_counts(read(spark, sf_dir, "documents"), encoder, separator=50256, width=2)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -75,6 +83,7 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
     "op3_style_tree": op3_style_tree,
     "op4_line_dedup": op4_line_dedup,
