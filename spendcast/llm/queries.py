@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendcast.llm import bpe, decontaminate, lines, oracles, separators, simhash, spotsigs, styletree, suffixes, toxicity
+from spendcast.llm import bpe, chat, decontaminate, lines, oracles, separators, simhash, spotsigs, styletree, suffixes, toxicity
 from spendcast.llm.common import read
 
 
@@ -77,6 +77,14 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_chat_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns recovered from raw transcripts of every conversation; a third of them is no part of the fit."""
+    lines_of = chat.transcript_lines(read(spark, sf_dir, "conversations"))
+    model = chat.fit_chat_model(lines_of.where(~toxicity.held_out("conv_id")))
+    turns = chat.render(chat.parse_transcripts(lines_of, model))
+    return turns.select("conv_id", "turn_no", "role", "text", "rendered")
+
+
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, and how alike they are."""
     return spotsigs.compare_with_edits(read(spark, sf_dir, "documents"))
@@ -91,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_chat_hmm": op9_chat_hmm,
     "op10_spotsigs": op10_spotsigs,
 }
 
