@@ -26,8 +26,15 @@ def percent_change(new: Column, old: Column, digits: int = 1) -> Column:
 
 
 def fixed_decimals(value: Column, digits: int) -> Column:
-    """A number as text with a fixed count of decimals, ties to even."""
-    return F.call_function("format_number", value, F.lit("0." + "0" * digits))
+    """A number as text with a fixed count of decimals, ties to even; inf, -inf and nan as Python writes them."""
+    number = value.cast("double")
+    text = F.call_function("format_number", value, F.lit("0." + "0" * digits))
+    return (
+        F.when(F.isnan(number), "nan")
+        .when(number == float("inf"), "inf")
+        .when(number == float("-inf"), "-inf")
+        .otherwise(text)
+    )
 
 
 def month_name(date_column: str) -> Column:

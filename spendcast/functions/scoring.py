@@ -12,12 +12,11 @@ from dataclasses import dataclass
 from itertools import product
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-
 def polynomial_exponents(inputs: int, degree: int) -> tuple[tuple[int, ...], ...]:
     """Exponents of all terms up to a degree without the constant.
 
@@ -89,11 +88,16 @@ def score(
 
 
 def register_array_function(spark: SparkSession, model: Polynomial, name: str = "predict_roi") -> None:
-    """Register ``name(array<double>)`` as a SQL function; Spark inlines it into the plan."""
-    items = [f"budget_allocations[{i}]" for i in range(len(model.features))]
+    """Register ``name(array<double>)`` as a SQL function; Spark inlines it into the plan.
+
+    A NULL array gives NULL, an array of another length than the model's inputs is an error.
+    """
+    size = len(model.features)
+    items = [f"budget_allocations[{i}]" for i in range(size)]
     spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(budget_allocations ARRAY<DOUBLE>) "
-        f"RETURNS DOUBLE RETURN abs({model.sql(items)})"
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(budget_allocations ARRAY<DOUBLE>) RETURNS DOUBLE RETURN "
+        f"CASE WHEN budget_allocations IS NULL THEN NULL WHEN size(budget_allocations) = {size} THEN abs({model.sql(items)}) "
+        f"ELSE CAST(raise_error('{name} takes {size} values') AS DOUBLE) END"
     )
 
 
@@ -108,22 +112,25 @@ def batch_function(model: Polynomial):
     scales = np.array(model.scales)
     intercept = model.intercept
 
-    @F.pandas_udf("double")
-    def batch_predict(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def batch_predict(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         used = [[(i, int(e)) for i, e in enumerate(row) if e] for row in exponents]
         for columns in batches:
-            scaled = [
-                (column.to_numpy(dtype="float64", na_value=np.nan) - center) / scale
-                for column, center, scale in zip(columns, centers, scales)
-            ]
-            total = np.full(len(columns[0]), intercept)
+            missing = np.zeros(len(columns[0]), bool)
+            scaled = []
+            for column, center, scale in zip(columns, centers, scales):
+                missing |= column.is_null().to_numpy(zero_copy_only=False)
+                values = column.cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False)
+                scaled.append((values - center) / scale)
+            total = np.full(len(missing), intercept)
             for weight, factors in zip(weights, used):
                 term = weight
                 for i, power in factors:
                     for _ in range(power):
                         term = term * scaled[i]
                 total = total + term
-            yield pd.Series(np.abs(total))
+            # NULL and NaN stay apart, as in the native expression.
+            yield pa.array(np.abs(total), pa.float64(), mask=missing)
 
     return batch_predict
 

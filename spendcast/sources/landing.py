@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-# A wrong header name, a missing column or a value of the wrong type fails the load.
+from spendcast.sources.tables import append_by_name
+
+# A wrong header name, a missing column or a value of the wrong type fails the load. Values are
+# checked in the columns a query reads: every column in a load, fewer where a query selects fewer.
 _CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "mode": "FAILFAST"}
 
 
@@ -38,8 +41,29 @@ def narrow_counts(df: DataFrame, precision: int = 18) -> DataFrame:
 
 
 def bulk_load(spark: SparkSession, path: str, schema: T.StructType, table: str) -> None:
-    """Append every row of a landing folder to an existing table."""
-    read_csv(spark, path, schema).write.insertInto(table)
+    """Append every row of a landing folder to an existing table, columns matched by name.
+
+    A second call appends the rows again; ``load_table_once`` does not.
+    """
+    append_by_name(read_csv(spark, path, schema), table)
+
+
+def load_table_once(source: DataFrame, table: str, checkpoint: str) -> None:
+    """Append the files of a stream that were not loaded before to a catalog table, columns matched by name.
+
+    The checkpoint and the table's own log of committed files make this exact: a
+    file is loaded once, also when a run is repeated or fails half way. Readers go
+    by that log, so such a table takes rows from its landing area only.
+    """
+    target = source.sparkSession.table(table).schema
+    given = {c.upper(): c for c in source.columns}
+    missing = [f.name for f in target.fields if f.name.upper() not in given]
+    unknown = set(given) - {f.name.upper() for f in target.fields}
+    if missing or unknown:
+        raise ValueError(f"table {table}: no source for {missing}, no column for {sorted(unknown)}")
+    aligned = source.select(*[F.col(given[f.name.upper()]).cast(f.dataType).alias(f.name) for f in target.fields])
+    writer = aligned.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    writer.toTable(table).awaitTermination()
 
 
 def load_new_files(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from typing import Any
+from uuid import uuid4
 
 import pandas as pd
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -28,14 +29,23 @@ def literal_frame(spark: SparkSession, rows: Sequence[Any], schema: Sequence[str
 
 
 def create_or_replace_table(spark: SparkSession, name: str, columns: str, path: str | None = None) -> None:
-    """An empty Parquet table with declared columns; an older table of that name goes.
+    """An empty Parquet table with declared columns; an older table of that name goes, with its rows.
 
-    Plain Parquet tables have no CREATE OR REPLACE, so this is a drop and a create.
-    With ``path`` the table is external and a replaced table's files stay.
+    With ``path`` the table is external, and files that lie there are replaced by
+    an empty one. Plain Parquet tables have no CREATE OR REPLACE: the new table is
+    created under a passing name, so a wrong declaration leaves the old one as it
+    was, and takes the name when the old one is gone.
     """
     location = f" LOCATION '{path}'" if path else ""
+    passing = f"{name}_new_{uuid4().hex[:12]}"
+    spark.sql(f"CREATE TABLE {passing} ({columns}) USING parquet{location}")
+    if path:
+        # The table's type holds declared lengths that a frame cannot; its files need none.
+        plain = spark.table(passing).schema
+        spark.createDataFrame([], plain).write.mode("overwrite").parquet(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{location}")
+    spark.sql(f"ALTER TABLE {passing} RENAME TO {name}")
+    spark.catalog.refreshTable(name)
 
 
 def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:

@@ -143,10 +143,10 @@ def test_batch_function_needs_no_package_on_the_workers(tmp_path):
     payload = tmp_path / "function.pkl"
     payload.write_bytes(cloudpickle.dumps(batch_function(MODEL).func))
     code = (
-        "import pickle, sys, pandas as pd\n"
+        "import pickle, sys, pyarrow as pa\n"
         "f = pickle.load(open(sys.argv[1], 'rb'))\n"
-        "columns = tuple(pd.Series([v]) for v in (250000, 250000, 200000, 450000))\n"
-        "print(repr(next(f(iter([columns])))[0]))\n"
+        "columns = tuple(pa.array([v]) for v in (250000, 250000, 200000, 450000))\n"
+        "print(repr(next(f(iter([columns])))[0].as_py()))\n"
         "assert not [m for m in sys.modules if m.startswith('spendcast')]\n"
     )
     out = subprocess.run(
