@@ -11,7 +11,6 @@ from spendcast.functions.scoring import Polynomial, register_array_function, reg
 from spendcast.plans.features import feature_table
 from spendcast.plans.training import current_model, to_polynomial, train_revenue_model
 from spendcast.sources.tables import overwrite_table
-from spendcast.workspace import shared_folder
 
 _JOBS: dict[str, Callable[..., Any]] = {}
 
@@ -53,17 +52,21 @@ def train_model(
     save: bool = False,
     model_root: str | None = None,
 ) -> dict:
-    """Train on a feature table; returns the training report."""
-    root = (model_root or f"{shared_folder(spark)}/spendcast-models") if save else None
+    """Train on a feature table; returns the training report.
+
+    To be saved, a model needs a root: the one that ``deploy_functions`` and a refresh use.
+    """
+    if save and not model_root:
+        raise ValueError("saving a model takes a model_root")
     result = train_revenue_model(
-        spark.table(features_table), folds, degree, train_threshold, test_threshold, save_root=root
+        spark.table(features_table), folds, degree, train_threshold, test_threshold, save_root=model_root if save else None
     )
     return result.report
 
 
 def deploy_functions(
     spark: SparkSession,
-    model_root: str | None = None,
+    model_root: str,
     array_name: str = "predict_roi",
     batch_name: str = "batch_predict_roi",
 ) -> Polynomial:
@@ -71,7 +74,7 @@ def deploy_functions(
 
     The model is read once, here; its weights travel with the plan.
     """
-    model = to_polynomial(current_model(spark, model_root or f"{shared_folder(spark)}/spendcast-models"))
+    model = to_polynomial(current_model(spark, model_root))
     register_array_function(spark, model, array_name)
     register_batch_function(spark, model, batch_name)
     return model

@@ -6,19 +6,20 @@ predictions as standardising the terms after it, since a full polynomial of
 scaled inputs is a full polynomial of the inputs; but x and x*x are no longer
 nearly collinear, which keeps the normal equations well conditioned.
 
-Passes over the features: one for means and deviations, one for the normal
-equations, one for R2 on both sides of the split, one for all folds of the cross
-validation together.
+A run takes two passes over the features, whatever their size, and keeps no copy
+of them: one for means and deviations, one for sums of products of terms, grouped
+by side of the split and fold. The fit, R2 on both sides and every fold score
+follow from these sums, at most two rows per fold. The pipeline itself is fitted
+when its gate has passed and it is to be saved.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PolynomialExpansion, StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -35,8 +36,12 @@ MODEL_RUNS = T.StructType(
         T.StructField("version", T.LongType()),
         T.StructField("model_path", T.StringType()),
         *TRAIN_REPORT.fields,
+        # One clock for all runs below a root, whoever started them; the current model goes by it.
+        T.StructField("run_time", T.LongType()),
     ]
 )
+# Sums in one aggregation: with more fields than this Spark leaves generated code.
+_SUMS_AT_ONCE = 80
 _FOLD_SCORES = T.StructType(
     [
         T.StructField("FOLD", T.IntegerType()),
@@ -51,12 +56,16 @@ class TrainResult:
     """What a training run leaves behind."""
 
     report: dict
-    polynomial: Polynomial
-    pipeline: PipelineModel
+    polynomial: Polynomial | None
+    pipeline: PipelineModel | None
     fold_scores: list[dict]
     model_path: str | None
 
 
+class TooFewRows(ValueError):
+    """There are not enough rows to fit, to test or to fill every fold."""
+
+
 def revenue_pipeline(degree: int, features: Sequence[str] = FEATURES, label: str = LABEL) -> Pipeline:
     """The unfitted pipeline."""
     return Pipeline(
@@ -106,21 +115,6 @@ def prepared_rows(
     return marked.select(*numbers, *marks)
 
 
-def r2_by_split(rows: DataFrame, polynomial: Polynomial, label: str = LABEL) -> dict[bool, dict]:
-    """R2, row count, mean and variance of the label for both sides, in one aggregation."""
-    error = F.col(label) - F.expr(polynomial.sql([f"`{f}`" for f in polynomial.features]))
-    grouped = rows.groupBy("IS_TEST").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(label).alias("mean"),
-        F.var_pop(label).alias("variance"),
-        F.avg(error * error).alias("squared_error"),
-    )
-    found = {r["IS_TEST"]: r.asDict() for r in grouped.collect()}
-    for side in found.values():
-        side["r2"] = _r2(side["squared_error"], side["variance"])
-    return found
-
-
 def _r2(squared_error: float, variance: float) -> float | None:
     return 1.0 - squared_error / variance if variance else None
 
@@ -133,56 +127,114 @@ def _term(inputs: Sequence[Column], exponents: Sequence[int]) -> Column:
     return total
 
 
-def cross_validate(
-    rows: DataFrame, polynomial: Polynomial, mean: float, variance: float, label: str = LABEL
-) -> list[dict]:
-    """R2 on every fold of a model fitted to the other folds.
+@dataclass(frozen=True)
+class _Equations:
+    """Normal equations of some rows: sums of products of terms, with the label, and of the squared label."""
 
-    Least squares needs only sums of products of terms, and those of the other folds
-    add up, so one grouped aggregation serves every fold. Many pairs of terms have the
-    same product, which is summed once. What reaches the driver is one row per fold.
-    """
-    features = polynomial.features
-    terms = ((0,) * len(features), *polynomial.exponents)
-    # Each distinct product, with one pair of terms that makes it.
-    products = {tuple(a + b for a, b in zip(terms[i], terms[j])): (i, j) for i in range(len(terms)) for j in range(i + 1)}
-    place = {exponents: k for k, exponents in enumerate(products)}
+    gram: np.ndarray
+    moment: np.ndarray
+    squares: float
+
+    @property
+    def count(self) -> int:
+        return int(round(self.gram[0, 0]))
 
-    scaled = rows.filter(~F.col("IS_TEST")).select(
+    def __add__(self, other: _Equations) -> _Equations:
+        return _Equations(self.gram + other.gram, self.moment + other.moment, self.squares + other.squares)
+
+    def solve(self) -> np.ndarray:
+        return np.linalg.lstsq(self.gram, self.moment, rcond=None)[0]
+
+    def r2(self, weights: np.ndarray) -> float | None:
+        error = float(self.squares - 2 * weights @ self.moment + weights @ self.gram @ weights)
+        spread = float(self.squares - self.moment[0] ** 2 / self.gram[0, 0])
+        # A label that does not vary leaves only rounding noise here.
+        return _r2(error, spread) if spread > 1e-12 * self.squares else None
+
+
+def _sides(features: Sequence[str], label: str, rows: DataFrame) -> dict:
+    """Means and deviations over the training side, from one pass."""
+    inputs = [*features, label]
+    numbers = [f(c).alias(f"{n}{i}") for i, c in enumerate(inputs) for n, f in (("m", F.avg), ("s", F.stddev_samp))]
+    missing = F.count_if(F.concat(*[F.col(c).cast("string") for c in inputs]).isNull())
+    found = rows.filter(~F.col("IS_TEST")).agg(*numbers, missing.alias("missing")).first()
+    if found["missing"]:
+        raise ValueError(f"{found['missing']} training rows hold a null in {', '.join(inputs)}")
+    return found.asDict()
+
+
+def sums_of_products(rows: DataFrame, polynomial: Polynomial, mean: float, spread: float, label: str = LABEL) -> list[DataFrame]:
+    """The frames whose rows, one per side and fold, make up the normal equations.
+
+    Many pairs of terms have the same product, which is summed once. A frame holds as
+    many sums as fit into generated code; up to degree 2 over four inputs one does.
+    """
+    terms, products, _ = _products(polynomial)
+    scaled = rows.select(
+        "IS_TEST",
         "FOLD",
-        ((F.col(label) - F.lit(mean)) / F.lit(variance**0.5 or 1.0)).alias("y"),
+        ((F.col(label) - F.lit(mean)) / F.lit(spread)).alias("y"),
         *[
             ((F.col(f) - F.lit(center)) / F.lit(scale)).alias(f"x{i}")
-            for i, (f, center, scale) in enumerate(zip(features, polynomial.centers, polynomial.scales))
+            for i, (f, center, scale) in enumerate(zip(polynomial.features, polynomial.centers, polynomial.scales))
         ],
     )
-    inputs = [F.col(f"x{i}") for i in range(len(features))]
-    expanded = scaled.select("FOLD", "y", *[_term(inputs, e).alias(f"t{i}") for i, e in enumerate(terms)])
-    sums = [F.sum(F.col(f"t{i}") * F.col(f"t{j}")).alias(f"p{k}") for k, (i, j) in enumerate(products.values())]
-    sums += [F.sum(F.col(f"t{i}") * F.col("y")).alias(f"q{i}") for i in range(len(terms))]
+    inputs = [F.col(f"x{i}") for i in range(len(polynomial.features))]
+    sums = [F.sum(_term(inputs, e)).alias(f"p{k}") for k, e in enumerate(products)]
+    sums += [F.sum(_term(inputs, e) * F.col("y")).alias(f"q{i}") for i, e in enumerate(terms)]
     sums.append(F.sum(F.col("y") * F.col("y")).alias("yy"))
-    folds = {r["FOLD"]: r for r in expanded.groupBy("FOLD").agg(*sums).collect()}
+    count = -(-len(sums) // _SUMS_AT_ONCE) if len(sums) > 100 - 4 else 1
+    return [scaled.groupBy("IS_TEST", "FOLD").agg(*sums[i::count]) for i in range(count)]
+
+
+def _products(polynomial: Polynomial) -> tuple[tuple, list, dict]:
+    """Terms with the constant, the distinct products of two of them, and each product's place."""
+    terms = ((0,) * len(polynomial.features), *polynomial.exponents)
+    products = list(dict.fromkeys(tuple(a + b for a, b in zip(s, t)) for s in terms for t in terms))
+    return terms, products, {exponents: k for k, exponents in enumerate(products)}
+
 
-    def equations(row) -> tuple[np.ndarray, np.ndarray, float]:
+def _equations(rows: DataFrame, polynomial: Polynomial, mean: float, spread: float, label: str) -> dict:
+    """Normal equations by (IS_TEST, FOLD)."""
+    terms, _, place = _products(polynomial)
+    merged: dict[tuple, dict] = {}
+    for frame in sums_of_products(rows, polynomial, mean, spread, label):
+        for row in frame.collect():  # at most two rows per fold
+            merged.setdefault((row["IS_TEST"], row["FOLD"]), {}).update(row.asDict())
+
+    def equations(row: dict) -> _Equations:
         gram = [[row[f"p{place[tuple(a + b for a, b in zip(s, t))]}"] for t in terms] for s in terms]
-        return np.array(gram), np.array([row[f"q{i}"] for i in range(len(terms))]), row["yy"]
+        return _Equations(np.array(gram), np.array([row[f"q{i}"] for i in range(len(terms))]), row["yy"])
+
+    return {key: equations(row) for key, row in merged.items()}
+
 
-    parts = {fold: equations(row) for fold, row in folds.items()}
+def fold_scores(parts: dict[int, _Equations], folds: int) -> list[dict]:
+    """R2 on every fold of a model fitted to the other folds; every fold has to have rows.
+
+    Least squares needs only sums of products of terms, and those of the other folds
+    add up.
+    """
+    empty = [f for f in range(folds) if f not in parts]
+    if empty:
+        raise TooFewRows(f"no training rows in fold {', '.join(map(str, empty))} of {folds}")
     scores = []
-    for fold, (gram, moment, squares) in sorted(parts.items()):
+    for fold, own in sorted(parts.items()):
         others = [p for f, p in parts.items() if f != fold]
-        count, total = gram[0, 0], moment[0]
-        r2 = None
-        if others:
-            weights = np.linalg.lstsq(sum(p[0] for p in others), sum(p[1] for p in others), rcond=None)[0]
-            error = float(squares - 2 * weights @ moment + weights @ gram @ weights)
-            spread = float(squares - total * total / count)
-            # A label that does not vary leaves only rounding noise here.
-            r2 = _r2(error, spread) if spread > 1e-12 * squares else None
-        scores.append({"FOLD": int(fold), "N_ROWS": int(count), "R2": r2})
+        weights = sum(others[1:], others[0]).solve()
+        scores.append({"FOLD": int(fold), "N_ROWS": own.count, "R2": own.r2(weights)})
     return scores
 
 
+def cross_validate(
+    rows: DataFrame, polynomial: Polynomial, mean: float, variance: float, folds: int, label: str = LABEL
+) -> list[dict]:
+    """The fold scores of prepared rows, from one grouped aggregation."""
+    training = rows.filter(~F.col("IS_TEST"))
+    parts = _equations(training, polynomial, mean, variance**0.5 or 1.0, label)
+    return fold_scores({fold: own for (_, fold), own in parts.items()}, folds)
+
+
 def train_revenue_model(
     features: DataFrame,
     folds: int = 10,
@@ -193,42 +245,65 @@ def train_revenue_model(
     keys: Sequence[str] | None = None,
     seed: int = 42,
     version: int | None = None,
-    persist: bool = True,
 ) -> TrainResult:
     """Fit on the training side, score both sides, save if both scores reach their threshold.
 
     Without ``save_root`` nothing is saved. ``folds`` below 2 skips cross validation.
-    A feature table has one row per month and is kept between the passes; for a stored
-    table larger than the cluster's memory, ``persist=False`` reads it again instead.
+    Raises TooFewRows where a fit, a test score or a fold score has no rows to go by.
     """
     folds = folds if folds >= 2 else 0
     rows = prepared_rows(features, keys, seed, folds)
-    if persist:
-        # Spills to disk; a lost executor's part is computed again from the source.
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fitted = revenue_pipeline(degree).fit(rows.filter(~F.col("IS_TEST")))
-        polynomial = to_polynomial(fitted)
-        sides = r2_by_split(rows, polynomial)
-        train, test = sides[False], sides.get(True)
-        scores = cross_validate(rows, polynomial, train["mean"], train["variance"]) if folds else []
-    finally:
-        if persist:
-            rows.unpersist()
-
-    train_r2, test_r2 = train["r2"], test["r2"] if test else None
+    if not folds:
+        rows = rows.withColumn("FOLD", F.lit(0))
+    found = _sides(FEATURES, LABEL, rows)
+    if found[f"m{len(FEATURES)}"] is None:
+        raise TooFewRows("no training rows")
+    exponents = polynomial_exponents(len(FEATURES), degree)
+    # A constant channel has no deviation; any scale does.
+    base = Polynomial(
+        tuple(FEATURES), exponents, tuple(0.0 for _ in exponents), 0.0,
+        tuple(float(found[f"m{i}"]) for i in range(len(FEATURES))),
+        tuple(float(found[f"s{i}"] or 1.0) for i in range(len(FEATURES))),
+    )
+    mean, spread = float(found[f"m{len(FEATURES)}"]), float(found[f"s{len(FEATURES)}"] or 1.0)
+    parts = _equations(rows, base, mean, spread, LABEL)
+    train = [p for (is_test, _), p in parts.items() if not is_test]
+    test = [p for (is_test, _), p in parts.items() if is_test]
+    scores = fold_scores({fold: p for (is_test, fold), p in parts.items() if not is_test}, folds) if folds else []
+    train = sum(train[1:], train[0])
+    weights = train.solve()
+    train_r2 = train.r2(weights)
+    test_r2 = sum(test[1:], test[0]).r2(weights) if test else None
+    polynomial = replace(
+        base, weights=tuple(float(w * spread) for w in weights[1:]), intercept=float(weights[0] * spread + mean)
+    )
+
     passed = passes_gate(train_r2, train_threshold) and passes_gate(test_r2, test_threshold)
-    report = {
+    report = _report(train_r2, train_threshold, test_r2, test_threshold, bool(save_root) and passed)
+    path = fitted = None
+    if save_root:
+        if passed:
+            fitted = revenue_pipeline(degree).fit(rows.filter(~F.col("IS_TEST")))
+            polynomial = to_polynomial(fitted)
+        path = save_model(features.sparkSession, save_root, fitted, report, version)
+    return TrainResult(report, polynomial, fitted, scores, path)
+
+
+def _report(train_r2, train_threshold, test_r2, test_threshold, saved: bool) -> dict:
+    return {
         "train_r2": train_r2,
         "train_threshold": float(train_threshold),
         "test_r2": test_r2,
         "test_threshold": float(test_threshold),
-        "model_saved": bool(save_root) and passed,
+        "model_saved": saved,
     }
-    path = None
-    if save_root:
-        path = save_model(features.sparkSession, save_root, fitted, report, version)
-    return TrainResult(report, polynomial, fitted, scores, path)
+
+
+def record_failed_run(
+    spark: SparkSession, root: str, train_threshold: float, test_threshold: float, version: int | None = None
+) -> None:
+    """Record a run without scores: the gate was not passed, the older model stays."""
+    save_model(spark, root, None, _report(None, train_threshold, None, test_threshold, False), version)
 
 
 def passes_gate(r2: float | None, threshold: float) -> bool:
@@ -247,18 +322,19 @@ def fold_frame(spark: SparkSession, result: TrainResult) -> DataFrame:
 
 
 def save_model(
-    spark: SparkSession, root: str, model: PipelineModel, report: dict, version: int | None = None
+    spark: SparkSession, root: str, model: PipelineModel | None, report: dict, version: int | None = None
 ) -> str | None:
     """Record the run, and store the model in a new version folder if its gate passed.
 
     A model becomes current by its row in the run table, written last, so readers
     never see a half-written model and a failed gate leaves the older one current.
     """
-    version = int(time.time_ns()) if version is None else version
+    now = int(time.time_ns())
+    version = now if version is None else version
     path = f"{root}/models/version={version}" if report["model_saved"] else None
     if path:
         model.write().overwrite().save(path)
-    row = (version, path, *[report[f.name] for f in TRAIN_REPORT])
+    row = (version, path, *[report[f.name] for f in TRAIN_REPORT], now)
     spark.createDataFrame([row], MODEL_RUNS).coalesce(1).write.mode("append").parquet(f"{root}/model_runs")
     return path
 
@@ -269,9 +345,9 @@ def model_runs(spark: SparkSession, root: str) -> DataFrame:
 
 
 def current_model(spark: SparkSession, root: str) -> PipelineModel:
-    """The latest model that passed its gate."""
+    """The latest model that passed its gate, by the time of its run."""
     saved = model_runs(spark, root).filter("model_saved")
-    path = saved.agg(F.max_by("model_path", "version").alias("path")).first()["path"]
+    path = saved.agg(F.max_by("model_path", "run_time").alias("path")).first()["path"]
     if path is None:
         raise LookupError(f"no model under {root} has passed its gate")
     return PipelineModel.load(path)

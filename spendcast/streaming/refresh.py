@@ -2,13 +2,23 @@
 
 Sums add up, so a batch only needs the totals so far and the new rows: the cost of
 a refresh follows the new data, and late rows change their month like any others.
-Each batch writes a new version folder and publishes it with one registry row; a
-batch repeated after a failure finds itself published, or writes the same version
-again.
+
+A root holds lineages. A lineage is one checkpoint and the versions published from
+it, so a batch number has one meaning in it; its channel list is part of its state.
+A start that does not fit the lineage (its checkpoint is gone or new, the channels
+differ) is refused, and ``rebuild`` begins a new lineage from the sources, which
+becomes current when it is complete. Each batch writes its version and publishes it
+with one registry snapshot; a batch repeated after a failure finds itself published,
+or writes the same version again. Features are committed on their own: a retrain
+that fails is recorded and tried again, and the feed goes on.
+
+A root has one writer at a time. The last few versions and snapshots are kept.
 """
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
@@ -19,11 +29,28 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from spendcast.plans.features import month_of
-from spendcast.plans.training import MODEL_RUNS, train_revenue_model
+from spendcast.plans.training import MODEL_RUNS, TooFewRows, record_failed_run, train_revenue_model
 from spendcast.schemas import CHANNEL_COLUMNS, LABEL, MONTH_KEYS
-
-_PUBLISHED = T.StructType([T.StructField("version", T.LongType())])
+from spendcast.workspace import remove_folder
+
+_REGISTRY = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("lineage", T.IntegerType()),
+        T.StructField("batch", T.LongType()),
+        T.StructField("checkpoint_id", T.StringType()),
+        T.StructField("channels", T.StringType()),
+    ]
+)
+_LINEAGES = T.StructType([T.StructField("lineage", T.IntegerType())])
+_ERRORS = T.StructType([T.StructField("version", T.LongType()), T.StructField("error", T.StringType())])
 _TOTAL_KEYS = (*MONTH_KEYS, "CHANNEL")
+# Versions of two lineages never meet: the lineage stands above the batch number.
+_LINEAGE_SHIFT = 40
+
+
+class RefreshMismatch(RuntimeError):
+    """Root, checkpoint and channel list do not belong together; a rebuild brings them together."""
 
 
 def arriving_rows(
@@ -69,7 +96,12 @@ def features_from_totals(totals: DataFrame, channels: Mapping[str, str] = CHANNE
 
 @dataclass
 class Refresh:
-    """A refresh of one root folder; start, suspend and resume it."""
+    """A refresh of one root folder; start, suspend, resume and rebuild it.
+
+    ``retrain`` is called after each published version, ``deploy`` after a retrain
+    that went through, with the session of the refresh and the root, so that scorers
+    registered there follow the current model.
+    """
 
     spark: SparkSession
     spend: DataFrame
@@ -77,17 +109,16 @@ class Refresh:
     root: str
     channels: Mapping[str, str] = field(default_factory=lambda: dict(CHANNEL_COLUMNS))
     retrain: Callable[[DataFrame, str, int], object] | None = None
+    deploy: Callable[[SparkSession, str], object] | None = None
+    keep: int = 5
     query: StreamingQuery | None = None
 
     def start(self, interval: str | None = "1 minute") -> StreamingQuery:
         """Start, or go on after a suspend. Without an interval: handle what is there and end."""
-        writer = (
-            arriving_rows(self.spend, self.revenue, self.channels)
-            .writeStream.foreachBatch(self._batch)
-            .option("checkpointLocation", f"{self.root}/checkpoint")
-        )
-        writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
-        self.query = writer.start()
+        lineage = current_lineage(self.spark, self.root)
+        self._check(lineage)
+        self._retry_retrain()
+        self.query = self._stream(lineage, interval)
         return self.query
 
     def run_once(self) -> None:
@@ -103,22 +134,103 @@ class Refresh:
         """Go on where the last batch ended."""
         return self.start(interval)
 
-    def _batch(self, rows: DataFrame, version: int) -> None:
+    def rebuild(self) -> None:
+        """Read the sources again from their beginning, as they are now.
+
+        Corrected or deleted rows count, as do other channels than before. The
+        features stay those of the old lineage until the new one is complete.
+        """
+        tried = _read_if_present(self.spark, f"{self.root}/begun", _LINEAGES)
+        last = tried.agg(F.max("lineage").alias("n")).first()["n"] if tried is not None else 0
+        lineage = (last or 0) + 1
+        self._note(lineage, "begun")  # a rebuild that fails half way is not gone on with
+        self._stream(lineage, None).awaitTermination()
+        self._note(lineage, "lineages")
+        self._retry_retrain()
+
+    def _stream(self, lineage: int, interval: str | None) -> StreamingQuery:
+        writer = (
+            arriving_rows(self.spend, self.revenue, self.channels)
+            .writeStream.foreachBatch(lambda rows, batch: self._batch(rows, batch, lineage))
+            .option("checkpointLocation", checkpoint_path(self.root, lineage))
+        )
+        writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+        return writer.start()
+
+    def _note(self, lineage: int, name: str) -> None:
+        row = self.spark.createDataFrame([(lineage,)], _LINEAGES).coalesce(1)
+        row.write.mode("append").parquet(f"{self.root}/{name}")
+
+    def _check(self, lineage: int) -> None:
+        """Refuse a start whose batches would be skipped, counted twice or summed over other channels."""
+        published = _lineage_rows(self.spark, self.root, lineage)
+        if not published:
+            return
+        found = checkpoint_id(self.spark, checkpoint_path(self.root, lineage))
+        if found != published[0]["checkpoint_id"]:
+            raise RefreshMismatch(f"{self.root} was published from another checkpoint than the one there; rebuild it")
+        if published[0]["channels"] != self._channel_text():
+            raise RefreshMismatch(f"{self.root} holds totals of {published[0]['channels']}; rebuild it for other channels")
+
+    def _channel_text(self) -> str:
+        return json.dumps(dict(self.channels), sort_keys=True)
+
+    def _batch(self, rows: DataFrame, batch: int, lineage: int = 0) -> None:
         spark = rows.sparkSession
-        versions = published_versions(spark, self.root)
-        if version not in versions:
-            older = [v for v in versions if v < version]
-            before = spark.read.parquet(totals_path(self.root, max(older))) if older else None
+        version = (lineage << _LINEAGE_SHIFT) + batch
+        published = _lineage_rows(spark, self.root, lineage)
+        if all(r["version"] != version for r in published):
+            before = spark.read.parquet(totals_path(self.root, published[0]["version"])) if published else None
             totals = add_totals(before, rows)
             totals.write.mode("overwrite").parquet(totals_path(self.root, version))
             totals = spark.read.parquet(totals_path(self.root, version))
             features = features_from_totals(totals, self.channels)
             features.write.mode("overwrite").parquet(features_path(self.root, version))
-            row = spark.createDataFrame([(version,)], _PUBLISHED).coalesce(1)
-            row.write.mode("append").parquet(f"{self.root}/published")
-        # The dependent step: reached only when the features are published.
-        if self.retrain is not None:
-            self.retrain(spark.read.parquet(features_path(self.root, version)), self.root, version)
+            own = (version, lineage, batch, checkpoint_id(spark, checkpoint_path(self.root, lineage)), self._channel_text())
+            self._publish(spark, own)
+        # The dependent step: reached only when the features are published, and no reason to stop the feed.
+        self._train(spark.read.parquet(features_path(self.root, version)), version)
+
+    def _publish(self, spark: SparkSession, own: tuple) -> None:
+        """One snapshot of the versions kept, the new one among them; older versions and snapshots go."""
+        older = [tuple(r) for r in _registry(spark, self.root)]
+        mine = [r for r in older if r[1] == own[1]][: self.keep - 1]
+        # Another lineage keeps its newest version for as long as it may be the current one.
+        others = [r for r in older if r[1] != own[1] and r[1] == current_lineage(spark, self.root)][: self.keep]
+        kept = [own, *mine, *others]
+        snapshot = time.time_ns()
+        rows = spark.createDataFrame(kept, _REGISTRY).coalesce(1)
+        rows.write.parquet(f"{self.root}/published/snapshot={snapshot}")
+        for name in sorted(_snapshots(spark, self.root))[:-2]:
+            remove_folder(spark, f"{self.root}/published/snapshot={name}")
+        for row in older:
+            if row not in kept:
+                remove_folder(spark, totals_path(self.root, row[0]))
+                remove_folder(spark, features_path(self.root, row[0]))
+
+    def _train(self, features: DataFrame, version: int) -> None:
+        if self.retrain is None:
+            return
+        try:
+            self.retrain(features, self.root, version)
+            if self.deploy is not None:
+                self.deploy(self.spark, self.root)
+        except Exception as error:  # noqa: BLE001 - whatever it is, the features are published and the feed goes on
+            text = f"{type(error).__name__}: {error}"[:2000]
+            row = self.spark.createDataFrame([(version, text)], _ERRORS).coalesce(1)
+            row.write.mode("append").parquet(f"{self.root}/retrain_errors")
+
+    def _retry_retrain(self) -> None:
+        """Train the current version if its retrain failed or never began."""
+        versions = published_versions(self.spark, self.root) if self.retrain is not None else []
+        if versions:
+            runs = _read_if_present(self.spark, f"{self.root}/model_runs", MODEL_RUNS)
+            if runs is None or runs.filter(F.col("version") == versions[0]).isEmpty():
+                self._train(current_features(self.spark, self.root), versions[0])
+
+
+def checkpoint_path(root: str, lineage: int) -> str:
+    return f"{root}/checkpoints/lineage={lineage}"
 
 
 def totals_path(root: str, version: int) -> str:
@@ -129,6 +241,17 @@ def features_path(root: str, version: int) -> str:
     return f"{root}/features/version={version}"
 
 
+def checkpoint_id(spark: SparkSession, path: str) -> str | None:
+    """The identity a checkpoint keeps over restarts; None where there is no checkpoint."""
+    try:
+        row = spark.read.text(f"{path}/metadata").first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return json.loads(row["value"])["id"] if row else None
+
+
 def _read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """A Parquet folder, or None before its first write."""
     try:
@@ -139,12 +262,34 @@ def _read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> Da
         return None
 
 
-def published_versions(spark: SparkSession, root: str) -> list[int]:
-    """Published versions, newest first; one number per refresh that had new rows."""
-    published = _read_if_present(spark, f"{root}/published", _PUBLISHED)
-    if published is None:
+def _snapshots(spark: SparkSession, root: str) -> list[int]:
+    """The registry snapshots that are there: two, and more only after a failure."""
+    found = _read_if_present(spark, f"{root}/published", T.StructType([*_REGISTRY.fields, T.StructField("snapshot", T.LongType())]))
+    return [r["snapshot"] for r in found.select("snapshot").distinct().collect()] if found is not None else []
+
+
+def _registry(spark: SparkSession, root: str) -> list:
+    """The versions kept, newest first."""
+    snapshots = _snapshots(spark, root)
+    if not snapshots:
         return []
-    return sorted({r["version"] for r in published.collect()}, reverse=True)
+    rows = spark.read.schema(_REGISTRY).parquet(f"{root}/published/snapshot={max(snapshots)}").collect()
+    return sorted(rows, key=lambda r: r["version"], reverse=True)
+
+
+def _lineage_rows(spark: SparkSession, root: str, lineage: int) -> list:
+    return [r for r in _registry(spark, root) if r["lineage"] == lineage]
+
+
+def current_lineage(spark: SparkSession, root: str) -> int:
+    """The last lineage that is complete; the first one is lineage 0."""
+    found = _read_if_present(spark, f"{root}/lineages", _LINEAGES)
+    return (found.agg(F.max("lineage").alias("n")).first()["n"] or 0) if found is not None else 0
+
+
+def published_versions(spark: SparkSession, root: str) -> list[int]:
+    """The versions kept of the current lineage, newest first; one number per refresh that had new rows."""
+    return [r["version"] for r in _lineage_rows(spark, root, current_lineage(spark, root))]
 
 
 def current_features(spark: SparkSession, root: str) -> DataFrame:
@@ -155,17 +300,29 @@ def current_features(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(features_path(root, versions[0]))
 
 
+def retrain_errors(spark: SparkSession, root: str) -> DataFrame:
+    """What went wrong in retrains: version and error."""
+    found = _read_if_present(spark, f"{root}/retrain_errors", _ERRORS)
+    return found if found is not None else spark.createDataFrame([], _ERRORS)
+
+
 def retrain_with(
     folds: int = 10, degree: int = 2, train_threshold: float = 0.85, test_threshold: float = 0.85
 ) -> Callable[[DataFrame, str, int], None]:
-    """The dependent training step; a version that was trained already is left alone."""
+    """The dependent training step; a version that was trained already is left alone.
+
+    Too few rows are a gate that was not passed: a run without scores, no new model.
+    """
 
     def retrain(features: DataFrame, root: str, version: int) -> None:
         spark = features.sparkSession
         runs = _read_if_present(spark, f"{root}/model_runs", MODEL_RUNS)
         if runs is None or runs.filter(F.col("version") == version).isEmpty():
-            train_revenue_model(
-                features, folds, degree, train_threshold, test_threshold, save_root=root, version=version
-            )
+            try:
+                train_revenue_model(
+                    features, folds, degree, train_threshold, test_threshold, save_root=root, version=version
+                )
+            except TooFewRows:
+                record_failed_run(spark, root, train_threshold, test_threshold, version)
 
     return retrain

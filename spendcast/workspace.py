@@ -31,3 +31,19 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A folder path below the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/spendcast-{purpose}-{uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a job has made, with all that is in it; none is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Remove what a job left below the shared folder, when its result has been read or copied.
+
+    Only folders that ``new_folder`` named can be released.
+    """
+    if not path.startswith(f"{shared_folder(spark)}/spendcast-"):
+        raise ValueError(f"{path} is no folder of a job")
+    remove_folder(spark, path)

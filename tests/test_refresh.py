@@ -14,6 +14,7 @@ from spendcast.schemas import CAMPAIGN_SPEND, CHANNEL_COLUMNS, FEATURES, MONTHLY
 from spendcast.sources.landing import load_new_files, stream_csv
 from spendcast.sources.tables import overwrite_table
 from spendcast.streaming import refresh as rf
+from spendcast.workspace import remove_folder
 from tests.helpers import rows
 
 CODES = list(CHANNEL_COLUMNS)
@@ -44,13 +45,14 @@ class Landing:
         if income:
             self.spark.createDataFrame(income, MONTHLY_REVENUE).write.mode("append").parquet(f"{self.root}/revenue")
 
-    def refresh(self, retrain=None):
+    def refresh(self, retrain=None, **more):
         return rf.Refresh(
             self.spark,
             self.spark.readStream.schema(CAMPAIGN_SPEND).parquet(f"{self.root}/spend"),
             self.spark.readStream.schema(MONTHLY_REVENUE).parquet(f"{self.root}/revenue"),
             f"{self.root}/out",
             retrain=retrain,
+            **more,
         )
 
     def rebuilt(self):
@@ -227,3 +229,112 @@ def test_register_job(spark):
     assert jobs.call(spark, "add", 1, 2) == 3
     with pytest.raises(ValueError):
         jobs.register("add", print, replace=False)
+
+
+def test_spend_before_revenue_does_not_stop_the_feed(spark, landing):
+    """The first features are empty; the model comes with the first drop it can be fitted on."""
+    costs, income = month_rows(range(2012, 2020))
+    retrain = rf.retrain_with(folds=5)
+    spark.createDataFrame([], MONTHLY_REVENUE).write.parquet(f"{landing.root}/revenue")
+    landing.drop(costs, [])
+    landing.refresh(retrain).run_once()
+    out = f"{landing.root}/out"
+    assert landing.current().count() == 0
+    first = model_runs(spark, out).first()
+    assert (first["train_r2"], first["test_r2"], first["model_saved"]) == (None, None, False)
+    landing.drop([], income)
+    landing.refresh(retrain).run_once()
+    assert landing.current().count() == 96
+    assert [r["model_saved"] for r in model_runs(spark, out).orderBy("run_time").collect()] == [False, True]
+    assert rf.retrain_errors(spark, out).count() == 0
+
+
+def test_failed_retrain_is_recorded_and_tried_again(spark, landing):
+    out, calls = f"{landing.root}/out", []
+
+    def retrain(features, root, version):
+        calls.append(version)
+        if len(calls) == 1:
+            raise RuntimeError("no memory")
+
+    landing.drop(*month_rows([2019]))
+    landing.refresh(retrain).run_once()
+    assert landing.current().count() == 12
+    assert [r["error"] for r in rf.retrain_errors(spark, out).collect()] == ["RuntimeError: no memory"]
+    landing.drop(*month_rows([2020], seed=2))
+    landing.refresh(retrain).run_once()
+    assert calls == [0, 0, 1] and landing.current().count() == 24
+
+
+def test_lost_checkpoint_is_refused_and_rebuilt(spark, landing):
+    out = f"{landing.root}/out"
+    landing.drop(*month_rows([2019]))
+    landing.refresh().run_once()
+    remove_folder(spark, rf.checkpoint_path(out, 0))
+    landing.drop(*month_rows([2020], seed=2))
+    with pytest.raises(rf.RefreshMismatch, match="checkpoint"):
+        landing.refresh().run_once()
+    assert landing.current().count() == 12
+    landing.refresh().rebuild()
+    assert landing.current().count() == 24
+    landing.drop(*month_rows([2021], seed=3))
+    landing.refresh().run_once()
+    assert landing.current().count() == 36
+    close(rows(landing.current()), rows(landing.rebuilt()))
+
+
+def test_other_channels_need_a_rebuild(spark, landing):
+    two = dict(list(CHANNEL_COLUMNS.items())[:2])
+    landing.drop(*month_rows([2019]))
+    landing.refresh(channels=two).run_once()
+    assert len(landing.current().columns) == 5
+    landing.drop(*month_rows([2020], seed=2))
+    with pytest.raises(rf.RefreshMismatch, match="channels"):
+        landing.refresh().run_once()
+    landing.refresh().rebuild()
+    close(rows(landing.current()), rows(landing.rebuilt()))
+
+
+def test_rebuild_counts_corrected_rows(spark, landing):
+    costs, income = month_rows([2019])
+    landing.drop(costs, income)
+    landing.refresh().run_once()
+    fixed = spark.createDataFrame([(y, m, 2 * r) for y, m, r in income], MONTHLY_REVENUE)
+    fixed.write.mode("overwrite").parquet(f"{landing.root}/revenue")
+    landing.refresh().rebuild()
+    close(rows(landing.current()), rows(landing.rebuilt()))
+    landing.refresh().rebuild()
+    close(rows(landing.current()), rows(landing.rebuilt()))
+
+
+def test_registry_and_versions_stay_small(spark, landing, tmp_path):
+    refresh = rf.Refresh(spark, None, None, f"{landing.root}/out", keep=3)
+    out = f"{landing.root}/out"
+    counts = []
+    for batch in range(50):
+        new = spark.createDataFrame([(2000 + batch, 1, "video", Decimal(1), None)], "YEAR int, MONTH int, CHANNEL string, TOTAL_COST decimal(38,0), REVENUE double")
+        refresh._batch(new.coalesce(1), batch)
+        if batch >= 5:
+            files = [f for part in ("published", "totals", "features") for f in (tmp_path / "out" / part).rglob("*.parquet")]
+            counts.append(len(list((tmp_path / "out" / "published").rglob("*.parquet"))))
+            assert len({f.parent for f in files}) <= 2 + 2 * 3
+    assert set(counts) == {2}
+    assert rf.published_versions(spark, out) == [49, 48, 47]
+    assert spark.read.parquet(rf.totals_path(out, 49)).count() == 50
+
+
+def test_a_passing_retrain_reaches_the_scorer(spark, landing, tmp_path):
+    deployed = []
+
+    def deploy(session, root):
+        deployed.append(jobs.call(session, "deploy_functions", root))
+
+    landing.drop(*month_rows(range(2012, 2020)))
+    landing.refresh(rf.retrain_with(folds=5), deploy=deploy).run_once()
+    assert deployed == [to_polynomial(current_model(spark, f"{landing.root}/out"))]
+    assert landing.current().select(F.call_udf("predict_roi", F.array(*FEATURES)).alias("x")).count() == 96
+
+
+def test_saving_takes_a_root(spark):
+    with pytest.raises(ValueError, match="model_root"):
+        jobs.call(spark, "train_model", "ANY", 10, 2, 0.85, 0.85, True)

@@ -139,7 +139,7 @@ def test_batch_scorer_uses_arrow(spark, budgets):
 
 
 def test_batch_function_needs_no_package_on_the_workers(tmp_path):
-    """The function travels by value: plain arrays, numpy and pandas."""
+    """The function travels by value: plain arrays, numpy and pyarrow."""
     payload = tmp_path / "function.pkl"
     payload.write_bytes(cloudpickle.dumps(batch_function(MODEL).func))
     code = (

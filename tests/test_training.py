@@ -8,7 +8,7 @@ from spendcast.functions.scoring import score
 from spendcast.operators.split import with_split
 from spendcast.plans import training as tr
 from spendcast.schemas import FEATURES, TRAIN_REPORT
-from tests.helpers import rows
+from tests.helpers import final_plan, rows
 
 MONTHS = 200
 
@@ -166,8 +166,51 @@ def test_folds_take_one_aggregation(spark):
     polynomial = tr.train_revenue_model(frame(spark, x, y), folds=0).polynomial
     context = spark.sparkContext
     context.setJobGroup("folds", "folds")
-    tr.cross_validate(prepared, polynomial, float(y.mean()), float(y.var()))
+    tr.cross_validate(prepared, polynomial, float(y.mean()), float(y.var()), 10)
     jobs = context.statusTracker().getJobIdsForGroup("folds")
     context.setJobGroup("", "")
     prepared.unpersist()
     assert len(jobs) <= 2
+
+
+def test_every_fold_has_a_row_or_is_named(spark):
+    x, y = months(noise=1e4)
+    with pytest.raises(tr.TooFewRows, match="fold"):
+        tr.train_revenue_model(frame(spark, x[:12], y[:12]), folds=10)
+    with pytest.raises(tr.TooFewRows, match="no training rows"):
+        tr.train_revenue_model(frame(spark, x[:12], y[:12]).limit(0), folds=0)
+
+
+@pytest.mark.parametrize("degree", [2, 3])
+def test_sums_stay_in_generated_code(spark, degree):
+    x, y = months(noise=1e4)
+    prepared = tr.prepared_rows(frame(spark, x, y), folds=4)
+    polynomial = tr.train_revenue_model(frame(spark, x, y), folds=0, degree=degree).polynomial
+    frames = tr.sums_of_products(prepared, polynomial, float(y.mean()), float(y.std()))
+    assert len(frames) == (1 if degree == 2 else 4)
+    for one in frames:
+        plan = final_plan(one)
+        assert plan.count("HashAggregate") == 2
+        assert plan.count(") HashAggregate") == 2  # each behind the number of its generated stage
+
+
+def test_training_reads_its_rows_twice_and_keeps_no_copy(spark, tmp_path):
+    x, y = months(noise=1e4)
+    frame(spark, x, y).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    context = spark.sparkContext
+    context.setJobGroup("train", "train")
+    tr.train_revenue_model(table, folds=10)
+    jobs = context.statusTracker().getJobIdsForGroup("train")
+    context.setJobGroup("", "")
+    assert len(jobs) <= 4  # two passes, each a scan and a small sum under adaptive execution
+    assert context._jsc.sc().getPersistentRDDs().isEmpty()
+
+
+def test_the_latest_run_is_current_whatever_its_version(spark, tmp_path):
+    """A run of a job has a time as version, one of a refresh a batch number; the later one counts."""
+    root = str(tmp_path)
+    x, y = months(noise=1e4)
+    tr.train_revenue_model(frame(spark, x, y), folds=0, save_root=root)
+    later = tr.train_revenue_model(frame(spark, x, 2 * y), folds=0, save_root=root, version=1)
+    assert tr.to_polynomial(tr.current_model(spark, root)) == later.polynomial
