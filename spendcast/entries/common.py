@@ -99,6 +99,19 @@ def row_features(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def net_price_features(spark: SparkSession, folder: str) -> DataFrame:
+    """lineitem rows whose net price is nearly a polynomial of degree 2 of price, discount, tax and quantity."""
+    return table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_extendedprice").alias("SEARCH_ENGINE"),
+        F.col("l_discount").alias("SOCIAL_MEDIA"),
+        F.col("l_tax").alias("VIDEO"),
+        F.col("l_quantity").alias("EMAIL"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("REVENUE"),
+    )
+
+
 SPEND_SQL = (
     "SELECT CAST(o_orderdate AS DATE) AS DATE, o_orderpriority AS CHANNEL, "
     "CAST(o_totalprice AS DECIMAL(18,2)) AS TOTAL_COST FROM orders"
@@ -144,3 +157,7 @@ ROW_FEATURES_SQL = (
     "SELECT l_orderkey, l_linenumber, l_quantity AS SEARCH_ENGINE, l_discount AS SOCIAL_MEDIA, "
     "l_tax AS VIDEO, CAST(l_linenumber AS DOUBLE) AS EMAIL, l_extendedprice AS REVENUE FROM lineitem"
 )
+NET_PRICE_SQL = (
+    "SELECT l_orderkey, l_linenumber, l_extendedprice AS SEARCH_ENGINE, l_discount AS SOCIAL_MEDIA, l_tax AS VIDEO, "
+    "l_quantity AS EMAIL, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS REVENUE FROM lineitem"
+)

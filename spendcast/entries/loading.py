@@ -2,28 +2,33 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendcast.entries.common import (
     FEATURES_SQL,
+    NET_PRICE_SQL,
     ORDER_CHANNELS,
     SPEND_SQL,
     WIDE_SQL,
     Entry,
     event_spend,
+    net_price_features,
     revenue,
     spend,
+    table,
 )
-from spendcast.entries.training import report_sql
+from spendcast.entries.training import report_sql, residual_steps, split_sql
 from spendcast.jobs import call
 from spendcast.operators.reshape import recode
 from spendcast.plans.features import spend_per_month_wide
 from spendcast.plans.training import model_runs
-from spendcast.schemas import CHANNEL_COLUMNS, MONTH_KEYS, TRAIN_REPORT
-from spendcast.sources.landing import bulk_load, load_new_files, narrow_counts, read_csv, stream_csv
-from spendcast.sources.tables import append_by_name, create_or_replace_table, overwrite_table
+from spendcast.schemas import CHANNEL_COLUMNS, FEATURES, MONTH_KEYS, TRAIN_REPORT
+from spendcast.sources.landing import bulk_load, load_new_files, load_table_once, narrow_counts, read_csv, stream_csv
+from spendcast.sources.tables import append_by_name, bounded_pandas, create_or_replace_table, insert_rows, overwrite_table
 from spendcast.streaming.refresh import Refresh, current_features, retrain_with
 from spendcast.workspace import new_folder
 
@@ -87,45 +92,139 @@ def _load(spark: SparkSession, root: str) -> None:
     load_new_files(source, f"{root}/table", f"{root}/checkpoint").awaitTermination()
 
 
-def _refresh_twice(spark: SparkSession, folder: str, retrain=None) -> str:
-    """Two drops of spend and revenue, each followed by a refresh; returns the root folder."""
-    root = new_folder(spark, "refresh")
-    costs, income = spend(spark, folder), revenue(spark, folder)
-    first_year = int(_SECOND_DROP[:4])
-    drops = (
-        (F.col("DATE") < _SECOND_DROP, F.col("YEAR") < first_year),
-        (F.col("DATE") >= _SECOND_DROP, F.col("YEAR") >= first_year),
-    )
-    for some_costs, some_income in drops:
-        costs.filter(some_costs).write.mode("append").parquet(f"{root}/spend")
-        income.filter(some_income).write.mode("append").parquet(f"{root}/revenue")
-        Refresh(
-            spark,
-            spark.readStream.schema(costs.schema).parquet(f"{root}/spend"),
-            spark.readStream.schema(income.schema).parquet(f"{root}/revenue"),
-            f"{root}/out",
-            ORDER_CHANNELS,
-            retrain,
-        ).run_once()
-    return f"{root}/out"
+def replace_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Filled with events, replaced at the same path, filled with spend: only spend is there."""
+    path = new_folder(spark, "spend")
+    name = "replaced_" + path[-12:]
+    for rows in (event_spend(spark, folder), spend(spark, folder)):
+        create_or_replace_table(spark, name, _SPEND_DDL, path)
+        append_by_name(rows, name)
+    return spark.table(name)
+
+
+def load_table_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """The same landing area loaded twice into a table with another order of columns, each row once."""
+    root = new_folder(spark, "load-once")
+    name = "loaded_" + root[-12:]
+    spend(spark, folder).write.option("header", "true").csv(f"{root}/landing")
+    create_or_replace_table(spark, name, "TOTAL_COST DECIMAL(18,2), DATE DATE, CHANNEL STRING", f"{root}/table")
+    for _ in range(2):
+        load_table_once(stream_csv(spark, f"{root}/landing", _SPEND), name, f"{root}/checkpoint")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def insert_then_read(spark: SparkSession, folder: str) -> DataFrame:
+    """A table filled from orders, then three literal rows by column name."""
+    path = new_folder(spark, "inserted")
+    name = "inserted_" + path[-12:]
+    overwrite_table(spend(spark, folder), name, path)
+    insert_rows(spark, name, ["CHANNEL", "DATE"], [("email", dt.date(2020, 1, 1)), ("video", None), (None, None)])
+    return spark.table(name)
+
+
+def bounded_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten largest orders as a bounded local result, which is a frame again."""
+    largest = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    largest = largest.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(10)
+    return spark.createDataFrame(bounded_pandas(largest, 10), "o_orderkey long, o_totalprice double")
+
+
+class _Feed:
+    """Drops of spend and revenue below a new folder, and refreshes of it."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.root = spark, new_folder(spark, "refresh")
+        self.costs, self.income = spend(spark, folder), revenue(spark, folder)
+        # Both folders exist before the first rows do.
+        self.drop("false", "false")
+
+    def drop(self, costs: str, income: str) -> None:
+        self.costs.filter(costs).write.mode("append").parquet(f"{self.root}/spend")
+        self.income.filter(income).write.mode("append").parquet(f"{self.root}/revenue")
+
+    def refresh(self, channels=ORDER_CHANNELS, **more) -> Refresh:
+        return Refresh(
+            self.spark,
+            self.spark.readStream.schema(self.costs.schema).parquet(f"{self.root}/spend"),
+            self.spark.readStream.schema(self.income.schema).parquet(f"{self.root}/revenue"),
+            self.out,
+            channels,
+            **more,
+        )
+
+    @property
+    def out(self) -> str:
+        return f"{self.root}/out"
+
+    def three_drops(self, **more) -> None:
+        """Spend of the first years, all revenue, the rest of the spend; a refresh after each."""
+        for costs, income in ((f"DATE < '{_SECOND_DROP}'", "false"), ("false", "true"), (f"DATE >= '{_SECOND_DROP}'", "false")):
+            self.drop(costs, income)
+            self.refresh(**more).run_once()
+
+    def features(self) -> DataFrame:
+        features = current_features(self.spark, self.out)
+        return features.select(
+            "YEAR", "MONTH", *[F.col(c).cast("decimal(28,2)").alias(c) for c in (*ORDER_CHANNELS.values(), "REVENUE")]
+        )
 
 
 def refresh_chain(spark: SparkSession, folder: str) -> DataFrame:
-    """The features after the second refresh."""
-    features = current_features(spark, _refresh_twice(spark, folder))
-    return features.select(
-        "YEAR", "MONTH", *[F.col(c).cast("decimal(28,2)").alias(c) for c in (*ORDER_CHANNELS.values(), "REVENUE")]
-    )
+    """The features after three drops, the first without revenue, with a retrain after each."""
+    feed = _Feed(spark, folder)
+    feed.three_drops(retrain=retrain_with())
+    return feed.features()
 
 
 def refresh_retrain(spark: SparkSession, folder: str) -> DataFrame:
-    """The report of the training run that followed the second refresh."""
-    root = _refresh_twice(spark, folder, retrain_with(folds=0))
-    runs = model_runs(spark, root)
-    last = runs.agg(F.max("version").alias("version")).scalar()
+    """The report of the training run that followed the third refresh."""
+    feed = _Feed(spark, folder)
+    feed.three_drops(retrain=retrain_with())
+    runs = model_runs(spark, feed.out)
+    last = runs.agg(F.max("run_time").alias("run_time")).scalar()
     report = [f.name for f in TRAIN_REPORT]
     rounded = {c: F.round(c, 6) for c in ("train_r2", "test_r2")}
-    return runs.filter(F.col("version") == last).select(*report).withColumns(rounded)
+    return runs.filter(F.col("run_time") == last).select(*report).withColumns(rounded)
+
+
+def refresh_new_channels(spark: SparkSession, folder: str) -> DataFrame:
+    """A refresh of two channels, then four: the root is rebuilt for them."""
+    feed = _Feed(spark, folder)
+    feed.drop(f"DATE < '{_SECOND_DROP}'", "true")
+    feed.refresh(dict(list(ORDER_CHANNELS.items())[:2])).run_once()
+    feed.drop(f"DATE >= '{_SECOND_DROP}'", "false")
+    feed.refresh().rebuild()
+    return feed.features()
+
+
+def refresh_suspend_resume(spark: SparkSession, folder: str) -> DataFrame:
+    """A refresh by interval, suspended between two drops."""
+    feed = _Feed(spark, folder)
+    refresh = feed.refresh()
+    for costs, income in ((f"DATE < '{_SECOND_DROP}'", "true"), (f"DATE >= '{_SECOND_DROP}'", "false")):
+        feed.drop(costs, income)
+        refresh.resume("1 second").processAllAvailable()
+        refresh.suspend()
+    return feed.features()
+
+
+def deployed_model_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """Trained by a refresh on months, then by the job on lines, deployed from the root both use: the later run counts."""
+    feed = _Feed(spark, folder)
+    feed.three_drops(retrain=retrain_with())
+    path = new_folder(spark, "net-price")
+    name = "net_price_" + path[-12:]
+    overwrite_table(net_price_features(spark, folder), name, path)
+    call(spark, "train_model", name, 10, 2, 0.85, 0.85, True, feed.out)
+    call(spark, "deploy_functions", feed.out, "deployed_by_array", "deployed_by_batch")
+    inputs = [F.col(f).cast("double") for f in FEATURES]
+    return spark.table(name).select(
+        "l_orderkey",
+        "l_linenumber",
+        F.round(F.call_udf("deployed_by_array", F.array(*inputs)), 1).alias("BY_ARRAY"),
+        F.round(F.call_udf("deployed_by_batch", *inputs), 1).alias("BY_BATCH"),
+    )
 
 
 def job_feature_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -150,13 +249,34 @@ _BOTH_SQL = (
     "event_type AS CHANNEL, CAST(ts AS DATE) AS DATE FROM events"
 )
 
+_INSERTED_SQL = (
+    f"{SPEND_SQL} UNION ALL SELECT * FROM (VALUES (DATE '2020-01-01', 'email', CAST(NULL AS DECIMAL(18,2))), "
+    "(CAST(NULL AS DATE), 'video', NULL), (NULL, NULL, NULL))"
+)
+# The job splits by every column, as the table has no month.
+_DEPLOYED_KEYS = ("l_orderkey", "l_linenumber")
+_ALL_COLUMNS = (*_DEPLOYED_KEYS, *FEATURES, "REVENUE")
+
 ENTRIES = {
     "csv_roundtrip": Entry(csv_roundtrip, SPEND_SQL),
     "bulk_load": Entry(bulk_load_table, SPEND_SQL),
+    "replace_table": Entry(replace_table, SPEND_SQL),
+    "load_table_once": Entry(load_table_twice, SPEND_SQL),
+    "insert_then_read": Entry(insert_then_read, _INSERTED_SQL),
+    "bounded_sample": Entry(
+        bounded_sample, "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10"
+    ),
     "overwrite_from_query": Entry(overwrite_from_query, WIDE_SQL),
     "append_by_name": Entry(append_rows_by_name, _BOTH_SQL),
     "incremental_load": Entry(incremental_load, SPEND_SQL),
     "refresh_chain": Entry(refresh_chain, FEATURES_SQL),
+    "refresh_new_channels": Entry(refresh_new_channels, FEATURES_SQL),
+    "refresh_suspend_resume": Entry(refresh_suspend_resume, FEATURES_SQL),
     "refresh_retrain": Entry(refresh_retrain, report_sql(FEATURES_SQL, MONTH_KEYS)),
+    "deployed_model_predictions": Entry(
+        deployed_model_predictions,
+        f"WITH {residual_steps(split_sql(NET_PRICE_SQL, _ALL_COLUMNS), _DEPLOYED_KEYS, 2)} SELECT l_orderkey, "
+        "l_linenumber, round(abs(y - r), 1) AS BY_ARRAY, round(abs(y - r), 1) AS BY_BATCH FROM final",
+    ),
     "job_feature_table": Entry(job_feature_table, FEATURES_SQL),
 }

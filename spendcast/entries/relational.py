@@ -162,6 +162,12 @@ def custom_order_index(spark: SparkSession, folder: str) -> DataFrame:
     return sort_by_list(named, "MONTH", MONTH_NAMES, "o_orderkey")
 
 
+def custom_order_first(spark: SparkSession, folder: str) -> DataFrame:
+    """The first rows of the list sort, which only the right order gives."""
+    named = _with_month_name(spark, folder)
+    return sort_by_list(named, "MONTH", MONTH_NAMES, "o_orderkey").limit(50)
+
+
 def flag_scenario(spark: SparkSession, folder: str) -> DataFrame:
     named = _with_month_name(spark, folder)
     return named.withColumns({"IS_SCENARIO": flag_equal("MONTH", "July"), "ROI": F.lit(8.5)})
@@ -260,6 +266,10 @@ ENTRIES = {
         + ", ".join(f"'{m}'" for m in MONTH_NAMES)
         + "], monthname(o_orderdate)) AS INT) AS MONTH_IX FROM orders",
     ),
+    "custom_order_first": Entry(
+        custom_order_first,
+        "SELECT o_orderkey, monthname(o_orderdate) AS MONTH FROM orders ORDER BY month(o_orderdate), o_orderkey LIMIT 50",
+    ),
     "flag_scenario": Entry(
         flag_scenario,
         "SELECT o_orderkey, monthname(o_orderdate) AS MONTH, "

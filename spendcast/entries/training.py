@@ -7,17 +7,16 @@ the normal equations the fit uses.
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendcast.entries.common import (
     FEATURES_SQL,
+    NET_PRICE_SQL,
     ORDER_CHANNELS,
     ROW_FEATURES_SQL,
     Entry,
+    net_price_features,
     revenue,
     row_features,
     spend,
@@ -28,6 +27,7 @@ from spendcast.operators.split import with_split
 from spendcast.plans.features import feature_table
 from spendcast.plans.training import (
     current_model,
+    fit_rows,
     fold_frame,
     report_frame,
     revenue_pipeline,
@@ -38,6 +38,9 @@ from spendcast.schemas import FEATURES, MONTH_KEYS
 from spendcast.workspace import new_folder
 
 
+_LINE_KEYS = ("l_orderkey", "l_linenumber")
+
+
 def _months(spark: SparkSession, folder: str) -> DataFrame:
     """The feature table, stored once: training reads it several times."""
     path = new_folder(spark, "features")
@@ -55,13 +58,13 @@ def kfold_sizes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ols_degree1(spark: SparkSession, folder: str) -> DataFrame:
-    """Price on quantity over every line: slope, intercept and R2."""
-    lines = table(spark, folder, "lineitem").select("l_quantity", "l_extendedprice")
-    assembled = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(lines)
-    regression = LinearRegression(labelCol="l_extendedprice", solver="normal", regParam=0.0)
-    fitted = regression.fit(assembled)
-    r2 = RegressionEvaluator(labelCol="l_extendedprice", metricName="r2").evaluate(fitted.transform(assembled))
-    row = (round(float(fitted.coefficients[0]), 4), round(float(fitted.intercept), 3), round(r2, 6))
+    """Price on quantity over every line: slope, intercept and R2, from two passes."""
+    rows = table(spark, folder, "lineitem").select("l_quantity", "l_extendedprice")
+    fitted = fit_rows(rows, ["l_quantity"], "l_extendedprice", degree=1)
+    # Weight and center are those of the scaled input.
+    slope = fitted.polynomial.weights[0] / fitted.polynomial.scales[0]
+    intercept = fitted.polynomial.intercept - slope * fitted.polynomial.centers[0]
+    row = (round(slope, 4), round(intercept, 3), round(fitted.r2, 6))
     return spark.createDataFrame([row], "SLOPE double, INTERCEPT double, R2 double")
 
 
@@ -79,15 +82,16 @@ def _rounded_report(spark: SparkSession, result) -> DataFrame:
 
 
 def train_report(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded_report(spark, train_revenue_model(_months(spark, folder)))
+
+
+def train_report_without_folds(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded_report(spark, train_revenue_model(_months(spark, folder), folds=0))
 
 
 def train_report_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Training on one row per lineitem row instead of one per month."""
-    rows = row_features(spark, folder)
-    return _rounded_report(
-        spark, train_revenue_model(rows, folds=0, keys=["l_orderkey", "l_linenumber"])
-    )
+    return _rounded_report(spark, train_revenue_model(row_features(spark, folder), keys=list(_LINE_KEYS)))
 
 
 def cv_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,19 +100,25 @@ def cv_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cv_scores_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Ten folds over one row per lineitem row; degree 1 keeps the SQL check short."""
-    rows = row_features(spark, folder)
-    result = train_revenue_model(rows, folds=10, degree=1, keys=["l_orderkey", "l_linenumber"])
+    """Ten folds of the model of degree 2 over one row per lineitem row."""
+    result = train_revenue_model(row_features(spark, folder), folds=10, degree=2, keys=list(_LINE_KEYS))
     return fold_frame(spark, result).withColumn("R2", F.round("R2", 6))
 
 
+def train_gate_passed(spark: SparkSession, folder: str) -> DataFrame:
+    """Degree 2, ten folds, both thresholds at 0.85: net prices fit well enough for the model to be saved."""
+    root = new_folder(spark, "models")
+    result = train_revenue_model(net_price_features(spark, folder), 10, 2, 0.85, 0.85, save_root=root, keys=list(_LINE_KEYS))
+    return _rounded_report(spark, result)
+
+
 def saved_model_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    """Train, save, load the current model, score every month."""
-    months = _months(spark, folder)
+    """Train, pass the gate, save, load the current model, score every line."""
+    rows = net_price_features(spark, folder)
     root = new_folder(spark, "models")
-    train_revenue_model(months, folds=0, train_threshold=-1e9, test_threshold=-1e9, save_root=root)
-    scored = score(with_split(months, MONTH_KEYS), to_polynomial(current_model(spark, root)))
-    return scored.select(*MONTH_KEYS, "IS_TEST", F.round("PREDICTED_ROI").alias("PREDICTED_ROI"))
+    train_revenue_model(rows, 10, 2, 0.85, 0.85, save_root=root, keys=list(_LINE_KEYS))
+    scored = score(with_split(rows, list(_LINE_KEYS)), to_polynomial(current_model(spark, root)))
+    return scored.select(*_LINE_KEYS, "IS_TEST", F.round("PREDICTED_ROI", 1).alias("PREDICTED_ROI"))
 
 
 def _digest(keys: tuple[str, ...]) -> str:
@@ -171,13 +181,13 @@ def residual_steps(
 _R2 = "1 - sum(r * r) {f} / nullif(var_pop(y) {f} * count(*) {f}, 0)"
 
 
-def report_sql(source: str, keys: tuple[str, ...], degree: int = 2) -> str:
+def report_sql(source: str, keys: tuple[str, ...], degree: int = 2, saved: bool = False) -> str:
     train = _R2.format(f="FILTER (WHERE NOT IS_TEST)")
     test = _R2.format(f="FILTER (WHERE IS_TEST)")
     return (
         f"WITH {residual_steps(split_sql(source, keys), keys, degree)} "
         f"SELECT round({train}, 6) AS train_r2, CAST(0.85 AS DOUBLE) AS train_threshold, "
-        f"round({test}, 6) AS test_r2, CAST(0.85 AS DOUBLE) AS test_threshold, false AS model_saved FROM final"
+        f"round({test}, 6) AS test_r2, CAST(0.85 AS DOUBLE) AS test_threshold, {str(saved).lower()} AS model_saved FROM final"
     )
 
 
@@ -188,7 +198,6 @@ def folds_sql(source: str, keys: tuple[str, ...], degree: int = 2) -> str:
     )
 
 
-_LINE_KEYS = ("l_orderkey", "l_linenumber")
 _SPLIT_ORDERS_SQL = split_sql("SELECT o_orderkey, o_custkey FROM orders", ("o_orderkey",))
 _LINES_SQL = "SELECT *, false AS IS_TEST, 0 AS FOLD FROM lineitem"
 _QUADRATIC_STEPS = residual_steps(_LINES_SQL, _LINE_KEYS, 2, label="l_extendedprice", features=("l_quantity",))
@@ -209,12 +218,14 @@ ENTRIES = {
         f"WITH {_QUADRATIC_STEPS} SELECT l_orderkey, l_linenumber, round(abs(y - r), 4) AS PREDICTED FROM final",
     ),
     "train_report": Entry(train_report, report_sql(FEATURES_SQL, MONTH_KEYS)),
+    "train_report_without_folds": Entry(train_report_without_folds, report_sql(FEATURES_SQL, MONTH_KEYS)),
     "train_report_rows": Entry(train_report_rows, report_sql(ROW_FEATURES_SQL, _LINE_KEYS)),
     "cv_scores": Entry(cv_scores, folds_sql(FEATURES_SQL, MONTH_KEYS)),
-    "cv_scores_rows": Entry(cv_scores_rows, folds_sql(ROW_FEATURES_SQL, _LINE_KEYS, degree=1)),
+    "cv_scores_rows": Entry(cv_scores_rows, folds_sql(ROW_FEATURES_SQL, _LINE_KEYS)),
+    "train_gate_passed": Entry(train_gate_passed, report_sql(NET_PRICE_SQL, _LINE_KEYS, saved=True)),
     "saved_model_predictions": Entry(
         saved_model_predictions,
-        f"WITH {residual_steps(split_sql(FEATURES_SQL, MONTH_KEYS), MONTH_KEYS, 2)} "
-        "SELECT YEAR, MONTH, IS_TEST, round(abs(y - r)) AS PREDICTED_ROI FROM final",
+        f"WITH {residual_steps(split_sql(NET_PRICE_SQL, _LINE_KEYS), _LINE_KEYS, 2)} "
+        "SELECT l_orderkey, l_linenumber, IS_TEST, round(abs(y - r), 1) AS PREDICTED_ROI FROM final",
     ),
 }

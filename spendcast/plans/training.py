@@ -18,6 +18,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -152,6 +153,43 @@ class _Equations:
         return _r2(error, spread) if spread > 1e-12 * self.squares else None
 
 
+class FittedRows(NamedTuple):
+    """A model over all rows and its R2 on them."""
+
+    polynomial: Polynomial
+    r2: float | None
+
+
+def fit_rows(rows: DataFrame, features: Sequence[str], label: str, degree: int) -> FittedRows:
+    """Fit on every row of a frame, without a split; two passes."""
+    all_rows = prepared_rows(rows, [label], features=features, label=label)
+    all_rows = all_rows.withColumns({"IS_TEST": F.lit(False), "FOLD": F.lit(0)})
+    base, mean, spread = _scaled(all_rows, features, label, degree)
+    (found,) = _equations(all_rows, base, mean, spread, label).values()
+    weights = found.solve()
+    return FittedRows(_weighted(base, weights, mean, spread), found.r2(weights))
+
+
+def _scaled(rows: DataFrame, features: Sequence[str], label: str, degree: int) -> tuple[Polynomial, float, float]:
+    """A polynomial that knows its centers and scales but no weights, with mean and deviation of the label."""
+    n = len(features)
+    found = _sides(features, label, rows)
+    if found[f"m{n}"] is None:
+        raise TooFewRows("no training rows")
+    exponents = polynomial_exponents(n, degree)
+    # A constant channel has no deviation; any scale does.
+    base = Polynomial(
+        tuple(features), exponents, tuple(0.0 for _ in exponents), 0.0,
+        tuple(float(found[f"m{i}"]) for i in range(n)), tuple(float(found[f"s{i}"] or 1.0) for i in range(n)),
+    )
+    return base, float(found[f"m{n}"]), float(found[f"s{n}"] or 1.0)
+
+
+def _weighted(base: Polynomial, weights: np.ndarray, mean: float, spread: float) -> Polynomial:
+    scaled = tuple(float(w * spread) for w in weights[1:])
+    return replace(base, weights=scaled, intercept=float(weights[0] * spread + mean))
+
+
 def _sides(features: Sequence[str], label: str, rows: DataFrame) -> dict:
     """Means and deviations over the training side, from one pass."""
     inputs = [*features, label]
@@ -255,17 +293,7 @@ def train_revenue_model(
     rows = prepared_rows(features, keys, seed, folds)
     if not folds:
         rows = rows.withColumn("FOLD", F.lit(0))
-    found = _sides(FEATURES, LABEL, rows)
-    if found[f"m{len(FEATURES)}"] is None:
-        raise TooFewRows("no training rows")
-    exponents = polynomial_exponents(len(FEATURES), degree)
-    # A constant channel has no deviation; any scale does.
-    base = Polynomial(
-        tuple(FEATURES), exponents, tuple(0.0 for _ in exponents), 0.0,
-        tuple(float(found[f"m{i}"]) for i in range(len(FEATURES))),
-        tuple(float(found[f"s{i}"] or 1.0) for i in range(len(FEATURES))),
-    )
-    mean, spread = float(found[f"m{len(FEATURES)}"]), float(found[f"s{len(FEATURES)}"] or 1.0)
+    base, mean, spread = _scaled(rows, FEATURES, LABEL, degree)
     parts = _equations(rows, base, mean, spread, LABEL)
     train = [p for (is_test, _), p in parts.items() if not is_test]
     test = [p for (is_test, _), p in parts.items() if is_test]
@@ -274,9 +302,7 @@ def train_revenue_model(
     weights = train.solve()
     train_r2 = train.r2(weights)
     test_r2 = sum(test[1:], test[0]).r2(weights) if test else None
-    polynomial = replace(
-        base, weights=tuple(float(w * spread) for w in weights[1:]), intercept=float(weights[0] * spread + mean)
-    )
+    polynomial = _weighted(base, weights, mean, spread)
 
     passed = passes_gate(train_r2, train_threshold) and passes_gate(test_r2, test_threshold)
     report = _report(train_r2, train_threshold, test_r2, test_threshold, bool(save_root) and passed)
