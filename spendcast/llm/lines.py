@@ -104,11 +104,12 @@ def repeated_runs(documents: DataFrame, *, min_lines: int = 2, min_words: int =
 
 
 def dedup_lines(documents: DataFrame, *, min_lines: int = 2, min_words: int = 50, report: bool = False) -> DataFrame:
-    """The documents without later copies of repeated runs; with ``report``, columns n_lines, n_removed, n_runs as well."""
+    """The documents without later copies of repeated runs; with ``report``, n_lines, n_removed and n_runs as well (instead of columns of these names)."""
     runs = stored(repeated_runs(documents, min_lines=min_lines, min_words=min_words), "line-runs")
     runs = runs.groupBy("d", "k").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("runs"))
-    carried = documents.select(F.struct("*").alias("llm_row"), F.col("doc_id").alias("d"), whole_text().alias("t"))
-    joined = carried.withColumn("k", F.xxhash64("t")).join(runs, ["d", "k"], "left")
+    carried = documents.select(F.struct("*").alias("llm_row"), F.col("doc_id").alias("d"), F.xxhash64(whole_text()).alias("k"))
+    # A sort-merge join at every size: the runs of a large table are nothing to broadcast.
+    joined = carried.join(runs.hint("merge"), ["d", "k"], "left").withColumn("t", F.coalesce("llm_row.text", F.lit("")))
     places = "filter(sequence(0, size(lines) - 1), i -> trim(element_at(lines, i + 1)) != '')"
     cut = (
         joined.withColumn("lines", F.expr("if(runs is null, null, split(t, '\\n'))"))
@@ -126,6 +127,7 @@ def dedup_lines(documents: DataFrame, *, min_lines: int = 2, min_words: int = 50
         changed["n_chars"] = F.when(F.col("runs").isNull(), F.col("llm_row.n_chars")).otherwise(length)
     out = [changed.get(c, F.col(f"llm_row.`{c}`")).alias(c) for c in documents.columns]
     if report:
+        out = [c for c, name in zip(out, documents.columns) if name not in ("n_lines", "n_removed", "n_runs")]
         out += [
             F.expr("size(split(t, '\\n'))").alias("n_lines"),
             F.expr("coalesce(size(lines) - size(kept), 0)").alias("n_removed"),
