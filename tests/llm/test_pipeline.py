@@ -1,0 +1,60 @@
+"""The registered queries and the pipeline on the smallest folder."""
+
+from __future__ import annotations
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as driver
+import corpus_pipeline
+from spendcast.llm import queries
+from tests.llm.helpers import documents, prose
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+PER_DOCUMENT = ["op1_token_counts", "op2_toxicity", "op4_line_dedup", "op5_suffix_dedup", "op7_simhash", "op8_byte_bpe", "op10_spotsigs"]
+
+
+def test_every_operator_has_one_query():
+    names = sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert set(driver.queries()) >= {*names, "pipeline"}
+
+
+@pytest.mark.parametrize("name", PER_DOCUMENT)
+def test_one_row_for_each_document(spark, name):
+    ids = sorted(r["doc_id"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id").collect())
+    found = queries.QUERIES[name](spark, FOLDER)
+    assert sorted(r["doc_id"] for r in found.collect()) == ids
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{FOLDER}/documents.parquet')")
+    found = queries.QUERIES[name](spark, FOLDER)
+    expected = con.execute(queries.ORACLE_SQL[name])
+    names = [d[0] for d in expected.description]
+    assert sorted(tuple(r[n] for n in names) for r in found.collect()) == sorted(expected.fetchall())
+
+
+def test_stages_keep_columns_and_end_in_ids(spark):
+    source = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    last = corpus_pipeline.run(spark, FOLDER)
+    ids = [r["doc_id"] for r in last.collect()]
+    assert len(ids) == len(set(ids)) and set(ids) <= {r["doc_id"] for r in source.collect()}
+    assert len(ids) > source.count() / 2
+    assert all(len(r["token_bytes"]) == 4 * r["n_tokens"] for r in last.collect())
+
+
+@pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES)
+def test_stages_take_odd_rows(spark, name, stage):
+    clean = [prose(i, 80, 10**6) for i in range(20)]
+    df = documents(spark, [*clean, clean[0], "", None, (None, "a row without an id"), (3, clean[3]), (50, "x" * 100_000)])
+    for docs in (df, df.limit(0)):
+        found = stage(spark, docs, FOLDER)
+        if stage is not corpus_pipeline.STAGES[-1][1]:
+            assert found.columns == df.columns
+        ids = {r["doc_id"] for r in found.select("doc_id").collect()}
+        assert docs is not df or ids >= set(range(20))
