@@ -95,8 +95,8 @@ def contaminated(
     *,
     shingle: int = 5,
     min_similarity: float = 0.8,
-    max_bits: int = 19,
-    blocks: int = 5,
+    max_bits: int = 23,
+    blocks: int = 6,
 ) -> DataFrame:
     """(doc_id, text_key, item_id, similarity, start_word): each item found in each document, at its best place."""
     items = _items(benchmark, shingle)

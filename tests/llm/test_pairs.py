@@ -242,10 +242,10 @@ def test_decontamination_without_broadcast_is_the_same(spark, monkeypatch):
 
 def test_blocks_reach_every_fingerprint_within_the_distance():
     rng = np.random.default_rng(1)
-    cuts = decontaminate._blocks(19, 5)
+    cuts = decontaminate._blocks(23, 6)
     assert sum((mask + 1).bit_length() - 1 for _, mask, _ in cuts) == 64
     for _ in range(500):
-        bits = rng.choice(64, 19, replace=False)
+        bits = rng.choice(64, 23, replace=False)
         differ = sum(1 << int(b) for b in bits)
         assert any((differ >> low & mask) in flips for low, mask, flips in cuts)
 
