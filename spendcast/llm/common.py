@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,10 +44,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of stages whose results have been stored.
 
-    The context cleaner acts when the driver has collected its garbage, which
-    on a large heap may be long after the next shuffle has filled the disks.
+    The context cleaner acts when driver objects have been collected, which on a
+    large heap may be long after the next shuffle has filled the disks: first
+    the frames that Python still holds in cycles, then what they held in the JVM.
     """
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)  # the cleaner works in the background
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
