@@ -4,15 +4,12 @@ from __future__ import annotations
 
 import gc
 import time
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendcast.workspace import new_folder
 
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of the folder."""
@@ -58,10 +55,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
-
-
 def sql_strings(values) -> str:
     """A list of SQL string literals."""
     return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
