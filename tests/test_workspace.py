@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from spendcast.workspace import new_folder, shared_folder
+from spendcast.workspace import new_folder, release, shared_folder
 
 
 class Session:
@@ -33,3 +33,14 @@ def test_temporary_folder_on_a_local_master_only():
 def test_new_folders_differ(spark):
     first, second = new_folder(spark, "x"), new_folder(spark, "x")
     assert first != second and first.startswith(shared_folder(spark) + "/")
+
+
+def test_release_removes_a_jobs_folder_only(spark, tmp_path):
+    folder = new_folder(spark, "released")
+    spark.range(3).write.parquet(folder)
+    release(spark, folder)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(folder)
+    release(spark, folder)
+    with pytest.raises(ValueError):
+        release(spark, str(tmp_path))
