@@ -39,7 +39,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left (four bytes each, lowest first), with digests of the ids and of the decoded bytes."""
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS_FILE))
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN)
+    kept = docs.select("doc_id", "lang", "source", "text")
+    encoded = bpe.encode(kept, ranks, public_tokenizers.PATTERN, decoded="decoded")
     return encoded.select(
         "doc_id",
         "lang",
@@ -47,7 +48,7 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         F.floor(F.length("token_bytes") / 4).cast("long").alias("n_tokens"),
         "token_bytes",
         F.sha2("token_bytes", 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("token_bytes"), ranks, spark), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
