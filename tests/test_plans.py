@@ -15,9 +15,13 @@ ENTRIES = all_entries()
 LAZY = [
     n
     for n in ENTRIES
-    if n.split("_")[0] not in {"csv", "bulk", "overwrite", "append", "incremental", "refresh", "job", "save", "saved"}
-    and n not in {"train_report", "train_report_rows", "cv_scores", "cv_scores_rows", "ols_degree1", "ols_quadratic"}
-]
+    if n.split("_")[0]
+    not in {
+        "csv", "bulk", "replace", "load", "insert", "bounded", "overwrite", "append", "incremental", "refresh", "job",
+        "save", "saved", "train", "deployed",
+    }
+    and n not in {"cv_scores", "cv_scores_rows", "ols_degree1", "ols_quadratic"}
+]
 
 
 def scan_schemas(plan: str) -> list[str]:
