@@ -11,7 +11,7 @@ import __spark_entry__ as driver
 from spendcast.entries import all_entries
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-# The queries of the reference's own operators; each has SQL.
+# The queries of the library's own operators; each has SQL.
 ENTRIES = all_entries()
 QUERIES = {name: driver.queries()[name] for name in ENTRIES}
 SQL = {name: driver.oracle_sql()[name] for name in ENTRIES}
