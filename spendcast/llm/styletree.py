@@ -60,12 +60,15 @@ SIBLINGS = {
 }
 # Words in class, id or role that say what an element is.
 NOISE_WORDS = frozenset(
-    "ad ads adsense advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo cookie"
-    " cookies disqus footer gdpr header login masthead menu modal nav navbar navigation navigationbar newsletter notice notices"
-    " pager pagination popup promo promotion recommended related replies reply respond search share sharing sidebar signup"
-    " social sponsor sponsored subscribe toolbar widget widgets".split()
+    "ad ads adsense advert advertisement advertising alert alertdialog banner breadcrumb breadcrumbs comment comments"
+    " complementary consent contentinfo cookie cookies copyright dialog discussion discussions disqus footer form gdpr header"
+    " login masthead menu modal nav navbar navigation newsletter notice notices outbrain pager pagination popup promo promotion"
+    " recommended related replies reply respond responses search share sharing sidebar signup social sponsor sponsored subscribe"
+    " taboola teaser teasers toolbar topbar widget widgets".split()
 )
-WRAPPER_WORDS = frozenset("article body container content has main layout page post site with without wrap wrapper".split())
+# Words that make such a name one of the page around it (has-sidebar, sidebar-layout).
+AROUND_WORDS = frozenset("has no not with without".split())
+AROUND_LAST = frozenset("layout page site template".split())
 IN_ARTICLE_KEPT = frozenset({"header", "banner"})
 
 _TOKEN = re.compile(
@@ -73,7 +76,11 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(
+    r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style|itemprop)(?![\w-])(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I
+)
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _RAW = {tag: re.compile(rf"</{tag}\b", re.I) for tag in ("script", "style", "textarea", "title", "noscript", "iframe")}
 _OPENED = re.compile(r"</?[a-zA-Z]")
 _DIGITS = re.compile(r"\d+")
@@ -104,12 +111,14 @@ class _Element:
 def _is_noise(tag: str, names: list[str], hidden: bool, inside: bool) -> bool:
     if tag in SKIPPED or hidden or (tag == "header" and not inside):
         return True
+    if tag in ("html", "body"):  # their classes speak of the page
+        return False
     for name in names:
-        words = set(_SPLIT.split(name.lower()))
-        found = words & NOISE_WORDS
+        words = [w for w in _SPLIT.split(_HUMP.sub("-", name).lower()) if w]
+        found = NOISE_WORDS.intersection([*words, *(a + b for a, b in zip(words, words[1:]))])  # also side-bar
         if inside:
             found = found - IN_ARTICLE_KEPT
-        if found and not words & WRAPPER_WORDS:
+        if found and words[-1] not in AROUND_LAST and not AROUND_WORDS.intersection(words):
             return True
     return False
 
@@ -170,8 +179,10 @@ def parse(page: str | None) -> tuple[list, list, list]:
         if raw and raw != "/":
             for name, a, b, c in _ATTRIBUTE.findall(raw):
                 value, name = a or b or c, name.lower()
-                if name == "hidden":
-                    hidden = True
+                if name in ("hidden", "aria-hidden"):
+                    hidden = hidden or (value.lower() != "false" if name == "hidden" else value.lower() == "true")
+                elif name == "style":
+                    hidden = hidden or _UNSEEN.search(value) is not None
                 elif name == "itemprop":
                     marked = marked or value == "articleBody"
                 elif name == "role":

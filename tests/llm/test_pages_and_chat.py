@@ -34,6 +34,9 @@ def texts(page):
         ("<div role=main><p>m</p></div><p>out</p>", ["m"]),
         ("<header>h</header><nav>n</nav><p>x</p><footer>f</footer><form>g</form>", ["x"]),
         ("<div class='ad top'>a</div><div id=cookie-notice>c</div><div class='content-with-sidebar'>kept</div>", ["kept"]),
+        ("<div class='site-header'>h</div><div id=mainNav>n</div><div class='side-bar'>s</div><div class='post-comments'>c</div><p>x", ["x"]),
+        ("<body class='has-sidebar ads'><div class='sidebar-layout'><p data-class='ad'>x</p><p aria-hidden=false>y</p></div>", ["x", "y"]),
+        ("<p style='color:red'>x</p><p style='display: none'>no</p><p aria-hidden='true'>no</p>", ["x"]),
         ("<article><header><h1>T</h1></header>x</article>", ["T", "x"]),
         ("<script>if (a<b) { '</p>' }</script><style>p{}</style><noscript>n</noscript><p>x", ["x"]),
         ("<!-- <p>no</p> --><p>x<!-- y", ["x"]),
