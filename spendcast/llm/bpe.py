@@ -44,6 +44,7 @@ from spendcast.llm.common import stored, whole_text
 LONGEST = 48  # bytes of a word in the dictionary
 BUCKETS = 8192
 _NO_RANK = 2**31 - 1
+_PLAN_TEXT = "spark.sql.maxPlanStringLength"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -273,7 +274,12 @@ def encode(
         fold_merges(F.col("word"), ranks), lambda i: F.concat(*(F.substring(F.hex(i + (1 << 32)), p, 2) for p in (8, 6, 4, 2)))
     )
     # Bounded: dictionary_size words of at most LONGEST bytes, each byte at most one id.
-    table = stored(words.select("word", F.unhex(F.array_join(little, "")).alias("ids")), "word-ids").toArrow()
+    longest = spark.conf.get(_PLAN_TEXT)
+    spark.conf.set(_PLAN_TEXT, "20000")  # the plan holds all ranks; its text, which the driver keeps, need not
+    try:
+        table = stored(words.select("word", F.unhex(F.array_join(little, "")).alias("ids")), "word-ids").toArrow()
+    finally:
+        spark.conf.set(_PLAN_TEXT, longest)
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema) as writer:
         writer.write_table(table)

@@ -30,11 +30,13 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared folder and read again.
 
     This cuts the lineage: what follows survives a lost executor without
-    repeating what came before, and gets the same rows on each reading.
+    repeating what came before, and gets the same rows on each reading. The
+    driver's heap is collected after it, plans and shuffles it has done with.
     """
     spark = df.sparkSession
     folder = new_folder(spark, purpose)
     df.write.option("compression", "zstd").parquet(folder)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -23,7 +23,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendcast.llm.common import sql_strings, stored, whole_text
+from spendcast.llm.common import release, sql_strings, stored, whole_text
 
 # Insults that are known without labels.
 INSULTS = (
@@ -186,6 +186,7 @@ def fit_toxicity(
     trees = trees.setProbabilityCol("tox_probability").setRawPredictionCol("tox_margin").fit(trained)
     margins = trees.transform(calibrated).select(_margin().alias("tox_x"), F.col("label").cast("double").alias("label"))
     calibration = IsotonicRegression(featuresCol="tox_x", labelCol="label", predictionCol="tox_score").fit(margins)
+    release(documents.sparkSession)  # the fit runs many small jobs
     return ToxicityModel(words, stems, trees, calibration, float(counts["rate"]))
 
 
