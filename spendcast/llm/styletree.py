@@ -12,7 +12,10 @@ single page 0. With c children on average, the two are weighed 1 - 0.9^c and
 Importance alone cannot tell an advert whose text is new on each page from an
 article, nor judge a host with few pages. Elements whose tag, class or role says
 what they are (menus, footers, adverts, comments, ...) are therefore removed by
-that, and an element that is marked as the article is never removed by entropy.
+that. Branches inside an element that is marked as the article or main element
+are judged like all others; the marked element and what is around it are not
+removed, and where nothing of the marked elements would be left, they stay as
+they are.
 
 Text blocks are cut at block elements; references are decoded, white space
 becomes one space, and blocks are joined by a line feed. Where a page marks an
@@ -87,7 +90,7 @@ _DIGITS = re.compile(r"\d+")
 _SPLIT = re.compile(r"[^a-z]+")
 
 PARSED = (
-    "blocks array<struct<text string, chain array<bigint>>>,"
+    "blocks array<struct<text string, chain array<bigint>, marked boolean>>,"
     " nodes array<struct<path bigint, style bigint, children int>>,"
     " features array<struct<path bigint, block bigint>>"
 )
@@ -99,13 +102,14 @@ def _hash(text: str, seed: int = 0) -> int:
 
 
 class _Element:
-    __slots__ = ("tag", "path", "noise", "article", "main", "children", "listed", "outer")
+    __slots__ = ("tag", "path", "noise", "article", "main", "children", "listed", "outer", "chain")
 
-    def __init__(self, tag: str, path: int, noise: bool, article: bool, main: bool, listed: bool, outer: tuple) -> None:
+    def __init__(self, tag: str, path: int, noise: bool, article: bool, main: bool, listed: bool, outer: tuple, chain: tuple) -> None:
         self.tag, self.path, self.noise, self.article, self.main = tag, path, noise, article, main
         self.children: list[str] = []
         self.listed = listed  # counts as a node of the style tree
         self.outer = outer  # paths of the nodes around, itself included
+        self.chain = chain  # those of them whose removal removes its text
 
 
 def _is_noise(tag: str, names: list[str], hidden: bool, inside: bool) -> bool:
@@ -126,9 +130,9 @@ def _is_noise(tag: str, names: list[str], hidden: bool, inside: bool) -> bool:
 def parse(page: str | None) -> tuple[list, list, list]:
     """Of one page: text blocks that may count with the nodes around them, nodes with their child sequence, blocks of nodes."""
     page = page or ""
-    root = _Element("", 0, False, False, False, False, ())
+    root = _Element("", 0, False, False, False, False, (), ())
     stack = [root]
-    blocks: list[tuple[str, tuple, int]] = []  # text, nodes around, rank: 2 article, 1 main, 0 elsewhere
+    blocks: list[tuple[str, tuple, int]] = []  # text, nodes that can remove it, rank: 2 article, 1 main, 0 elsewhere
     styles: dict[int, list[str]] = {}
     counts: dict[int, list[int]] = {}
     features: set[tuple[int, int]] = set()
@@ -144,7 +148,7 @@ def parse(page: str | None) -> tuple[list, list, list]:
             block = _hash(text)
             features.update((path, block) for path in top.outer)
             if not top.noise:
-                blocks.append((text, top.outer, 2 if top.article else 1 if top.main else 0))
+                blocks.append((text, top.chain, 2 if top.article else 1 if top.main else 0))
 
     def close(size: int) -> None:
         while len(stack) > size:
@@ -200,10 +204,12 @@ def parse(page: str | None) -> tuple[list, list, list]:
         noise = top.noise or _is_noise(tag, names, hidden, inside)
         article = not noise and (top.article or (marked and tag != "main" and "main" not in names))
         main = not noise and (top.main or marked)
-        # Below a removed element or an article there are no more nodes; the text belongs to that element.
-        listed = not top.noise and not (top.article or top.main) and tag not in ("html", "body") and tag in BLOCKS
+        # Below a removed element there are no more nodes; the text belongs to that element.
+        marks = (article and not top.article) or (main and not top.main)  # protects itself and what is around it
+        listed = not top.noise and not marks and tag not in ("html", "body") and tag in BLOCKS
         path = _hash(label, top.path)
-        stack.append(_Element(tag, path, noise, article, main, listed, (*top.outer, path) if listed else top.outer))
+        own = (path,) if listed else ()
+        stack.append(_Element(tag, path, noise, article, main, listed, (*top.outer, *own), () if marks else (*top.chain, *own)))
 
     at = 0
     while at < len(page):
@@ -236,14 +242,14 @@ def parse(page: str | None) -> tuple[list, list, list]:
     end_block()
     close(1)
     best = max((rank for *_, rank in blocks), default=0)
-    kept = [{"text": text, "chain": list(outer) if rank == 0 else []} for text, outer, rank in blocks if rank == best]
+    kept = [{"text": text, "chain": list(chain), "marked": rank > 0} for text, chain, rank in blocks if rank == best]
     nodes = [{"path": p, "style": _hash("|".join(s)), "children": sum(counts[p]) // len(counts[p])} for p, s in styles.items()]
     return kept, nodes, [{"path": p, "block": b} for p, b in features]
 
 
 def _parse_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     types = {
-        "blocks": pa.list_(pa.struct([("text", pa.string()), ("chain", pa.list_(pa.int64()))])),
+        "blocks": pa.list_(pa.struct([("text", pa.string()), ("chain", pa.list_(pa.int64())), ("marked", pa.bool_())])),
         "nodes": pa.list_(pa.struct([("path", pa.int64()), ("style", pa.int64()), ("children", pa.int32())])),
         "features": pa.list_(pa.struct([("path", pa.int64()), ("block", pa.int64())])),
     }
@@ -307,5 +313,7 @@ def extract_text(pages: DataFrame, *, min_importance: float = 0.3, min_pages: in
     few = low.count() <= BROADCAST_ROWS
     removed = low.groupBy("tree_host").agg(F.collect_set("path").alias("removed"))
     joined = parsed.drop("nodes", "features").join(F.broadcast(removed) if few else removed, "tree_host", "left")
-    left = F.expr("filter(blocks, b -> removed is null or not arrays_overlap(b.chain, removed)).text")
-    return joined.select(*(F.col(f"tree_row.`{c}`").alias(c) for c in kept), F.array_join(left, "\n").alias(out))
+    left = joined.withColumn("left", F.expr("filter(blocks, b -> removed is null or not arrays_overlap(b.chain, removed))"))
+    lost = "exists(blocks, b -> b.marked) and not exists(left, b -> b.marked)"  # nothing is left of the marked elements
+    text = F.expr(f"if({lost}, filter(blocks, b -> b.marked), left).text")
+    return left.select(*(F.col(f"tree_row.`{c}`").alias(c) for c in kept), F.array_join(text, "\n").alias(out))

@@ -95,6 +95,15 @@ def test_an_article_that_all_pages_share_stays(spark):
     assert styletree.extract_text(df.limit(0)).count() == 0
 
 
+def test_what_a_host_repeats_inside_its_articles_goes(spark):
+    box = "<div class=box><p>follow our channel for more</p></div>"
+    rows = [(i, "http://a.example/", f"<{tag}><h1>t{i}</h1>{box}<p>{prose(i, 20)}</p></{end}>")
+            for i, (tag, end) in enumerate([("article", "article"), ("main", "main"), ("div role=main", "div"), ("div itemprop=articleBody", "div")] * 6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in styletree.extract_text(df).collect()}
+    assert found == {i: f"t{i}\n{prose(i, 20)}" for i in range(24)}
+
+
 def test_importance_by_hand(spark):
     """Four pages of a host: a box that looks the same and says the same, a list that does neither."""
     rows = [(i, "http://h/", f"<div id=a><p>same</p></div><ul>{'<li>' * i}u{i}</ul>") for i in range(1, 5)]
