@@ -18,8 +18,10 @@ removed, and where nothing of the marked elements would be left, they stay as
 they are.
 
 Text blocks are cut at block elements; references are decoded, white space
-becomes one space, and blocks are joined by a line feed. Where a page marks an
-article (or else a main element), only that counts.
+becomes one space, and blocks are joined by a line feed. Where articles hold at
+least half of the words that a page has left, only they count, with the title
+of a main element around them; else only main elements, where those hold half;
+else the whole page.
 
 Defined results: null and empty pages have an empty text; a null url is a host
 of its own that is never judged by entropy; repeated rows count as pages of
@@ -88,9 +90,15 @@ _RAW = {tag: re.compile(rf"</{tag}\b", re.I) for tag in ("script", "style", "tex
 _OPENED = re.compile(r"</?[a-zA-Z]")
 _DIGITS = re.compile(r"\d+")
 _SPLIT = re.compile(r"[^a-z]+")
+# A word, or a letter of a script that leaves no space between words.
+_CLOSE = "\\u0e00-\\u0eff\\u1000-\\u109f\\u1780-\\u17ff\\u3040-\\u30ff\\u3400-\\u9fff\\U00020000-\\U0003ffff"
+_WORD = re.compile(rf"[{_CLOSE}]|[^\W{_CLOSE}]+")
+
+# Bits of a block's place.
+IN_MAIN, IN_ARTICLE, TITLE = 1, 2, 4
 
 PARSED = (
-    "blocks array<struct<text string, chain array<bigint>, marked boolean>>,"
+    "blocks array<struct<text string, chain array<bigint>, place int, words int>>,"
     " nodes array<struct<path bigint, style bigint, children int>>,"
     " features array<struct<path bigint, block bigint>>"
 )
@@ -127,12 +135,37 @@ def _is_noise(tag: str, names: list[str], hidden: bool, inside: bool) -> bool:
     return False
 
 
+def choose(blocks: list[dict]) -> list[dict]:
+    """The blocks in articles, in main elements, or all: the first that has at least half of the words. ``CHOSEN`` is the same rule."""
+    for counted, taken in ((IN_ARTICLE, IN_ARTICLE | TITLE), (IN_MAIN, IN_MAIN)):
+        if 2 * sum(b["words"] for b in blocks if b["place"] & counted) >= sum(b["words"] for b in blocks):
+            return [b for b in blocks if b["place"] & taken]
+    return blocks
+
+
+def _words(of: str) -> str:
+    return f"aggregate(left, 0L, (n, b) -> n + if({of}, b.words, 0))"
+
+
+# The chosen blocks of the column left.
+CHOSEN = (
+    f"case when 2 * {_words(f'b.place & {IN_ARTICLE} <> 0')} >= {_words('true')} then filter(left, b -> b.place & {IN_ARTICLE | TITLE} <> 0)"
+    f" when 2 * {_words(f'b.place & {IN_MAIN} <> 0')} >= {_words('true')} then filter(left, b -> b.place & {IN_MAIN} <> 0) else left end"
+)
+
+
 def parse(page: str | None) -> tuple[list, list, list]:
-    """Of one page: text blocks that may count with the nodes around them, nodes with their child sequence, blocks of nodes."""
+    """``read_page`` with the blocks that count where no node is removed."""
+    blocks, nodes, features = read_page(page)
+    return choose(blocks), nodes, features
+
+
+def read_page(page: str | None) -> tuple[list, list, list]:
+    """Of one page: text blocks with the nodes that can remove them, nodes with their child sequence, blocks of nodes."""
     page = page or ""
     root = _Element("", 0, False, False, False, False, (), ())
     stack = [root]
-    blocks: list[tuple[str, tuple, int]] = []  # text, nodes that can remove it, rank: 2 article, 1 main, 0 elsewhere
+    blocks: list[dict] = []
     styles: dict[int, list[str]] = {}
     counts: dict[int, list[int]] = {}
     features: set[tuple[int, int]] = set()
@@ -148,7 +181,8 @@ def parse(page: str | None) -> tuple[list, list, list]:
             block = _hash(text)
             features.update((path, block) for path in top.outer)
             if not top.noise:
-                blocks.append((text, top.chain, 2 if top.article else 1 if top.main else 0))
+                place = IN_MAIN * top.main | IN_ARTICLE * top.article | TITLE * (top.main and not top.article and top.tag == "h1")
+                blocks.append({"text": text, "chain": list(top.chain), "place": place, "words": max(1, len(_WORD.findall(text)))})
 
     def close(size: int) -> None:
         while len(stack) > size:
@@ -203,7 +237,7 @@ def parse(page: str | None) -> tuple[list, list, list]:
         inside = top.article or top.main
         noise = top.noise or _is_noise(tag, names, hidden, inside)
         article = not noise and (top.article or (marked and tag != "main" and "main" not in names))
-        main = not noise and (top.main or marked)
+        main = not noise and (top.main or (marked and not article))
         # Below a removed element there are no more nodes; the text belongs to that element.
         marks = (article and not top.article) or (main and not top.main)  # protects itself and what is around it
         listed = not top.noise and not marks and tag not in ("html", "body") and tag in BLOCKS
@@ -241,15 +275,15 @@ def parse(page: str | None) -> tuple[list, list, list]:
             at = end.start() if end else len(page)
     end_block()
     close(1)
-    best = max((rank for *_, rank in blocks), default=0)
-    kept = [{"text": text, "chain": list(chain), "marked": rank > 0} for text, chain, rank in blocks if rank == best]
     nodes = [{"path": p, "style": _hash("|".join(s)), "children": sum(counts[p]) // len(counts[p])} for p, s in styles.items()]
-    return kept, nodes, [{"path": p, "block": b} for p, b in features]
+    return blocks, nodes, [{"path": p, "block": b} for p, b in features]
 
 
 def _parse_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     types = {
-        "blocks": pa.list_(pa.struct([("text", pa.string()), ("chain", pa.list_(pa.int64())), ("marked", pa.bool_())])),
+        "blocks": pa.list_(
+            pa.struct([("text", pa.string()), ("chain", pa.list_(pa.int64())), ("place", pa.int32()), ("words", pa.int32())])
+        ),
         "nodes": pa.list_(pa.struct([("path", pa.int64()), ("style", pa.int64()), ("children", pa.int32())])),
         "features": pa.list_(pa.struct([("path", pa.int64()), ("block", pa.int64())])),
     }
@@ -257,7 +291,7 @@ def _parse_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         html_at, row_at = batch.schema.get_field_index("tree_html"), batch.schema.get_field_index("tree_row")
         for start in range(0, batch.num_rows, 500):  # small portions: what a page parses to is larger than the page
             part = batch.slice(start, 500)
-            parsed = list(zip(*(parse(v.as_py()) for v in part.column(html_at))))
+            parsed = list(zip(*(read_page(v.as_py()) for v in part.column(html_at))))
             arrays = [pa.array(list(column), kind) for column, kind in zip(parsed, types.values())]
             host = part.column(batch.schema.get_field_index("tree_host"))
             yield pa.RecordBatch.from_arrays([part.column(row_at), host, *arrays], names=["tree_row", "tree_host", *types])
@@ -314,6 +348,8 @@ def extract_text(pages: DataFrame, *, min_importance: float = 0.3, min_pages: in
     removed = low.groupBy("tree_host").agg(F.collect_set("path").alias("removed"))
     joined = parsed.drop("nodes", "features").join(F.broadcast(removed) if few else removed, "tree_host", "left")
     left = joined.withColumn("left", F.expr("filter(blocks, b -> removed is null or not arrays_overlap(b.chain, removed))"))
-    lost = "exists(blocks, b -> b.marked) and not exists(left, b -> b.marked)"  # nothing is left of the marked elements
-    text = F.expr(f"if({lost}, filter(blocks, b -> b.marked), left).text")
+    lost = "exists(blocks, b -> b.place <> 0) and not exists(left, b -> b.place <> 0)"  # nothing is left of the marked elements
+    whole = "filter(blocks, b -> b.place <> 0 or removed is null or not arrays_overlap(b.chain, removed))"
+    left = left.withColumn("left", F.expr(f"if({lost}, {whole}, left)"))
+    text = F.expr(f"({CHOSEN}).text")
     return left.select(*(F.col(f"tree_row.`{c}`").alias(c) for c in kept), F.array_join(text, "\n").alias(out))

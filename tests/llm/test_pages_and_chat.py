@@ -52,6 +52,26 @@ def test_blocks_of_a_page(page, want):
     assert texts(page) == want
 
 
+CARDS = "<div>" + "".join(f"<article><p>card {i}</p></article>" for i in range(3)) + "</div>"
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<main><p>{prose(1, 40)}</p></main>{CARDS}", [prose(1, 40)]),
+        (f"<main><p>{prose(1, 40)}</p>{CARDS}</main><p>out</p>", [prose(1, 40), "card 0", "card 1", "card 2"]),
+        (f"<div><p>{prose(1, 40)}</p></div>{CARDS}", [prose(1, 40), "card 0", "card 1", "card 2"]),
+        (f"<main><h1>T</h1><article><p>{prose(1, 40)}</p></article><p>after</p></main>", ["T", prose(1, 40)]),
+        (f"<article><p>{'字' * 50}</p></article><p>{prose(1, 40)}</p>", ["字" * 50]),
+        (CARDS, ["card 0", "card 1", "card 2"]),
+    ],
+)
+def test_marked_elements_count_alone_where_they_hold_half_of_the_page(spark, page, want):
+    assert texts(page) == want
+    df = spark.createDataFrame([(1, "http://a.example/", page)], "page_id long, url string, html string")
+    assert styletree.extract_text(df).first()["text"].split("\n") == want
+
+
 def page(rnd, body, host_line):
     menu = "".join(f"<li><a href='/{i}'>{prose(rnd.randrange(10**6), 1)}</a></li>" for i in range(rnd.randrange(3, 7)))
     return (
