@@ -12,7 +12,9 @@ single page 0. With c children on average, the two are weighed 1 - 0.9^c and
 Importance alone cannot tell an advert whose text is new on each page from an
 article, nor judge a host with few pages. Elements whose tag, class or role says
 what they are (menus, footers, adverts, comments, ...) are therefore removed by
-that. Branches inside an element that is marked as the article or main element
+that. Words that name content as well (widget, related, form, ...) do so only
+where they hold at most half of the page's words, and names remove nothing where
+no other text is left; what they leave is judged by the style tree. Branches inside an element that is marked as the article or main element
 are judged like all others; the marked element and what is around it are not
 removed, and where nothing of the marked elements would be left, they stay as
 they are.
@@ -34,6 +36,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,7 +51,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 # Elements whose content is no text of the page.
 SKIPPED = frozenset(
     "head script style noscript template iframe object svg math canvas audio video select option button textarea input"
-    " form nav footer aside dialog".split()
+    " nav footer aside dialog".split()
 )
 # Elements that end a block of text.
 BLOCKS = frozenset(
@@ -71,10 +74,22 @@ NOISE_WORDS = frozenset(
     " recommended related replies reply respond responses search share sharing sidebar signup social sponsor sponsored subscribe"
     " taboola teaser teasers toolbar topbar widget widgets".split()
 )
+# Those of them that name content too, and the form element. They remove at most half of a page's words.
+LOOSE_WORDS = frozenset(
+    "alert discussion discussions form notice notices related replies reply respond response responses search teaser teasers"
+    " widget widgets".split()
+)
 # Words that make such a name one of the page around it (has-sidebar, sidebar-layout).
 AROUND_WORDS = frozenset("has no not with without".split())
 AROUND_LAST = frozenset("layout page site template".split())
-IN_ARTICLE_KEPT = frozenset({"header", "banner"})
+IN_ARTICLE_KEPT = frozenset("alert banner header notice notices teaser teasers".split())
+# Elements that are no box around text but text; inside an article loose words say nothing of them.
+TEXT_TAGS = frozenset("blockquote h1 h2 h3 h4 h5 h6 p".split())
+# What stands in an open head; all else ends it.
+HEAD_TAGS = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+
+# Reasons to remove an element, beside the loose words themselves.
+UNSEEN, NAMED = "", "*"
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -110,29 +125,35 @@ def _hash(text: str, seed: int = 0) -> int:
 
 
 class _Element:
-    __slots__ = ("tag", "path", "noise", "article", "main", "children", "listed", "outer", "chain")
+    __slots__ = ("tag", "path", "reasons", "article", "main", "children", "listed", "outer", "chain")
 
-    def __init__(self, tag: str, path: int, noise: bool, article: bool, main: bool, listed: bool, outer: tuple, chain: tuple) -> None:
-        self.tag, self.path, self.noise, self.article, self.main = tag, path, noise, article, main
+    def __init__(
+        self, tag: str, path: int, reasons: frozenset, article: bool, main: bool, listed: bool, outer: tuple, chain: tuple
+    ) -> None:
+        self.tag, self.path, self.reasons, self.article, self.main = tag, path, reasons, article, main
         self.children: list[str] = []
         self.listed = listed  # counts as a node of the style tree
         self.outer = outer  # paths of the nodes around, itself included
         self.chain = chain  # those of them whose removal removes its text
 
 
-def _is_noise(tag: str, names: list[str], hidden: bool, inside: bool) -> bool:
+def _reasons(tag: str, names: list[str], hidden: bool, inside: bool) -> set[str]:
+    """Why the element may be no text of the page: ``UNSEEN``, ``NAMED`` or loose words."""
     if tag in SKIPPED or hidden or (tag == "header" and not inside):
-        return True
+        return {UNSEEN}
     if tag in ("html", "body"):  # their classes speak of the page
-        return False
+        return set()
+    out = {"form"} if tag == "form" else set()
     for name in names:
         words = [w for w in _SPLIT.split(_HUMP.sub("-", name).lower()) if w]
         found = NOISE_WORDS.intersection([*words, *(a + b for a, b in zip(words, words[1:]))])  # also side-bar
         if inside:
             found = found - IN_ARTICLE_KEPT
+            if tag in TEXT_TAGS:
+                found = found - LOOSE_WORDS
         if found and words[-1] not in AROUND_LAST and not AROUND_WORDS.intersection(words):
-            return True
-    return False
+            out.update(word if word in LOOSE_WORDS else NAMED for word in found)
+    return out
 
 
 def choose(blocks: list[dict]) -> list[dict]:
@@ -163,15 +184,18 @@ def parse(page: str | None) -> tuple[list, list, list]:
 def read_page(page: str | None) -> tuple[list, list, list]:
     """Of one page: text blocks with the nodes that can remove them, nodes with their child sequence, blocks of nodes."""
     page = page or ""
-    root = _Element("", 0, False, False, False, False, (), ())
+    root = _Element("", 0, frozenset(), False, False, False, (), ())
     stack = [root]
-    blocks: list[dict] = []
+    blocks: list[tuple[frozenset, dict]] = []
+    shares: Counter[str] = Counter()  # words by reason
+    total = 0
     styles: dict[int, list[str]] = {}
     counts: dict[int, list[int]] = {}
     features: set[tuple[int, int]] = set()
     words: list[str] = []
 
     def end_block() -> None:
+        nonlocal total
         if not words:
             return
         text = " ".join("".join(words).split())
@@ -180,9 +204,13 @@ def read_page(page: str | None) -> tuple[list, list, list]:
             top = stack[-1]
             block = _hash(text)
             features.update((path, block) for path in top.outer)
-            if not top.noise:
+            count = max(1, len(_WORD.findall(text)))
+            total += count
+            for reason in top.reasons:
+                shares[reason] += count
+            if UNSEEN not in top.reasons:
                 place = IN_MAIN * top.main | IN_ARTICLE * top.article | TITLE * (top.main and not top.article and top.tag == "h1")
-                blocks.append({"text": text, "chain": list(top.chain), "place": place, "words": max(1, len(_WORD.findall(text)))})
+                blocks.append((top.reasons, {"text": text, "chain": list(top.chain), "place": place, "words": count}))
 
     def close(size: int) -> None:
         while len(stack) > size:
@@ -195,6 +223,8 @@ def read_page(page: str | None) -> tuple[list, list, list]:
                 counts.setdefault(done.path, []).append(len(done.children))
 
     def open_tag(tag: str, raw: str) -> None:
+        if stack[-1].tag == "head" and tag not in HEAD_TAGS:
+            close(len(stack) - 1)
         if tag in BLOCKS:
             end_block()
         if tag in ENDS_P:
@@ -235,15 +265,16 @@ def read_page(page: str | None) -> tuple[list, list, list]:
                 words.append(" ")
             return
         inside = top.article or top.main
-        noise = top.noise or _is_noise(tag, names, hidden, inside)
+        reasons = top.reasons if UNSEEN in top.reasons else top.reasons.union(_reasons(tag, names, hidden, inside))
+        noise = UNSEEN in reasons or NAMED in reasons
         article = not noise and (top.article or (marked and tag != "main" and "main" not in names))
         main = not noise and (top.main or (marked and not article))
-        # Below a removed element there are no more nodes; the text belongs to that element.
+        # Below an element that is no text there are no more nodes; the text belongs to that element.
         marks = (article and not top.article) or (main and not top.main)  # protects itself and what is around it
-        listed = not top.noise and not marks and tag not in ("html", "body") and tag in BLOCKS
+        listed = UNSEEN not in top.reasons and not marks and tag not in ("html", "body") and tag in BLOCKS
         path = _hash(label, top.path)
         own = (path,) if listed else ()
-        stack.append(_Element(tag, path, noise, article, main, listed, (*top.outer, *own), () if marks else (*top.chain, *own)))
+        stack.append(_Element(tag, path, reasons, article, main, listed, (*top.outer, *own), () if marks else (*top.chain, *own)))
 
     at = 0
     while at < len(page):
@@ -253,6 +284,8 @@ def read_page(page: str | None) -> tuple[list, list, list]:
             piece = page[at:stop]
             if (broken := _OPENED.search(piece)) is not None:  # a tag that never ends
                 piece = piece[: broken.start()]
+            if stack[-1].tag == "head" and not piece.isspace():
+                close(len(stack) - 1)
             words.append(html.unescape(piece) if "&" in piece else piece)
         if not found:
             break
@@ -276,7 +309,9 @@ def read_page(page: str | None) -> tuple[list, list, list]:
     end_block()
     close(1)
     nodes = [{"path": p, "style": _hash("|".join(s)), "children": sum(counts[p]) // len(counts[p])} for p, s in styles.items()]
-    return blocks, nodes, [{"path": p, "block": b} for p, b in features]
+    excused = {reason for reason in LOOSE_WORDS if 2 * shares[reason] > total}
+    kept = [block for reasons, block in blocks if reasons <= excused] or [block for _, block in blocks]
+    return kept, nodes, [{"path": p, "block": b} for p, b in features]
 
 
 def _parse_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -52,6 +52,24 @@ def test_blocks_of_a_page(page, want):
     assert texts(page) == want
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<html><head><title>t</title><meta charset=utf-8><body><p>x</p>", ["x"]),
+        ("<head><title>t</title><script>s</script> <p>x", ["x"]),
+        ("<head><title>t</title>x<p>y", ["x", "y"]),
+        ("<nav>n</nav><div class='elementor-widget'><p>a b c</p></div><div class='elementor-widget'><p>d e f</p></div>", ["a b c", "d e f"]),
+        ("<div class='widget'>w</div><p>a b c</p>", ["a b c"]),
+        ("<article><p class=teaser>lead</p><div class='teaser'>more</div><p>body</p><div class=related>r</div></article>", ["lead", "more", "body"]),
+        ("<div class=search-results><article><p>a b c</p></article></div><p>x</p>", ["a b c"]),
+        ("<body><a>skip</a><form id=aspnetForm><nav>a b c d</nav><div><p>x y z</p></div></form>", ["skip", "x y z"]),
+        ("<nav>n</nav><div class=comment-box><p>all there is</p></div>", ["all there is"]),
+    ],
+)
+def test_no_name_or_open_head_empties_a_page(page, want):
+    assert texts(page) == want
+
+
 CARDS = "<div>" + "".join(f"<article><p>card {i}</p></article>" for i in range(3)) + "</div>"
 
 
