@@ -116,9 +116,9 @@ def links(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
     return near.union(stored(found.distinct(), "simhash-pairs"))
 
 
-def near_duplicates(documents: DataFrame, *, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """doc_id, fingerprint (16 hexadecimal digits) and component_id of every row."""
-    prints = stored(documents.select("doc_id", fingerprint(whole_text(), shingle).alias("fp")), "simhash")
+def _grouped(documents: DataFrame, shingle: int, max_bits: int, *more: Column) -> DataFrame:
+    """doc_id, fp, further columns, component_id and root of every row; root alone tells apart groups whose smallest id is the same."""
+    prints = stored(documents.select("doc_id", fingerprint(whole_text(), shingle).alias("fp"), *more), "simhash")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
     roots = stored(components(links(nodes.select("fp"), max_bits), "simhash-roots"), "simhash-components")
     release(documents.sparkSession)
@@ -126,21 +126,29 @@ def near_duplicates(documents: DataFrame, *, shingle: int = 4, max_bits: int = 4
         "fp", F.coalesce("root", "fp").alias("root"), "first"
     )
     smallest = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = grouped.join(smallest, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    classes = grouped.join(smallest, "root").select("fp", "root", "component_id")
+    return prints.join(classes, "fp")
+
+
+def near_duplicates(documents: DataFrame, *, shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """doc_id, fingerprint (16 hexadecimal digits) and component_id of every row."""
+    found = _grouped(documents, shingle, max_bits)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(documents: DataFrame, *, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; columns are those given.
+    """One document of each group stays, the one with the smallest id and then text hash; columns are those given.
 
-    Of rows that repeat that id the one with the smallest text hash stays. Rows
-    without an id cannot be told apart and all stay.
+    Each id stays at most once: of texts that repeat an id and are each the
+    first of their group, the one with the smallest hash. Rows without an id
+    cannot be told apart and all stay.
     """
-    found = near_duplicates(documents, shingle=shingle, max_bits=max_bits)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("llm_kept")).distinct()
+    found = _grouped(documents, shingle, max_bits, row_key().alias("key")).where("doc_id is not null")
+    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("first")).select("first.*")
+    kept = first.groupBy(F.col("doc_id").alias("llm_kept")).agg(F.min("key").alias("llm_kept_key"))
     carried = documents.select(F.struct("*").alias("llm_row"), F.col("doc_id").alias("llm_id"), row_key().alias("llm_key"))
-    named = carried.join(kept, F.col("llm_id") == F.col("llm_kept"), "left_semi")
+    named = carried.join(kept, F.expr("llm_id = llm_kept and llm_key = llm_kept_key"), "left_semi")
     order = Window.partitionBy("llm_id").orderBy("llm_key")
-    first = named.withColumn("llm_nth", F.row_number().over(order)).where("llm_nth = 1")
+    once = named.withColumn("llm_nth", F.row_number().over(order)).where("llm_nth = 1")
     rest = carried.where("llm_id is null")
-    return first.select("llm_row.*").unionByName(rest.select("llm_row.*"))
+    return once.select("llm_row.*").unionByName(rest.select("llm_row.*"))

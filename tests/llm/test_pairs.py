@@ -121,6 +121,12 @@ def test_one_document_of_each_group_stays(spark):
     assert simhash.drop_near_duplicates(df.limit(0)).count() == 0
 
 
+def test_a_text_is_not_lost_to_a_copy_with_its_id(spark):
+    texts = [BASE[0], *((i, t) for i in range(1, 13) for t in (BASE[0], BASE[i]))]
+    kept = simhash.drop_near_duplicates(documents(spark, texts))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(i, BASE[i]) for i in range(13)]
+
+
 def signatures(text):
     words = [w for w in re.split(r"[^\w]+|_", (text or "").lower()) if w]
     content = [w for w in words if w not in spotsigs.ANCHORS]
