@@ -10,6 +10,9 @@ conversation are scanned in order, and then each block is decoded between the
 two states the scan has chosen. So a very long conversation is many blocks of
 bounded size, and only its small matrices meet in one task.
 
+Blank lines are no observations, but are put back where a turn is assembled. A
+marker is taken off a first line only where it names a known speaker.
+
 Defined results: null lines and texts are blank; blank lines belong to the turn
 before them and are trimmed at its ends; a null conv_id is one conversation, a
 null turn comes before all others; identical rows count once, rows that repeat
@@ -100,7 +103,7 @@ def _speaker() -> Column:
 
 
 def _observed(lines: DataFrame, *more: str) -> DataFrame:
-    """The non-blank lines with their features, in blocks of turns. ``gap`` looks back within the block."""
+    """The lines with their features, in blocks of turns; blank ones are marked. ``gap`` looks back within the block."""
     line = F.coalesce(F.col("line"), F.lit(""))
     order = Window.partitionBy("conv", "block").orderBy("part", "tie", "sub")
     text = F.trim("line")
@@ -111,7 +114,7 @@ def _observed(lines: DataFrame, *more: str) -> DataFrame:
     length = F.length(text)
     return (
         rows.withColumn("gap", F.coalesce(F.lag(text == "").over(order), F.lit(False)).cast("int"))
-        .where(text != "")
+        .withColumn("blank", text == "")
         .withColumn("marker", _speaker().cast("int"))
         .withColumn("size", F.when(length < 20, 0).when(length < 80, 1).when(length < 300, 2).otherwise(3).cast("int"))
         .withColumn("asks", text.endswith("?").cast("int"))
@@ -121,7 +124,7 @@ def _observed(lines: DataFrame, *more: str) -> DataFrame:
 def fit_chat_model(lines: DataFrame) -> ChatModel:
     """Counts, each one more than seen, over lines with the columns role and first. Reads all; the driver gets some 400 rows at most."""
     state = F.array_position(F.array(*map(F.lit, ROLES)), F.col("role")).cast("int") * 2 - 2 + (~F.col("first")).cast("int")
-    rows = _observed(lines, "role", "first").where(F.col("role").isin(*ROLES) & F.col("first").isNotNull())
+    rows = _observed(lines, "role", "first").where(~F.col("blank") & F.col("role").isin(*ROLES) & F.col("first").isNotNull())
     order = Window.partitionBy("conv", "block").orderBy("part", "tie", "sub")
     seen = rows.withColumn("state", state).withColumn("from", F.lag("state").over(order)).withColumn("nth", F.row_number().over(order))
     counts = seen.groupBy("state", "from", "marker", "size", "asks", "gap", (F.col("nth") == 1).alias("head"), (F.col("block") <= 0).alias("top"))
@@ -187,7 +190,7 @@ def parse_transcripts(lines: DataFrame, model: ChatModel) -> DataFrame:
     """(conv_id, turn_no, role, text) of every recovered turn; ``lines`` has conv_id, part, tie, sub and line."""
     parts = 2 * shuffle_partitions(lines.sparkSession)
     seen = stored(_observed(lines), "chat-lines")
-    features = seen.select("conv", "block", "part", "tie", "sub", "marker", "size", "asks", "gap")
+    features = seen.where(~F.col("blank")).select("conv", "block", "part", "tie", "sub", "marker", "size", "asks", "gap")
 
     def ordered(df: DataFrame) -> DataFrame:
         return df.repartition(parts, "conv", "block").sortWithinPartitions("conv", "block", "part", "tie", "sub")
@@ -230,25 +233,30 @@ def parse_transcripts(lines: DataFrame, model: ChatModel) -> DataFrame:
     bounded = ordered(features.join(bounds, ["conv", "block"]))
     states = stored(mapped(bounded, decode, "conv string, block long, part long, tie long, sub int, state int"), "chat-states")
 
-    # Turns are numbered inside a block first, then by what the blocks before hold.
+    # Turns are numbered inside a block first, then by what the blocks before hold; a blank line has the number before it.
+    keys = ["conv", "block", "part", "tie", "sub"]
     order = Window.partitionBy("conv", "block").orderBy("part", "tie", "sub")
-    starts = (F.col("state") % 2 == 0).cast("int")
-    inner = states.withColumn("nth", F.sum(starts).over(order))
+    starts = F.coalesce((F.col("state") % 2 == 0).cast("int"), F.lit(0))
+    inner = seen.join(states, keys, "left").withColumn("nth", F.sum(starts).over(order))
     held = inner.groupBy("conv", "block").agg(F.max("nth").alias("held"))
     past = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = held.select("conv", "block", F.coalesce(F.sum("held").over(past), F.lit(0)).alias("offset"))
     numbered = inner.join(offsets, ["conv", "block"]).withColumn("turn_no", F.col("offset") + F.col("nth"))
-    text = F.when((F.col("state") % 2 == 0) & (F.col("marker") != 0), F.regexp_replace("line", MARKER, "")).otherwise(F.col("line"))
+    named = (F.col("state") % 2 == 0) & F.col("marker").between(1, len(ROLES))
+    text = F.when(named, F.regexp_replace("line", MARKER, "")).otherwise(F.col("line"))
     turns = (
-        seen.join(numbered.select("conv", "block", "part", "tie", "sub", "state", "turn_no"), ["conv", "block", "part", "tie", "sub"])
-        .withColumn("x", F.struct("part", "tie", "sub", text.alias("text"), "state"))
+        numbered.withColumn("x", F.struct("part", "tie", "sub", text.alias("text"), "state"))
         .groupBy("conv", "conv_id", "turn_no")
-        .agg(F.array_sort(F.collect_list("x")).alias("lines"))
-    )
-    role = F.element_at(F.array(*map(F.lit, ROLES)), (F.floor(F.col("lines")[0]["state"] / 2) + 1).cast("int"))
-    return turns.select(
-        "conv_id", "turn_no", role.alias("role"), F.expr("trim(both ' \\n' from array_join(transform(lines, l -> l.text), '\\n'))").alias("text")
+        .agg(F.array_sort(F.collect_list("x")).alias("lines"), F.count("state").alias("shown"))
+        .where("shown > 0")
     )
+    # From the first line that is not blank to the last one.
+    full = "transform(lines, l -> trim(l.text) <> '')"
+    first, after = f"array_position({full}, true)", f"array_position(reverse({full}), true)"
+    whole = f"if({first} = 0, '', array_join(slice(lines.text, int({first}), int(size(lines) + 2 - {first} - {after})), '\\n'))"
+    state = "filter(lines, l -> l.state is not null)[0].state"
+    role = F.element_at(F.array(*map(F.lit, ROLES)), (F.floor(F.expr(state) / 2) + 1).cast("int"))
+    return turns.select("conv_id", "turn_no", role.alias("role"), F.expr(whole).alias("text"))
 
 
 def render(turns: DataFrame) -> DataFrame:

@@ -221,6 +221,28 @@ def test_turns_are_recovered(spark):
         )
 
 
+def test_texts_of_turns_are_whole(spark, monkeypatch):
+    monkeypatch.setattr(chat, "TURNS_PER_BLOCK", 4)
+    rows = []
+    for c in range(40):
+        for t in range(8):
+            answer = f"Note: {prose(c * 50 + t, 30)}.\n\n\n    if x:\n\n        {prose(c, 12)}\n  \n{prose(t, 40)}."
+            rows.append((c, t, ("user", "assistant")[t % 2], answer if t % 2 else f"{prose(c * 9 + t, 9)}?"))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    lines = chat.transcript_lines(df)
+    turns = chat.parse_transcripts(lines, chat.fit_chat_model(lines)).collect()
+    want = {(r[0], r[2], r[3]) for r in rows}
+    got = {(r["conv_id"], r["role"], r["text"]) for r in turns}
+    assert len(want & got) > 0.9 * len(want) and len(want & got) > 0.9 * len(got)
+    # With the blank lines inside turns, and with names that are no speakers' where the marker is lost.
+    plain = spark.createDataFrame([(1, 0, "user", "Note: a"), (1, 1, "user", "https://x")], "conv_id long, turn long, role string, text string")
+    bare = plain.select("conv_id", F.col("turn").alias("part"), F.lit(0).cast("long").alias("tie"), F.lit(0).alias("sub"), F.col("text").alias("line"))
+    found = chat.parse_transcripts(bare, chat.fit_chat_model(lines)).collect()
+    assert "\n".join(r["text"] for r in sorted(found, key=lambda r: r["turn_no"])) == "Note: a\nhttps://x"
+    # Blank lines before any turn make no turn.
+    assert chat.parse_transcripts(bare.withColumn("line", F.lit(" ")), chat.fit_chat_model(lines)).count() == 0
+
+
 def test_a_long_conversation_is_decoded_in_blocks(spark, monkeypatch):
     df = conversations(spark, 1, 2).limit(0)
     rows = [(1, t, ("user", "assistant")[t % 2], prose(t, 10 + 30 * (t % 2)) + ("?" if t % 2 == 0 else "")) for t in range(300)]
