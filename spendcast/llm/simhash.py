@@ -17,6 +17,8 @@ fingerprint zero and are linked like any other; repeated rows share their
 fingerprint and component and are all returned; a row without an id is returned
 too, and its component is the smallest id of the group, null if there is none;
 an empty table gives an empty result. Texts of any length are read whole.
+Other columns of any name are left out of a result of fingerprints and kept as
+they are, whatever their names, where documents are dropped.
 """
 
 from __future__ import annotations
@@ -139,16 +141,17 @@ def near_duplicates(documents: DataFrame, *, shingle: int = 4, max_bits: int = 4
 def drop_near_duplicates(documents: DataFrame, *, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """One document of each group stays, the one with the smallest id and then text hash; columns are those given.
 
-    Each id stays at most once: of texts that repeat an id and are each the
-    first of their group, the one with the smallest hash. Rows without an id
+    Rows that repeat an id with different texts are different documents: each
+    can be the one of its group that stays. Of rows that agree in id and text
+    one stays, the first by a hash of all its columns. Rows without an id
     cannot be told apart and all stay.
     """
     found = _grouped(documents, shingle, max_bits, row_key().alias("key")).where("doc_id is not null")
-    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("first")).select("first.*")
-    kept = first.groupBy(F.col("doc_id").alias("llm_kept")).agg(F.min("key").alias("llm_kept_key"))
+    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("first"))
+    kept = first.select(F.col("first.doc_id").alias("llm_kept"), F.col("first.key").alias("llm_kept_key"))
     carried = documents.select(F.struct("*").alias("llm_row"), F.col("doc_id").alias("llm_id"), row_key().alias("llm_key"))
     named = carried.join(kept, F.expr("llm_id = llm_kept and llm_key = llm_kept_key"), "left_semi")
-    order = Window.partitionBy("llm_id").orderBy("llm_key")
+    order = Window.partitionBy("llm_id", "llm_key").orderBy(F.xxhash64("llm_row"))
     once = named.withColumn("llm_nth", F.row_number().over(order)).where("llm_nth = 1")
     rest = carried.where("llm_id is null")
     return once.select("llm_row.*").unionByName(rest.select("llm_row.*"))
