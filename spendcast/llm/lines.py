@@ -9,6 +9,10 @@ are an interval of the array whose longest common prefix reaches the depth. A
 suffix alone in its interval repeats nothing deeper and leaves the rounds, so
 the rounds work on repeated lines only and end when no suffix can go deeper.
 
+Which lines go is settled at a depth of ``min_lines``: a longer run is covered
+by its parts of that length, each of them repeated. Deeper rounds tell how long
+the repeated runs are; they are made where a report asks for that.
+
 Of each repeated run of at least ``min_lines`` lines, or of a single line of at
 least ``min_words`` words, the first copy stays, by doc_id and position, and
 later copies are deleted. Runs are judged on the input, overlaps included, so
@@ -68,14 +72,19 @@ def _ranked(suffixes: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def repeated_runs(documents: DataFrame, *, min_lines: int = 2, min_words: int = 50) -> DataFrame:
-    """(d, k, s, e): the runs of lines s to e to delete from the document with id d and text hash k."""
+def repeated_runs(documents: DataFrame, *, min_lines: int = 2, min_words: int = 50, deep: bool = False) -> DataFrame:
+    """(d, k, s, e, longest): the runs of lines s to e to delete from the document with id d and text hash k.
+
+    ``longest`` is the longest common prefix found of a suffix that begins in the
+    run and an earlier one: a power of two, or fewer lines where both texts end.
+    Without ``deep`` it goes no further than ``min_lines``; the runs are the same.
+    """
     if min_lines < 2:
         raise ValueError("a run has at least two lines; single lines are governed by min_words")
     now = stored(_ranked(stored(_lines(documents, min_words), "lines"), ["id"]), "line-suffixes")
     found = [now.where("later and long").select("d", "k", "s", F.lit(1).alias("n"))]
     depth = 1
-    while now.where(F.col("m") > depth).limit(1).count():
+    while (deep or depth < min_lines) and now.where(F.col("m") > depth).limit(1).count():
         step = min(depth, min_lines - depth) if depth < min_lines else depth
         ahead = Window.partitionBy("d", "k").orderBy("s").rangeBetween(step, step)
         # 0 past the end of a document; null where the suffix further on is alone, and so is this one then.
@@ -91,22 +100,28 @@ def repeated_runs(documents: DataFrame, *, min_lines: int = 2, min_words: int =
     for more in found[1:]:
         covered = covered.unionByName(more)
     release(documents.sparkSession)
-    ends = covered.groupBy("d", "k", "s").agg(F.max(F.col("s") + F.col("n")).alias("e"))
+    ends = covered.groupBy("d", "k", "s").agg(F.max(F.col("s") + F.col("n")).alias("e"), F.max("n").alias("n"))
     order = Window.partitionBy("d", "k").orderBy("s")
     before = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
     return (
         ends.withColumn("new", (F.coalesce(before, F.lit(-1)) < F.col("s")).cast("int"))
         .withColumn("run", F.sum("new").over(order))
         .groupBy("d", "k", "run")
-        .agg(F.min("s").alias("s"), (F.max("e") - 1).alias("e"))
-        .select("d", "k", "s", "e")
+        .agg(F.min("s").alias("s"), (F.max("e") - 1).alias("e"), F.max("n").alias("longest"))
+        .select("d", "k", "s", "e", "longest")
     )
 
 
 def dedup_lines(documents: DataFrame, *, min_lines: int = 2, min_words: int = 50, report: bool = False) -> DataFrame:
-    """The documents without later copies of repeated runs; with ``report``, n_lines, n_removed and n_runs as well (instead of columns of these names)."""
-    runs = stored(repeated_runs(documents, min_lines=min_lines, min_words=min_words), "line-runs")
-    runs = runs.groupBy("d", "k").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("runs"))
+    """The documents without later copies of repeated runs.
+
+    With ``report``, n_lines, n_removed, n_runs and n_longest (see ``repeated_runs``)
+    as well, instead of columns of these names.
+    """
+    runs = stored(repeated_runs(documents, min_lines=min_lines, min_words=min_words, deep=report), "line-runs")
+    runs = runs.groupBy("d", "k").agg(
+        F.array_sort(F.collect_list(F.struct("s", "e"))).alias("runs"), F.max("longest").alias("longest")
+    )
     carried = documents.select(F.struct("*").alias("llm_row"), F.col("doc_id").alias("d"), F.xxhash64(whole_text()).alias("k"))
     # A sort-merge join at every size: the runs of a large table are nothing to broadcast.
     joined = carried.join(runs.hint("merge"), ["d", "k"], "left").withColumn("t", F.coalesce("llm_row.text", F.lit("")))
@@ -127,10 +142,11 @@ def dedup_lines(documents: DataFrame, *, min_lines: int = 2, min_words: int = 50
         changed["n_chars"] = F.when(F.col("runs").isNull(), F.col("llm_row.n_chars")).otherwise(length)
     out = [changed.get(c, F.col(f"llm_row.`{c}`")).alias(c) for c in documents.columns]
     if report:
-        out = [c for c, name in zip(out, documents.columns) if name not in ("n_lines", "n_removed", "n_runs")]
+        out = [c for c, name in zip(out, documents.columns) if name not in ("n_lines", "n_removed", "n_runs", "n_longest")]
         out += [
             F.expr("size(split(t, '\\n'))").alias("n_lines"),
             F.expr("coalesce(size(lines) - size(kept), 0)").alias("n_removed"),
             F.expr("coalesce(size(runs), 0)").alias("n_runs"),
+            F.expr("coalesce(longest, 0)").alias("n_longest"),
         ]
     return cut.select(*out)

@@ -1,7 +1,20 @@
 """DuckDB SQL for the rows of the queries that SQL can express."""
 
+# Depths of the rounds of line dedup: no document here has more lines.
+_DEPTHS = tuple(2**k for k in range(1, 12))
+_LONGEST = " UNION ALL ".join(
+    f"""SELECT doc_id, s, least(m, {d}) AS n, row_number() OVER (PARTITION BY window_{d}, m < {d} ORDER BY doc_id, s) AS nth
+        FROM windows"""
+    for d in _DEPTHS
+)
+_WINDOWS = ", ".join(
+    f"md5(string_agg(line, chr(10)) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN CURRENT ROW AND {d - 1} FOLLOWING)) AS window_{d}"
+    for d in _DEPTHS
+)
+
 # A line goes if it is a long line that occurred before, or half of a pair of lines that did.
-OP4 = r"""
+OP4 = (
+    r"""
 WITH l AS (
     SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
            unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i
@@ -29,9 +42,22 @@ WITH l AS (
 ), marked AS (
     SELECT l.*, r.run IS NOT NULL AS removed, r.run
     FROM l LEFT JOIN runs r ON l.doc_id = r.doc_id AND l.i BETWEEN r.i1 AND r.i2
+), windows AS (
+    SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id) - s + 1 AS m, """
+    + _WINDOWS
+    + r""" FROM nb
+), longest AS (
+    SELECT doc_id, max(n) AS n FROM ("""
+    + _LONGEST
+    + r""") WHERE nth > 1 AND n >= 2 GROUP BY doc_id
+    UNION ALL SELECT doc_id, 1 FROM placed WHERE nth1 > 1 AND words >= 50
+), deepest AS (
+    SELECT doc_id, max(n) AS n FROM longest GROUP BY doc_id
 )
 SELECT doc_id, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(*) FILTER (removed) AS INTEGER) AS n_removed,
        CAST(count(DISTINCT run) AS INTEGER) AS n_runs,
+       CAST(coalesce(any_value(deepest.n), 0) AS INTEGER) AS n_longest,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT removed), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+FROM marked LEFT JOIN deepest USING (doc_id) GROUP BY doc_id
 """
+)

@@ -41,7 +41,7 @@ def op3_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What line dedup leaves of every document."""
     cut = lines.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
-    return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
+    return cut.select("doc_id", "n_lines", "n_removed", "n_runs", "n_longest", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
