@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendcast.llm import bpe, chat, decontaminate, lines, oracles, separators, simhash, spotsigs, styletree, suffixes, toxicity
+from spendcast.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    filter_audit,
+    lines,
+    merkle,
+    oracles,
+    prefix_tree,
+    separators,
+    simhash,
+    spotsigs,
+    styletree,
+    suffixes,
+    toxicity,
+)
 from spendcast.llm.common import read
 
 
@@ -90,6 +105,27 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.compare_with_edits(read(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from every language, in all orders of the filters."""
+    verdicts = filter_audit.document_verdicts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return filter_audit.interactions(verdicts, "ABCDE", ["good", "toxic"])
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf and proof of every document, and whether what is claimed of it leads to the root; some claims are one character off."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    claimed = {"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    found = merkle.audit(read(spark, sf_dir, "documents"), "lang", "doc_id", columns, claimed)
+    digest = F.sha2(merkle.proof_hashes(F.col("proof")), 256).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", digest, "folded_root", "verified")
+
+
+def op13_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of four words are nearly the same."""
+    return prefix_tree.similar_groups(read(spark, sf_dir, "documents"), shingle=4, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
@@ -101,9 +137,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_chat_hmm": op9_chat_hmm,
     "op10_spotsigs": op10_spotsigs,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_prefix_tree": op13_prefix_tree,
 }
 
 # SQL for the queries that SQL can express; the others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": oracles.OP4,
+    "op11_filter_audit": oracles.OP11,
+    "op12_merkle_manifest": oracles.OP12,
+    "op13_prefix_tree": oracles.OP13,
 }

@@ -1,0 +1,318 @@
+"""Filter audit, Merkle manifest and prefix trees against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from spendcast.llm import filter_audit, merkle, prefix_tree
+from tests.llm.helpers import documents, edited, prose
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+# Filter audit
+
+
+def plain_verdicts(rows):
+    """The filters that each row fails."""
+    texts = [t or "" for _, t, _ in rows]
+    for (i, _, _), t in zip(rows, texts):
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        yield "".join(
+            name
+            for name, fails in zip(
+                "ABCDE",
+                (
+                    len(words) < 100,
+                    100 * len(set(words)) < 80 * len(words),
+                    100 * len(re.findall("[A-Z]", t)) > 10 * len(t),
+                    bool(re.search("[#$%&*|]", t)),
+                    i is not None and any(j is not None and j < i and t == u for (j, _, _), u in zip(rows, texts)),
+                ),
+            )
+            if fails
+        )
+
+
+def plain_audit(rows, labels):
+    fails = list(plain_verdicts(rows))
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, x in labels if x == 1 and i is not None}
+    found = []
+    for part in {p or "" for _, _, p in rows}:
+        mine = [(i, f) for (i, _, p), f in zip(rows, fails) if (p or "") == part]
+        removed_in = {}
+        steps = []
+        for order in itertools.permutations("ABCDE"):
+            for k, f in enumerate(order):
+                now = [(i, x) for i, x in mine if f in x and not set(order[:k]) & set(x)]
+                removed_in[f] = removed_in.get(f, 0) + len(now)
+                steps.append((order, k, f, now))
+        for order, k, f, now in steps:
+            found.append(
+                (
+                    part, "".join(order), k + 1,
+                    sum(not set(order[: k + 1]) & set(x) for _, x in mine), len(now),
+                    sum(f in x for _, x in mine) - len(now), sum(x == f for _, x in mine),
+                    sum(i in good for i, _ in now), sum(i in toxic for i, _ in now), removed_in[f],
+                )
+            )
+    return sorted(found)
+
+
+COLUMNS = ("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
+
+
+def audited(spark, rows, labels, extra=""):
+    schema = "doc_id long, text string, lang string" + (", part string, A int, good int, key string, t int" if extra else "")
+    more = ("p", 1, 0, "k", 5) if extra else ()
+    docs = spark.createDataFrame([(i, t, p, *more) for i, t, p in rows], schema)
+    marks = spark.createDataFrame(labels, LABELS)
+    found = filter_audit.interactions(filter_audit.document_verdicts(docs, marks), "ABCDE", ["good", "toxic"])
+    return sorted(tuple(r[c] for c in COLUMNS) for r in found.collect())
+
+
+def test_audit_equals_brute_force(spark):
+    rnd = random.Random(5)
+    texts = [None, "", "one", "A" * 50, "a # b", "  \t\n ", "x" * 100_000]
+    for n in range(60):
+        words = [f"w{rnd.randrange(rnd.choice((20, 4000)))}" for _ in range(rnd.choice((30, 99, 100, 160)))]
+        text = " ".join(words)
+        texts.append(text.upper() if rnd.random() < 0.2 else text + rnd.choice(("", "", " $", " |")))
+    texts += texts[3:25] + [texts[9]] * 30
+    rows = [(n, t, rnd.choice(("en", "en", "en", "de", None, ""))) for n, t in enumerate(texts)]
+    rows += [(3, texts[8], "en"), (3, texts[8], "en"), (None, texts[9], "fr"), (None, texts[9], "fr")]
+    labels = [(n, rnd.randrange(2), rnd.randrange(2)) for n in range(0, len(texts), 2)]
+    labels += [(0, 1, 0), (0, 0, 1), (None, 1, 1), (10**9, 1, 1)]
+    want = plain_audit(rows, labels)
+    assert audited(spark, rows, labels, "clash") == want
+    assert {r[4] > 0 for r in want} == {True, False}
+
+
+def test_audit_without_failing_or_any_documents(spark):
+    fine = " ".join(f"w{n}" for n in range(120))
+    found = audited(spark, [(1, fine, "en")], [])
+    assert len(found) == 600 and {r[3:] for r in found} == {(1, 0, 0, 0, 0, 0, 0)}
+    assert audited(spark, [], []) == []
+
+
+def test_audit_is_the_same_over_small_ranges(spark, monkeypatch):
+    rows = [(n, "a b c #" if n % 3 else "A B", "en") for n in range(200)]
+    want = plain_audit(rows, [])
+    monkeypatch.setattr(filter_audit, "RANGE_BITS", 2)
+    assert audited(spark, rows, []) == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 60), unique=True).map(sorted), max_size=5))
+def test_galloping_merges(lists):
+    assert filter_audit.union(lists) == sorted(set().union(*lists))
+    for a in lists:
+        for b in lists:
+            assert filter_audit.difference_size(a, b) == len(set(a) - set(b))
+        for x in range(62):
+            assert filter_audit.gallop(a, x, 0) == sum(v < x for v in a)
+
+
+# Merkle manifest
+
+
+def H(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def plain_tree(leaves):
+    """The root and the proof of each leaf: (left, right) of every level."""
+    level, proofs, at = list(leaves), [[] for _ in leaves], list(range(len(leaves)))
+    while len(level) > 1:
+        for n, i in enumerate(at):
+            beside = level[i ^ 1] if i ^ 1 < len(level) else None
+            proofs[n].append((beside, None) if i % 2 else (None, beside))
+        level = [H(*level[i : i + 2]) for i in range(0, len(level), 2)]
+        at = [i // 2 for i in at]
+    return level[0], proofs
+
+
+def plain_leaf(i, lang, n_chars, text):
+    return H(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in (i, "s", lang, n_chars, text)))
+
+
+def plain_audit_rows(rows):
+    trees = {}
+    for i, text, lang, n in rows:
+        claimed = n if n is None or i is None or zlib.crc32(str(i).encode()) % 7 else n + 1
+        trees.setdefault(lang, []).append((i is not None, i or 0, plain_leaf(i, lang, n, text), plain_leaf(i, lang, claimed, text), i))
+    order = sorted(trees, key=lambda g: (g is not None, (g or "").encode()))
+    built = {g: (sorted(trees[g]), *plain_tree([leaf for _, _, leaf, _, _ in sorted(trees[g])])) for g in order}
+    root, above = plain_tree([built[g][1] for g in order])
+    for g, upper in zip(order, above):
+        leaves, subroot, proofs = built[g]
+        for (_, _, leaf, claimed, i), proof in zip(leaves, proofs):
+            node = claimed
+            for left, right in proof + upper:
+                node = H(left or "", node, right or "")
+            digest = H(*(x for pair in proof + upper for x in pair if x))
+            yield (i, leaf, subroot, root, digest, node, node == root)
+
+
+def merkle_rows(spark, rows, extra=False):
+    schema = "doc_id long, text string, lang string, n_chars long, source string"
+    df = spark.createDataFrame([(*r, "s") for r in rows], schema)
+    if extra:
+        df = df.withColumns({c: F.lit(7) for c in ("tree", "hash", "row", "leaf", "pos", "n", "key", "claimed", "group")})
+    claim = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    found = merkle.audit(df, "lang", "doc_id", ["doc_id", "source", "lang", "n_chars", "text"], {"n_chars": claim})
+    digest = F.sha2(merkle.proof_hashes(F.col("proof")), 256)
+    return found.select("doc_id", "leaf", "subroot", "root", digest, "folded_root", "verified")
+
+
+def sort(rows):
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize("bits", [1, 3, 10])
+def test_manifest_equals_brute_force(spark, monkeypatch, bits):
+    monkeypatch.setattr(merkle, "BLOCK_BITS", bits)
+    rows = [(n * 3 % 211, prose(n, 5), ("en", "de", "en", "zß", "")[n % 5], n) for n in range(211)]
+    rows += [(5000, None, None, None), (None, "no id", "en", 5), (None, "no id", "en", 5), (7, None, None, 3)]
+    rows += [(8, "twice", "en", 5), (8, "twice", "en", 5), (8, "other", "en", 5), (9000, "alone", "one", None), (14, "é" * 9, "日本", 9)]
+    assert sort(merkle_rows(spark, rows, extra=True).collect()) == sort(plain_audit_rows(rows))
+
+
+def test_manifest_of_one_leaf_and_of_none(spark):
+    (row,) = merkle_rows(spark, [(1, "x" * 200_000, "en", 200_000)]).collect()
+    assert row["leaf"] == row["subroot"] == row["root"] and tuple(row)[4] == H("")
+    assert row["verified"] == (zlib.crc32(b"1") % 7 != 0)
+    assert merkle_rows(spark, [(1, "x", "en", 1)]).limit(0).count() == 0
+    df = spark.createDataFrame([], "doc_id long, text string, lang string, n_chars long, source string")
+    assert merkle.audit(df, "lang", "doc_id", ["doc_id", "text"], {}).count() == 0
+
+
+def test_proofs_of_some_leaves_fetch_what_is_missing(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "BLOCK_BITS", 3)
+    rows = spark.range(100).select(F.lit("g").alias("group"), F.col("id").alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("hash"))
+    manifest = merkle.build_manifest(rows.withColumn("row", F.struct("key")), ["key"])
+    some = manifest.leaves.where("pos % 7 = 3 or pos in (40, 41, 42, 43)")
+    found = {r["row"]["key"]: [tuple(s) for s in r["proof"]] for r in merkle.prove(manifest, some).collect()}
+    _, proofs = plain_tree([H(str(i)) for i in range(100)])
+    assert found == {i: proofs[i] for i in range(100) if i % 7 == 3 or 40 <= i <= 43}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(1, 70), st.data())
+def test_missing_nodes_are_those_that_do_not_follow(n, data):
+    chosen = data.draw(st.lists(st.integers(0, n - 1), min_size=1, unique=True))
+    known, size = set(chosen), n
+    for missing in merkle.missing_nodes(np.array(chosen), n):
+        beside = {i ^ 1 for i in known if i ^ 1 < size}
+        assert set(missing.tolist()) == beside - known
+        known, size = {i // 2 for i in known}, (size + 1) // 2
+    assert size == 1
+
+
+# Prefix trees
+
+
+def plain_sets(texts):
+    for t in texts:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        yield {tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))} if words else set()
+
+
+def plain_groups(rows, percent=85):
+    """(id, size, smallest id reachable) of every row."""
+    sets = list(plain_sets(t for _, t in rows))
+    root = list(range(len(rows)))
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for x, y in itertools.combinations(range(len(rows)), 2):
+        both = len(sets[x] & sets[y])
+        if sets[x] and sets[y] and 100 * both >= percent * len(sets[x] | sets[y]):
+            a, b = find(x), find(y)
+            root[max(a, b)] = min(a, b)
+    ids = {}
+    for n, (i, _) in enumerate(rows):
+        if i is not None:
+            ids[find(n)] = min(ids.get(find(n), i), i)
+    return sort((i, len(sets[n]), ids.get(find(n))) for n, (i, _) in enumerate(rows))
+
+
+def near_texts():
+    base = [prose(n, 30 + 9 * n, 5000) for n in range(12)]
+    texts = base + [edited(b, n, e) for n, b in enumerate(base) for e in (1, 1, 2, 3, 5)]
+    passage = prose(77, 60, 5000)
+    texts += [passage + " " + prose(200 + n, 4 + n, 5000) for n in range(14)] + [passage]
+    chain = prose(78, 120, 5000).split(" ")
+    texts += [" ".join(chain[n : n + 80]) for n in range(0, 40, 3)]  # each like the next one, the ends unlike
+    return texts + [None, "", " \t ", "One", "one", "one two THREE", "one two three", "a b c d", "w " * 300, "W " * 9, base[3], base[3].upper(), "y" * 100_000]
+
+
+@pytest.mark.parametrize("settings_", [{}, {"block_rows": 4, "shared_rows": 1}, {"block_rows": 7, "shared_rows": 3, "slices": 1}, {"block_grams": 500, "slices": 2}])
+def test_groups_equal_brute_force(spark, settings_):
+    rows = list(enumerate(near_texts()))
+    rows += [(5, prose(3, 57, 5000)), (5, rows[5][1]), (5, rows[5][1]), (None, rows[6][1]), (None, "only this one has no id"), (3, "")]
+    found = prefix_tree.similar_groups(documents(spark, rows, "clash"), **settings_)
+    want = plain_groups(rows)
+    assert sort(found.collect()) == want
+    assert len({w[2] for w in want}) < len(rows) - 40
+
+
+@pytest.mark.parametrize("percent", [50, 100])
+def test_groups_at_other_similarities(spark, percent):
+    rows = list(enumerate(near_texts()))
+    found = prefix_tree.similar_groups(documents(spark, rows), percent=percent, block_rows=9)
+    assert sort(found.collect()) == plain_groups(rows, percent)
+
+
+def test_groups_of_no_documents(spark):
+    assert prefix_tree.similar_groups(documents(spark, ["a"]).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_tree_finds_every_link(seed):
+    rng = np.random.default_rng(seed)
+    percent = int(rng.choice([50, 70, 85, 100]))
+    core = np.sort(rng.choice(60, 30, replace=False))
+    lists, sizes = [], []
+    for _ in range(40):
+        keep = core[rng.random(len(core)) < rng.choice([0.7, 0.9, 1.0])]
+        ranks = np.unique(np.concatenate([keep, rng.choice(60, rng.integers(1, 5))]))
+        lists.append(ranks)
+        sizes.append(len(ranks) + int(rng.integers(0, 4)))
+    tree = prefix_tree.PrefixTree(lists, np.array(sizes), percent)
+    for i, ranks in enumerate(lists):
+        held = np.zeros(60, bool)
+        held[ranks] = True
+        other = rng.random(len(lists)) < 0.8
+        want = {
+            j
+            for j, more in enumerate(lists)
+            if other[j] and 100 * len(np.intersect1d(ranks, more)) >= percent * (sizes[i] + sizes[j] - len(np.intersect1d(ranks, more)))
+        }
+        assert set(tree.linked(ranks, sizes[i], held, other)) == want
+
+
+def test_a_dense_group_gives_few_links(spark):
+    text = prose(5, 200, 9000)
+    lists = [edited(text, n, 1) for n in range(120)]
+    df = documents(spark, lists)
+    sets = prefix_tree._sets(df, 4)
+    classes = sets.groupBy("d", "e", "n").agg(F.min("row").alias("row"), F.min("doc_id").alias("first"))
+    ordered = prefix_tree._ordered_lists(sets, classes, 85, 4)
+    members = ordered.select(F.lit(0).alias("cluster"), F.lit(1).alias("bucket"), "row", "n", "grams", "dfs")
+    links = prefix_tree._links(members, 85, 1024, 1 << 20, 64)
+    assert links.count() == 119

@@ -13,12 +13,12 @@ from spendcast.llm import queries
 from tests.llm.helpers import documents, prose
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-PER_DOCUMENT = ["op1_token_counts", "op2_toxicity", "op4_line_dedup", "op5_suffix_dedup", "op7_simhash", "op8_byte_bpe", "op10_spotsigs"]
+PER_DOCUMENT = ["op1_token_counts", "op2_toxicity", "op4_line_dedup", "op5_suffix_dedup", "op7_simhash", "op8_byte_bpe", "op10_spotsigs", "op12_merkle_manifest", "op13_prefix_tree"]
 
 
 def test_every_operator_has_one_query():
     names = sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert set(driver.queries()) >= {*names, "pipeline"}
 
 
