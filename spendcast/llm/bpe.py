@@ -69,30 +69,32 @@ def _let(value: Column, use) -> Column:
 
 def fold_merges(word: Column, ranks: dict[bytes, int]) -> Column:
     """The ids of one word (hexadecimal bytes, lower case), as an array."""
-    literal = _literal_ranks(ranks)
 
-    def rank(piece: Column) -> Column:
-        bucket = F.get(literal, F.pmod(F.crc32(piece.cast("binary")), F.lit(BUCKETS)).cast("int"))
-        return F.coalesce(F.try_element_at(bucket, piece), F.lit(_NO_RANK))
+    def ids(literal: Column) -> Column:
+        def rank(piece: Column) -> Column:
+            bucket = F.get(literal, F.pmod(F.crc32(piece.cast("binary")), F.lit(BUCKETS)).cast("int"))
+            return F.coalesce(F.try_element_at(bucket, piece), F.lit(_NO_RANK))
 
-    def step(pieces: Column, _) -> Column:
-        def merged(pairs: Column) -> Column:
-            least = F.array_min(pairs)
-            at = F.array_position(pairs, least).cast("int")  # the leftmost, counted from 1
-            joined = F.array(F.concat(F.get(pieces, at - 1), F.get(pieces, at)))
-            return F.when(
-                least < _NO_RANK,
-                F.concat(F.slice(pieces, F.lit(1), at - 1), joined, F.slice(pieces, at + 2, F.size(pieces))),
-            ).otherwise(pieces)
+        def step(pieces: Column, _) -> Column:
+            def merged(pairs: Column) -> Column:
+                least = F.array_min(pairs)
+                at = F.array_position(pairs, least).cast("int")  # the leftmost, counted from 1
+                joined = F.array(F.concat(F.get(pieces, at - 1), F.get(pieces, at)))
+                return F.when(
+                    least < _NO_RANK,
+                    F.concat(F.slice(pieces, F.lit(1), at - 1), joined, F.slice(pieces, at + 2, F.size(pieces))),
+                ).otherwise(pieces)
 
-        firsts = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
-        return _let(F.transform(firsts, lambda a, i: rank(F.concat(a, F.get(pieces, i + 1)))), merged)
+            firsts = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+            return _let(F.transform(firsts, lambda a, i: rank(F.concat(a, F.get(pieces, i + 1)))), merged)
 
-    length = (F.length(word) / 2).cast("int")
-    start = F.transform(F.sequence(F.lit(0), length - 1), lambda i: F.substring(word, 2 * i + 1, F.lit(2)))
-    folded = F.aggregate(F.sequence(F.lit(1), length), start, step)
-    whole = rank(word)
-    return F.when(whole < _NO_RANK, F.array(whole)).otherwise(F.transform(folded, rank))
+        length = (F.length(word) / 2).cast("int")
+        start = F.transform(F.sequence(F.lit(0), length - 1), lambda i: F.substring(word, 2 * i + 1, F.lit(2)))
+        folded = F.aggregate(F.sequence(F.lit(1), length), start, step)
+        whole = rank(word)
+        return F.when(whole < _NO_RANK, F.array(whole)).otherwise(F.transform(folded, rank))
+
+    return _let(_literal_ranks(ranks), ids)  # the plan holds the ranks once
 
 
 def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -284,6 +286,8 @@ def encode(
     with pa.ipc.new_stream(sink, table.schema) as writer:
         writer.write_table(table)
     shared = spark.sparkContext.broadcast((ranks, sink.getvalue().to_pybytes()))
+    del table, sink
+    pa.default_memory_pool().release_unused()
     name = uuid4().hex
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

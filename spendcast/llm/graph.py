@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from spendcast.llm.common import release, stored
 
 
+# What one task of a step takes: a step over fewer edges is one task without an exchange.
+EDGES_PER_TASK = 1 << 18
+
+
 def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     """(node, root) for every node of an edge, root being the smallest node that can be reached.
 
@@ -15,19 +19,31 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     alternate until no edge changes; their number grows with the logarithm of
     the longest chain. A step aggregates before it joins, so a node with very
     many edges costs one row per task in the aggregation, and adaptive
-    execution splits its part of the join. Only a count and a checksum reach
-    the driver. An empty table of edges gives an empty result.
+    execution splits its part of the join. The number of tasks that read the
+    edges follows their count. Only a count and a checksum reach the driver. An
+    empty table of edges gives an empty result.
     """
     now = stored(_clean(edges), purpose)
     state = _state(now)
     while state[0]:
+        now = _dealt(now, state[0])
         now = stored(_star(_star(now, large=True), large=False), purpose)
         release(now.sparkSession)
-        if (found := _state(now)) == state:
+        if (found := _state(_dealt(now, state[0]))) == state:
             break
         state = found
     # At the end every edge leads from a node to its root.
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b")).distinct()
+    return _dealt(_both(now, ("a", "b"), ("b", "b")), state[0]).select(F.col("a").alias("node"), F.col("b").alias("root")).distinct()
+
+
+def _dealt(edges: DataFrame, count: int) -> DataFrame:
+    return edges.coalesce(max(1, -(-count // EDGES_PER_TASK)))
+
+
+def _both(edges: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """Several edges for each row: the named columns as a and b."""
+    made = F.array(*(F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in pairs))
+    return edges.select(F.explode(made).alias("edge")).select("edge.*")
 
 
 def _clean(edges: DataFrame) -> DataFrame:
@@ -41,11 +57,9 @@ def _state(edges: DataFrame) -> tuple:
 
 def _star(edges: DataFrame, *, large: bool) -> DataFrame:
     """Link the neighbours of every node (the larger ones, or the others) to the smallest of them all."""
-    around = edges.select("a", "b")
-    if large:
-        around = around.union(edges.select("b", "a"))
+    around = _both(edges, ("a", "b"), ("b", "a")) if large else edges
     least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    linked = around.join(least, "a")
+    linked = around.join(least.hint("merge"), "a")
     if large:
-        return _clean(linked.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
-    return _clean(linked.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", "m")))
+        return _clean(_both(linked.where("b > a"), ("b", "m")))
+    return _clean(_both(linked, ("b", "m"), ("a", "m")))
