@@ -23,7 +23,7 @@ from spendcast.entries.common import (
     table,
 )
 from spendcast.functions.scoring import polynomial_exponents, score
-from spendcast.operators.split import with_split
+from spendcast.operators.split import exact_split, with_split
 from spendcast.plans.features import feature_table
 from spendcast.plans.training import (
     current_model,
@@ -57,6 +57,15 @@ def kfold_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return hash_split(spark, folder).groupBy("IS_TEST", "FOLD").agg(F.count(F.lit(1)).alias("N_ROWS"))
 
 
+def exact_split_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """A fifth of all lines for the test, the others in ten folds of the same size."""
+    return exact_split(table(spark, folder, "lineitem").select(*_LINE_KEYS), list(_LINE_KEYS), 42, folds=10)
+
+
+def exact_split_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_split_rows(spark, folder).groupBy("IS_TEST", "FOLD").agg(F.count(F.lit(1)).alias("N_ROWS"))
+
+
 def ols_degree1(spark: SparkSession, folder: str) -> DataFrame:
     """Price on quantity over every line: slope, intercept and R2, from two passes."""
     rows = table(spark, folder, "lineitem").select("l_quantity", "l_extendedprice")
@@ -117,7 +126,7 @@ def saved_model_predictions(spark: SparkSession, folder: str) -> DataFrame:
     rows = net_price_features(spark, folder)
     root = new_folder(spark, "models")
     train_revenue_model(rows, 10, 2, 0.85, 0.85, save_root=root, keys=list(_LINE_KEYS))
-    scored = score(with_split(rows, list(_LINE_KEYS)), to_polynomial(current_model(spark, root)))
+    scored = score(exact_split(rows, list(_LINE_KEYS)), current_model(spark, root))
     return scored.select(*_LINE_KEYS, "IS_TEST", F.round("PREDICTED_ROI", 1).alias("PREDICTED_ROI"))
 
 
@@ -126,7 +135,8 @@ def _digest(keys: tuple[str, ...]) -> str:
     return f"md5(concat_ws(':', {parts}, '42'))"
 
 
-def split_sql(source: str, keys: tuple[str, ...], folds: int = 10) -> str:
+def hashed_sql(source: str, keys: tuple[str, ...], folds: int = 10) -> str:
+    """Sides and folds by the digits of the hash."""
     number = f"CAST('0x' || substr({_digest(keys)}, 1, 8) AS BIGINT)"
     return (
         f"SELECT * EXCLUDE n, n % 10 < 2 AS IS_TEST, CAST(n // 10 % {folds} AS INT) AS FOLD "
@@ -134,6 +144,20 @@ def split_sql(source: str, keys: tuple[str, ...], folds: int = 10) -> str:
     )
 
 
+def split_sql(source: str, keys: tuple[str, ...], folds: int = 10) -> str:
+    """Sides and folds by the rank of the hash: the first fifth is the test side."""
+    place, size, larger = "(nth - test - 1)", f"((total - test) // {folds})", f"((total - test) % {folds})"
+    fold = (
+        f"CASE WHEN {place} < {larger} * ({size} + 1) THEN {place} // ({size} + 1) "
+        f"ELSE {larger} + ({place} - {larger} * ({size} + 1)) // nullif({size}, 0) END"
+    )
+    return (
+        f"SELECT * EXCLUDE (nth, total, test), nth <= test AS IS_TEST, CASE WHEN nth > test THEN CAST({fold} AS INT) END AS FOLD "
+        f"FROM (SELECT *, (total * 2 + 9) // 10 AS test FROM (SELECT *, row_number() OVER (ORDER BY {_digest(keys)}) AS nth, "
+        f"count(*) OVER () AS total FROM ({source})))"
+    )
+
+
 def residual_steps(
     source: str, keys: tuple[str, ...], degree: int, by_fold: bool = False, label: str = "REVENUE",
     features: tuple[str, ...] = FEATURES,
@@ -198,7 +222,7 @@ def folds_sql(source: str, keys: tuple[str, ...], degree: int = 2) -> str:
     )
 
 
-_SPLIT_ORDERS_SQL = split_sql("SELECT o_orderkey, o_custkey FROM orders", ("o_orderkey",))
+_SPLIT_ORDERS_SQL = hashed_sql("SELECT o_orderkey, o_custkey FROM orders", ("o_orderkey",))
 _LINES_SQL = "SELECT *, false AS IS_TEST, 0 AS FOLD FROM lineitem"
 _QUADRATIC_STEPS = residual_steps(_LINES_SQL, _LINE_KEYS, 2, label="l_extendedprice", features=("l_quantity",))
 
@@ -207,6 +231,12 @@ ENTRIES = {
     "kfold_sizes": Entry(
         kfold_sizes, f"SELECT IS_TEST, FOLD, count(*) AS N_ROWS FROM ({_SPLIT_ORDERS_SQL}) GROUP BY 1, 2"
     ),
+    "exact_split": Entry(exact_split_rows, split_sql("SELECT l_orderkey, l_linenumber FROM lineitem", _LINE_KEYS)),
+    "exact_split_sizes": Entry(
+        exact_split_sizes,
+        "SELECT IS_TEST, FOLD, count(*) AS N_ROWS FROM "
+        f"({split_sql('SELECT l_orderkey, l_linenumber FROM lineitem', _LINE_KEYS)}) GROUP BY 1, 2",
+    ),
     "ols_degree1": Entry(
         ols_degree1,
         "SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS SLOPE, "

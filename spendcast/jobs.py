@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 from spendcast.functions.scoring import Polynomial, register_array_function, register_batch_function
 from spendcast.plans.features import feature_table
-from spendcast.plans.training import current_model, to_polynomial, train_revenue_model
+from spendcast.plans.training import current_model, train_revenue_model
 from spendcast.sources.tables import overwrite_table
 
 _JOBS: dict[str, Callable[..., Any]] = {}
@@ -74,7 +74,7 @@ def deploy_functions(
 
     The model is read once, here; its weights travel with the plan.
     """
-    model = to_polynomial(current_model(spark, model_root))
+    model = current_model(spark, model_root)
     register_array_function(spark, model, array_name)
     register_batch_function(spark, model, batch_name)
     return model

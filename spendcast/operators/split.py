@@ -3,11 +3,17 @@
 A seeded random draw changes with partitioning and row order, so a retried task
 or another cluster size would move rows between the sets. A hash of the key does
 not, and needs neither a shuffle nor a sort.
+
+``with_split`` takes sides by the digits of the hash, so their sizes are about
+what was asked for. ``exact_split`` takes them by the rank of the hash: sizes are
+exact, and still no row is moved. The cuts between sides and folds are found by
+counting prefixes of the hash and counting again inside the few prefixes that hold
+a cut, so each pass returns a bounded number of counts however many rows there are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,3 +49,80 @@ def with_split(
     if folds:
         columns["FOLD"] = (F.floor(number / F.lit(10)) % F.lit(folds)).cast("int")
     return df.withColumns(columns)
+
+
+_STEP = 4  # hexadecimal digits told apart by one pass: 65,536 counts at most for each open prefix
+_DIGITS = 32
+_ABOVE = "g"  # greater than any hexadecimal digit
+
+
+def rank_cuts(digests: DataFrame, ranks_of: Callable[[int], Sequence[int]]) -> tuple[int, list[str]]:
+    """The number of rows, and for each rank a text that is greater than that many digests and no more.
+
+    ``digests`` has the column digest; ``ranks_of`` takes the number of rows. Equal
+    digests cannot be cut apart: they go with the first of them, below the cut.
+    """
+    total = None
+    cuts: dict[int, str] = {}
+    # Open ranks by prefix, each with the number of smaller digests outside the prefix.
+    waiting: dict[str, list[int]] = {}
+    below: dict[str, int] = {"": 0}
+    rows, length = digests, 0
+    while total is None or waiting:
+        length += _STEP
+        if waiting:
+            rows = digests.filter(F.substring("digest", 1, length - _STEP).isin(sorted(waiting)))
+        counted = rows.groupBy(F.substring("digest", 1, length).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+        counts = sorted((r["prefix"], r["n"]) for r in counted.collect())
+        if total is None:
+            total = sum(n for _, n in counts)
+            waiting = {"": sorted(set(ranks_of(total)))}
+        opened: dict[str, list[int]] = {}
+        starts: dict[str, int] = {}
+        for start, ranks in waiting.items():
+            before = below[start]
+            inside = [(p, n) for p, n in counts if p.startswith(start)]
+            places = iter(inside)
+            prefix, n = next(places, (_ABOVE, 0))
+            for rank in ranks:
+                while before + n <= rank and prefix != _ABOVE:
+                    before += n
+                    prefix, n = next(places, (_ABOVE, 0))
+                if before == rank or prefix == _ABOVE:
+                    cuts[rank] = prefix if prefix != _ABOVE else start + _ABOVE
+                elif length >= _DIGITS:
+                    cuts[rank] = prefix + _ABOVE
+                else:
+                    opened.setdefault(prefix, []).append(rank)
+                    starts[prefix] = before
+        waiting, below = opened, starts
+    return total, [cuts[r] for r in ranks_of(total)]
+
+
+def exact_split(
+    df: DataFrame,
+    keys: Sequence[str],
+    seed: int = 42,
+    test_tenths: int = 2,
+    folds: int = 0,
+) -> DataFrame:
+    """Add IS_TEST with exactly that share of the rows, rounded up, and FOLD for the others.
+
+    Rows are ranked by the hash of their keys. The first are the test side; the
+    others are dealt to folds whose sizes differ by one at most (the first folds are
+    the larger ones), and a test row has no fold. Rows with equal keys stay together.
+    """
+    digest = key_digest(keys, seed)
+
+    def ranks_of(total: int) -> list[int]:
+        test = -(-total * test_tenths // 10)
+        size, larger = divmod(total - test, folds) if folds else (0, 0)
+        return [test, *(test + f * size + min(f, larger) for f in range(1, folds))]
+
+    _, (test, *starts) = rank_cuts(df.select(digest.alias("digest")), ranks_of)
+    is_test = digest < F.lit(test)
+    columns = {"IS_TEST": is_test}
+    if folds:
+        fold = sum(((digest >= F.lit(c)).cast("int") for c in starts), F.lit(0))
+        columns["FOLD"] = F.when(~is_test, fold)
+    return df.withColumns(columns)

@@ -6,18 +6,22 @@ predictions as standardising the terms after it, since a full polynomial of
 scaled inputs is a full polynomial of the inputs; but x and x*x are no longer
 nearly collinear, which keeps the normal equations well conditioned.
 
-A run takes two passes over the features, whatever their size, and keeps no copy
-of them: one for means and deviations, one for sums of products of terms, grouped
-by side of the split and fold. The fit, R2 on both sides and every fold score
-follow from these sums, at most two rows per fold. The pipeline itself is fitted
-when its gate has passed and it is to be saved.
+A run reads the features three times, whatever their size, and keeps no copy of
+them: the keys alone for the cuts of an exact split (now and then again, for the
+few rows about a cut), then all once for means and deviations and once for sums of
+products of terms, grouped by side of the split and fold. The fit, R2 on both sides
+and every fold score follow from these sums, one row per fold and one for the test
+side. What is saved are the solved weights; the pipeline is fitted on request only.
 """
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 import numpy as np
@@ -29,8 +33,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendcast.functions.scoring import Polynomial, polynomial_exponents
-from spendcast.operators.split import with_split
+from spendcast.operators.split import exact_split
+from spendcast.registry import SnapshotLog, read_text, write_text
 from spendcast.schemas import FEATURES, LABEL, MONTH_KEYS, TRAIN_REPORT
+from spendcast.workspace import remove_folder
 
 MODEL_RUNS = T.StructType(
     [
@@ -41,6 +47,9 @@ MODEL_RUNS = T.StructType(
         T.StructField("run_time", T.LongType()),
     ]
 )
+# What a root keeps: runs in its registry, and models that passed their gate.
+KEPT_RUNS = 200
+KEPT_MODELS = 5
 # Sums in one aggregation: with more fields than this Spark leaves generated code.
 _SUMS_AT_ONCE = 80
 _FOLD_SCORES = T.StructType(
@@ -58,9 +67,9 @@ class TrainResult:
 
     report: dict
     polynomial: Polynomial | None
-    pipeline: PipelineModel | None
     fold_scores: list[dict]
     model_path: str | None
+    pipeline: PipelineModel | None = None
 
 
 class TooFewRows(ValueError):
@@ -110,7 +119,7 @@ def prepared_rows(
     label: str = LABEL,
 ) -> DataFrame:
     """Features and label as doubles, IS_TEST and FOLD; the keys have done their work."""
-    marked = with_split(df, list(keys or split_keys(df)), seed, folds=folds)
+    marked = exact_split(df, list(keys or split_keys(df)), seed, folds=folds)
     numbers = [F.col(c).cast("double").alias(c) for c in (*features, label)]
     marks = ["IS_TEST", "FOLD"] if folds else ["IS_TEST"]
     return marked.select(*numbers, *marks)
@@ -191,13 +200,18 @@ def _weighted(base: Polynomial, weights: np.ndarray, mean: float, spread: float)
 
 
 def _sides(features: Sequence[str], label: str, rows: DataFrame) -> dict:
-    """Means and deviations over the training side, from one pass."""
+    """Means and deviations over the training side, from one pass that looks for missing numbers on both sides."""
     inputs = [*features, label]
-    numbers = [f(c).alias(f"{n}{i}") for i, c in enumerate(inputs) for n, f in (("m", F.avg), ("s", F.stddev_samp))]
-    missing = F.count_if(F.concat(*[F.col(c).cast("string") for c in inputs]).isNull())
-    found = rows.filter(~F.col("IS_TEST")).agg(*numbers, missing.alias("missing")).first()
-    if found["missing"]:
-        raise ValueError(f"{found['missing']} training rows hold a null in {', '.join(inputs)}")
+    training = ~F.col("IS_TEST")
+    numbers = [
+        f(F.when(training, F.col(c))).alias(f"{n}{i}") for i, c in enumerate(inputs) for n, f in (("m", F.avg), ("s", F.stddev_samp))
+    ]
+    missing = reduce(or_, (F.col(c).isNull() | F.isnan(c) for c in inputs))
+    counts = [F.count_if(missing & side).alias(name) for name, side in (("training", training), ("test", F.col("IS_TEST")))]
+    found = rows.agg(*numbers, *counts).first()
+    for side in ("training", "test"):
+        if found[side]:
+            raise ValueError(f"{found[side]} {side} rows hold a null or NaN in {', '.join(inputs)}")
     return found.asDict()
 
 
@@ -283,11 +297,14 @@ def train_revenue_model(
     keys: Sequence[str] | None = None,
     seed: int = 42,
     version: int | None = None,
+    pipeline: bool = False,
 ) -> TrainResult:
     """Fit on the training side, score both sides, save if both scores reach their threshold.
 
     Without ``save_root`` nothing is saved. ``folds`` below 2 skips cross validation.
-    Raises TooFewRows where a fit, a test score or a fold score has no rows to go by.
+    ``pipeline`` also fits the Spark ML pipeline on the training side, which reads the
+    rows again. Raises TooFewRows where a fit, a test score or a fold score has no rows
+    to go by.
     """
     folds = folds if folds >= 2 else 0
     rows = prepared_rows(features, keys, seed, folds)
@@ -306,13 +323,11 @@ def train_revenue_model(
 
     passed = passes_gate(train_r2, train_threshold) and passes_gate(test_r2, test_threshold)
     report = _report(train_r2, train_threshold, test_r2, test_threshold, bool(save_root) and passed)
-    path = fitted = None
+    path = None
     if save_root:
-        if passed:
-            fitted = revenue_pipeline(degree).fit(rows.filter(~F.col("IS_TEST")))
-            polynomial = to_polynomial(fitted)
-        path = save_model(features.sparkSession, save_root, fitted, report, version)
-    return TrainResult(report, polynomial, fitted, scores, path)
+        path = save_model(features.sparkSession, save_root, polynomial if passed else None, report, version)
+    fitted = revenue_pipeline(degree).fit(rows.filter(~F.col("IS_TEST"))) if pipeline else None
+    return TrainResult(report, polynomial, scores, path, fitted)
 
 
 def _report(train_r2, train_threshold, test_r2, test_threshold, saved: bool) -> dict:
@@ -347,33 +362,74 @@ def fold_frame(spark: SparkSession, result: TrainResult) -> DataFrame:
     return spark.createDataFrame([tuple(s[f.name] for f in _FOLD_SCORES) for s in result.fold_scores], _FOLD_SCORES)
 
 
+def _model_log(spark: SparkSession, root: str) -> SnapshotLog:
+    return SnapshotLog(spark, f"{root}/model_runs")
+
+
 def save_model(
-    spark: SparkSession, root: str, model: PipelineModel | None, report: dict, version: int | None = None
+    spark: SparkSession, root: str, model: Polynomial | None, report: dict, version: int | None = None
 ) -> str | None:
     """Record the run, and store the model in a new version folder if its gate passed.
 
-    A model becomes current by its row in the run table, written last, so readers
+    A model becomes current by its row in the registry, committed last, so readers
     never see a half-written model and a failed gate leaves the older one current.
+    Several writers may train below one root. The last KEPT_RUNS runs stay (and the
+    one of the current model), and the last KEPT_MODELS models; an older run keeps
+    its report and loses its path.
     """
     now = int(time.time_ns())
     version = now if version is None else version
-    path = f"{root}/models/version={version}" if report["model_saved"] else None
+    # A version that is trained again gets a folder of its own, as readers may hold the older one.
+    path = f"{root}/models/run={now}/version={version}" if report["model_saved"] else None
     if path:
-        model.write().overwrite().save(path)
-    row = (version, path, *[report[f.name] for f in TRAIN_REPORT], now)
-    spark.createDataFrame([row], MODEL_RUNS).coalesce(1).write.mode("append").parquet(f"{root}/model_runs")
+        write_text(spark, f"{path}/polynomial.json", json.dumps(asdict(model)))
+    row = {"version": version, "model_path": path, **{f.name: report[f.name] for f in TRAIN_REPORT}, "run_time": now}
+    gone: list[str] = []
+
+    def add(rows: list[dict]) -> list[dict]:
+        rows = sorted([*rows, row], key=lambda r: r["run_time"])
+        saved = [r for r in rows if r["model_path"]]
+        gone[:] = [r["model_path"] for r in saved[:-KEPT_MODELS]]
+        rows = [r | {"model_path": None} if r["model_path"] in gone else r for r in rows]
+        return [r for i, r in enumerate(rows) if i >= len(rows) - KEPT_RUNS or (saved and r is saved[-1])]
+
+    _model_log(spark, root).commit(add)
+    for old in gone:
+        remove_folder(spark, old)
     return path
 
 
 def model_runs(spark: SparkSession, root: str) -> DataFrame:
-    """Every training run: version, model path if saved, and the report."""
-    return spark.read.schema(MODEL_RUNS).parquet(f"{root}/model_runs")
+    """The training runs that are kept: version, model path if saved, and the report."""
+    rows = _model_log(spark, root).rows()
+    return spark.createDataFrame([tuple(r[f.name] for f in MODEL_RUNS) for r in rows], MODEL_RUNS)
+
+
+def is_trained(spark: SparkSession, root: str, version: int) -> bool:
+    """Whether a version has a run."""
+    return any(r["version"] == version for r in _model_log(spark, root).rows())
+
+
+def current_run(spark: SparkSession, root: str) -> dict | None:
+    """The latest run whose model passed its gate, by the time of the run."""
+    saved = [r for r in _model_log(spark, root).rows() if r["model_path"]]
+    return max(saved, key=lambda r: r["run_time"], default=None)
+
+
+def load_model(spark: SparkSession, path: str) -> Polynomial:
+    """The model of a version folder."""
+    text = read_text(spark, f"{path}/polynomial.json")
+    if text is None:
+        raise LookupError(f"no model at {path}")
+    found = json.loads(text)
+    exponents = tuple(tuple(e) for e in found["exponents"])
+    numbers = {k: tuple(found[k]) for k in ("features", "weights", "centers", "scales")}
+    return Polynomial(exponents=exponents, intercept=found["intercept"], **numbers)
 
 
-def current_model(spark: SparkSession, root: str) -> PipelineModel:
-    """The latest model that passed its gate, by the time of its run."""
-    saved = model_runs(spark, root).filter("model_saved")
-    path = saved.agg(F.max_by("model_path", "run_time").alias("path")).first()["path"]
-    if path is None:
+def current_model(spark: SparkSession, root: str) -> Polynomial:
+    """The latest model that passed its gate."""
+    run = current_run(spark, root)
+    if run is None:
         raise LookupError(f"no model under {root} has passed its gate")
-    return PipelineModel.load(path)
+    return load_model(spark, run["model_path"])

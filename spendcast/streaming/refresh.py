@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from spendcast.plans.features import month_of
-from spendcast.plans.training import MODEL_RUNS, TooFewRows, record_failed_run, train_revenue_model
+from spendcast.plans.training import TooFewRows, is_trained, record_failed_run, train_revenue_model
 from spendcast.schemas import CHANNEL_COLUMNS, LABEL, MONTH_KEYS
 from spendcast.workspace import remove_folder
 
@@ -224,8 +224,7 @@ class Refresh:
         """Train the current version if its retrain failed or never began."""
         versions = published_versions(self.spark, self.root) if self.retrain is not None else []
         if versions:
-            runs = _read_if_present(self.spark, f"{self.root}/model_runs", MODEL_RUNS)
-            if runs is None or runs.filter(F.col("version") == versions[0]).isEmpty():
+            if not is_trained(self.spark, self.root, versions[0]):
                 self._train(current_features(self.spark, self.root), versions[0])
 
 
@@ -316,13 +315,11 @@ def retrain_with(
 
     def retrain(features: DataFrame, root: str, version: int) -> None:
         spark = features.sparkSession
-        runs = _read_if_present(spark, f"{root}/model_runs", MODEL_RUNS)
-        if runs is None or runs.filter(F.col("version") == version).isEmpty():
-            try:
-                train_revenue_model(
-                    features, folds, degree, train_threshold, test_threshold, save_root=root, version=version
-                )
-            except TooFewRows:
-                record_failed_run(spark, root, train_threshold, test_threshold, version)
+        if is_trained(spark, root, version):
+            return
+        try:
+            train_revenue_model(features, folds, degree, train_threshold, test_threshold, save_root=root, version=version)
+        except TooFewRows:
+            record_failed_run(spark, root, train_threshold, test_threshold, version)
 
     return retrain

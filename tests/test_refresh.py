@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spendcast import jobs
 from spendcast.plans.features import feature_table
-from spendcast.plans.training import current_model, model_runs, to_polynomial
+from spendcast.plans.training import current_model, model_runs
 from spendcast.schemas import CAMPAIGN_SPEND, CHANNEL_COLUMNS, FEATURES, MONTHLY_REVENUE
 from spendcast.sources.landing import load_new_files, stream_csv
 from spendcast.sources.tables import overwrite_table
@@ -135,13 +135,13 @@ def test_retrain_follows_and_a_failed_gate_keeps_the_model(spark, landing):
     out = f"{landing.root}/out"
     runs = model_runs(spark, out).collect()
     assert [r["model_saved"] for r in runs] == [True]
-    first = to_polynomial(current_model(spark, out))
+    first = current_model(spark, out)
 
     landing.drop(*month_rows(range(2020, 2030), seed=5, noise=1e6))
     landing.refresh(retrain).run_once()
     runs = model_runs(spark, out).orderBy("version").collect()
     assert [r["model_saved"] for r in runs] == [True, False]
-    assert to_polynomial(current_model(spark, out)) == first
+    assert current_model(spark, out) == first
 
     landing.refresh(retrain).run_once()
     assert model_runs(spark, out).count() == 2
@@ -211,7 +211,7 @@ def test_jobs_by_name(spark, tmp_path, table_name):
     report = jobs.call(spark, "train_model", "MARKETING_BUDGETS_FEATURES", 10, 2, 0.85, 0.85, True, str(tmp_path))
     assert report["model_saved"] and report["train_r2"] > 0.99
     model = jobs.call(spark, "deploy_functions", str(tmp_path))
-    assert model == to_polynomial(current_model(spark, str(tmp_path)))
+    assert model == current_model(spark, str(tmp_path))
     scored = spark.table("MARKETING_BUDGETS_FEATURES").select(
         "REVENUE",
         F.call_udf("predict_roi", F.array(*FEATURES)).alias("by_array"),
@@ -331,7 +331,7 @@ def test_a_passing_retrain_reaches_the_scorer(spark, landing, tmp_path):
 
     landing.drop(*month_rows(range(2012, 2020)))
     landing.refresh(rf.retrain_with(folds=5), deploy=deploy).run_once()
-    assert deployed == [to_polynomial(current_model(spark, f"{landing.root}/out"))]
+    assert deployed == [current_model(spark, f"{landing.root}/out")]
     assert landing.current().select(F.call_udf("predict_roi", F.array(*FEATURES)).alias("x")).count() == 96
 
 

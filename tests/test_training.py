@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendcast.functions.scoring import score
-from spendcast.operators.split import with_split
+from spendcast.operators.split import exact_split, key_digest, rank_cuts, with_split
 from spendcast.plans import training as tr
 from spendcast.schemas import FEATURES, TRAIN_REPORT
 from tests.helpers import final_plan, rows
@@ -56,6 +56,49 @@ def test_split_does_not_depend_on_partitioning_and_is_complete(spark):
     assert rows(few) != rows(with_split(df, ["id"], seed=43, folds=5))
 
 
+def sizes(df, column):
+    return sorted((r[column], r["count"]) for r in df.groupBy(column).count().collect() if r[column] is not None)
+
+
+@pytest.mark.parametrize("total, test", [(0, 0), (1, 1), (24, 5), (120, 24), (121, 25), (5003, 1001)])
+@pytest.mark.parametrize("folds", [0, 3, 10])
+def test_exact_split_has_exact_sizes(spark, total, test, folds):
+    df = spark.range(total)
+    split = exact_split(df.repartition(3), ["id"], folds=folds)
+    assert rows(split) == rows(exact_split(df, ["id"], folds=folds))
+    assert split.filter("IS_TEST").count() == test and split.count() == total
+    if folds and total > 1:
+        found = [n for _, n in sizes(split, "FOLD")]
+        assert sum(found) == total - test and max(found) - min(found) <= 1 and len(found) == folds
+        assert found == sorted(found, reverse=True)
+        assert split.filter("IS_TEST AND FOLD IS NOT NULL").isEmpty()
+
+
+def test_exact_split_follows_the_rank_of_the_hash(spark):
+    split = exact_split(spark.range(300), ["id"], folds=7)
+    ranked = split.withColumn("digest", key_digest(["id"], 42)).orderBy("digest").collect()
+    assert [r["IS_TEST"] for r in ranked] == [True] * 60 + [False] * 240
+    folds = [r["FOLD"] for r in ranked[60:]]
+    assert folds == sorted(folds)
+
+
+def test_cuts_refine_shared_prefixes_and_keep_ties_together(spark):
+    shared = "ab" * 14
+    digests = [f"{shared}{n:04x}" for n in range(50)] + ["0" * 32] * 30 + ["f" * 32] * 40
+    df = spark.createDataFrame([(d,) for d in digests], "digest string")
+    wanted = [0, 10, 30, 37, 80, 100, 120]
+    total, cuts = rank_cuts(df.repartition(4), lambda n: wanted)
+    assert total == 120
+    below = [sum(d < c for d in digests) for c in cuts]
+    assert below == [0, 30, 30, 37, 80, 120, 120]  # a cut inside equal digests moves behind them
+
+
+def test_ten_folds_on_two_years(spark):
+    x, y = months(noise=1e4)
+    result = tr.train_revenue_model(frame(spark, x[:24], y[:24]), folds=10, degree=1)
+    assert [s["N_ROWS"] for s in result.fold_scores] == [2] * 9 + [1]
+
+
 def test_null_keys_are_split_too(spark):
     df = spark.createDataFrame([(None, 1), (2, None)], "a int, b int")
     assert all(r["IS_TEST"] is not None for r in with_split(df, ["a", "b"]).collect())
@@ -76,7 +119,7 @@ def test_fit_equals_a_direct_solve(spark):
 def test_report_and_folds_equal_a_direct_solve(spark):
     x, y = months(noise=2e4)
     df = frame(spark, x, y)
-    marks = {(r["YEAR"], r["MONTH"]): r for r in with_split(df, ["YEAR", "MONTH"], folds=10).collect()}
+    marks = {(r["YEAR"], r["MONTH"]): r for r in exact_split(df, ["YEAR", "MONTH"], folds=10).collect()}
     keys = [(2000 + i // 12, i % 12 + 1) for i in range(MONTHS)]
     test = np.array([marks[k]["IS_TEST"] for k in keys])
     fold = np.array([marks[k]["FOLD"] for k in keys])
@@ -115,7 +158,7 @@ def test_gate_keeps_the_older_model(spark, tmp_path):
     assert not bad.report["model_saved"] and bad.model_path is None
     runs = tr.model_runs(spark, root).orderBy("version").collect()
     assert [(r["version"], r["model_saved"]) for r in runs] == [(1, True), (2, False)]
-    loaded = tr.to_polynomial(tr.current_model(spark, root))
+    loaded = tr.current_model(spark, root)
     assert loaded == good.polynomial
 
 
@@ -150,6 +193,28 @@ def test_null_feature_is_an_error(spark):
         tr.train_revenue_model(df, folds=0)
 
 
+@pytest.mark.parametrize("side", ["test", "training"])
+@pytest.mark.parametrize("column", ["VIDEO", "REVENUE"])
+@pytest.mark.parametrize("value", [None, float("nan")])
+def test_a_missing_number_on_either_side_is_an_error(spark, side, column, value):
+    x, y = months()
+    df = frame(spark, x, y)
+    chosen = exact_split(df, ["YEAR", "MONTH"]).filter(F.col("IS_TEST") == (side == "test")).limit(3).select("YEAR", "MONTH").collect()
+    some = F.concat_ws("-", "YEAR", "MONTH").isin([f"{r['YEAR']}-{r['MONTH']}" for r in chosen])
+    broken = df.withColumn(column, F.when(some, F.lit(value).cast("double")).otherwise(F.col(column)))
+    with pytest.raises(ValueError, match=f"3 {side} rows hold a null or NaN"):
+        tr.train_revenue_model(broken, folds=0)
+
+
+def test_the_pipeline_on_request_agrees_with_the_solved_weights(spark):
+    x, y = months(noise=1e4)
+    df = frame(spark, x, y)
+    result = tr.train_revenue_model(df, folds=0, pipeline=True)
+    both = score(score(df, result.polynomial, output="a"), tr.to_polynomial(result.pipeline), output="b").collect()
+    assert [r["a"] for r in both] == pytest.approx([r["b"] for r in both], rel=1e-9)
+    assert tr.train_revenue_model(df, folds=0).pipeline is None
+
+
 def test_report_as_one_row(spark):
     x, y = months(noise=1e4)
     result = tr.train_revenue_model(frame(spark, x, y), folds=4)
@@ -194,7 +259,7 @@ def test_sums_stay_in_generated_code(spark, degree):
         assert plan.count(") HashAggregate") == 2  # each behind the number of its generated stage
 
 
-def test_training_reads_its_rows_twice_and_keeps_no_copy(spark, tmp_path):
+def test_training_reads_its_rows_a_few_times_and_keeps_no_copy(spark, tmp_path):
     x, y = months(noise=1e4)
     frame(spark, x, y).write.parquet(str(tmp_path / "t"))
     table = spark.read.parquet(str(tmp_path / "t"))
@@ -203,7 +268,8 @@ def test_training_reads_its_rows_twice_and_keeps_no_copy(spark, tmp_path):
     tr.train_revenue_model(table, folds=10)
     jobs = context.statusTracker().getJobIdsForGroup("train")
     context.setJobGroup("", "")
-    assert len(jobs) <= 4  # two passes, each a scan and a small sum under adaptive execution
+    # Keys for the cuts (again, if a cut falls into a shared prefix), means, sums: each a scan and a small sum.
+    assert len(jobs) <= 8
     assert context._jsc.sc().getPersistentRDDs().isEmpty()
 
 
@@ -213,4 +279,4 @@ def test_the_latest_run_is_current_whatever_its_version(spark, tmp_path):
     x, y = months(noise=1e4)
     tr.train_revenue_model(frame(spark, x, y), folds=0, save_root=root)
     later = tr.train_revenue_model(frame(spark, x, 2 * y), folds=0, save_root=root, version=1)
-    assert tr.to_polynomial(tr.current_model(spark, root)) == later.polynomial
+    assert tr.current_model(spark, root) == later.polynomial
