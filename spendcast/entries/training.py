@@ -145,7 +145,7 @@ def hashed_sql(source: str, keys: tuple[str, ...], folds: int = 10) -> str:
 
 
 def split_sql(source: str, keys: tuple[str, ...], folds: int = 10) -> str:
-    """Sides and folds by the rank of the hash: the first fifth is the test side."""
+    """Sides and folds by the rank of the hash: the first fifth is the test side, equal keys stay together."""
     place, size, larger = "(nth - test - 1)", f"((total - test) // {folds})", f"((total - test) % {folds})"
     fold = (
         f"CASE WHEN {place} < {larger} * ({size} + 1) THEN {place} // ({size} + 1) "
@@ -153,7 +153,7 @@ def split_sql(source: str, keys: tuple[str, ...], folds: int = 10) -> str:
     )
     return (
         f"SELECT * EXCLUDE (nth, total, test), nth <= test AS IS_TEST, CASE WHEN nth > test THEN CAST({fold} AS INT) END AS FOLD "
-        f"FROM (SELECT *, (total * 2 + 9) // 10 AS test FROM (SELECT *, row_number() OVER (ORDER BY {_digest(keys)}) AS nth, "
+        f"FROM (SELECT *, (total * 2 + 9) // 10 AS test FROM (SELECT *, rank() OVER (ORDER BY {_digest(keys)}) AS nth, "
         f"count(*) OVER () AS total FROM ({source})))"
     )
 
