@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,6 +115,56 @@ def load_table_twice(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name)
 
 
+def _landed_in_two_drops(spark: SparkSession, folder: str, between, **more) -> DataFrame:
+    """Spend in two drops of files, loaded after each; ``between`` gets the table's name before every load."""
+    root = new_folder(spark, "load-table")
+    name = "landed_" + root[-12:]
+    rows = spend(spark, folder)
+    create_or_replace_table(spark, name, "TOTAL_COST DECIMAL(18,2), DATE DATE, CHANNEL VARCHAR(60)", f"{root}/table")
+    for drop in (F.col("DATE") < _SECOND_DROP, F.col("DATE") >= _SECOND_DROP):
+        rows.filter(drop).write.mode("append").option("header", "true").csv(f"{root}/landing")
+        between(name)
+        for attempt in range(2):
+            source = stream_csv(spark, f"{root}/landing", _SPEND)
+            try:
+                load_table_once(source, name, f"{root}/checkpoint", **(more if attempt == 0 else {}))
+            except StreamingQueryException:
+                if not more:
+                    raise
+    return spark.table(name)
+
+
+def load_then_insert(spark: SparkSession, folder: str) -> DataFrame:
+    """A table that takes files of spend, each once though it is loaded twice, and rows of events before each load."""
+    halves = iter((F.col("DATE") < "2024-01-05", F.col("DATE") >= "2024-01-05"))
+    return _landed_in_two_drops(
+        spark, folder, lambda name: append_by_name(event_spend(spark, folder).filter(next(halves)), name)
+    )
+
+
+def load_after_crash(spark: SparkSession, folder: str) -> DataFrame:
+    """Every load is lost after its files have been moved and before they are committed, and tried again."""
+
+    def lost(batch: int) -> None:
+        raise RuntimeError(f"batch {batch} is lost before its commit")
+
+    return _landed_in_two_drops(spark, folder, lambda name: None, before_commit=lost)
+
+
+def overwrite_from_itself(spark: SparkSession, folder: str) -> DataFrame:
+    """A table of spend, overwritten by its own totals per day and channel, and by those above the mean of their channel."""
+    path = new_folder(spark, "itself")
+    name = "itself_" + path[-12:]
+    overwrite_table(spend(spark, folder), name, path)
+    totals = spark.table(name).groupBy("DATE", "CHANNEL").agg(F.sum("TOTAL_COST").cast("decimal(18,2)").alias("TOTAL_COST"))
+    overwrite_table(totals, name, path)
+    days = spark.table(name)
+    means = days.groupBy("CHANNEL").agg(F.sum("TOTAL_COST").alias("ALL_COST"), F.count(F.lit(1)).alias("N"))
+    above = days.join(means, "CHANNEL").filter(F.col("TOTAL_COST") * F.col("N") > F.col("ALL_COST"))
+    overwrite_table(above.select("DATE", "CHANNEL", "TOTAL_COST"), name, path)
+    return spark.table(name)
+
+
 def insert_then_read(spark: SparkSession, folder: str) -> DataFrame:
     """A table filled from orders, then three literal rows by column name."""
     path = new_folder(spark, "inserted")
@@ -249,6 +300,11 @@ _BOTH_SQL = (
     "event_type AS CHANNEL, CAST(ts AS DATE) AS DATE FROM events"
 )
 
+_ABOVE_SQL = (
+    "WITH days AS (SELECT DATE, CHANNEL, CAST(sum(TOTAL_COST) AS DECIMAL(18,2)) AS TOTAL_COST "
+    f"FROM ({SPEND_SQL}) GROUP BY 1, 2) SELECT DATE, CHANNEL, TOTAL_COST FROM (SELECT *, sum(TOTAL_COST) OVER c AS every, "
+    "count(*) OVER c AS n FROM days WINDOW c AS (PARTITION BY CHANNEL)) WHERE TOTAL_COST * n > every"
+)
 _INSERTED_SQL = (
     f"{SPEND_SQL} UNION ALL SELECT * FROM (VALUES (DATE '2020-01-01', 'email', CAST(NULL AS DECIMAL(18,2))), "
     "(CAST(NULL AS DATE), 'video', NULL), (NULL, NULL, NULL))"
@@ -262,6 +318,9 @@ ENTRIES = {
     "bulk_load": Entry(bulk_load_table, SPEND_SQL),
     "replace_table": Entry(replace_table, SPEND_SQL),
     "load_table_once": Entry(load_table_twice, SPEND_SQL),
+    "load_then_insert": Entry(load_then_insert, _BOTH_SQL),
+    "load_after_crash": Entry(load_after_crash, SPEND_SQL),
+    "overwrite_from_itself": Entry(overwrite_from_itself, _ABOVE_SQL),
     "insert_then_read": Entry(insert_then_read, _INSERTED_SQL),
     "bounded_sample": Entry(
         bounded_sample, "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10"

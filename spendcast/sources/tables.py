@@ -1,7 +1,15 @@
-"""Catalog tables, literal rows and bounded results."""
+"""Catalog tables, literal rows and bounded results.
+
+Replacing or overwriting a table writes a new version beside the old one and then
+moves the table's location, which is one step in the catalog where the columns stay
+the same. A write that fails leaves the old rows, a query may overwrite a table it
+reads, and a reader that began before ends on the version it began with: the versions
+before the current one stay for ``GRACE`` replacements. Read such a table by its name.
+"""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 from typing import Any
 from uuid import uuid4
@@ -11,6 +19,14 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendcast.registry import names_in
+from spendcast.workspace import remove_folder
+
+# Versions kept behind the current one.
+GRACE = 1
+_VERSION = "version-"
+LOADS = ".loads"  # beside a version: which files were loaded into it
+
 
 def run_sql(
     spark: SparkSession,
@@ -28,35 +44,74 @@ def literal_frame(spark: SparkSession, rows: Sequence[Any], schema: Sequence[str
     return spark.createDataFrame(rows, schema if isinstance(schema, T.StructType) else list(schema))
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    """The folder that holds a table's files now."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").select("data_type").collect()
+    return rows[-1]["data_type"].rstrip("/")
+
+
+def declared_columns(spark: SparkSession, name: str) -> list[tuple[str, str]]:
+    """Names and declared types of a table's columns, declared lengths included."""
+    described = {r["col_name"]: r["data_type"] for r in reversed(spark.sql(f"DESCRIBE TABLE {name}").collect())}
+    return [(c.name.upper(), described[c.name]) for c in spark.catalog.listColumns(name)]
+
+
+def refuse_stream_log(spark: SparkSession, name: str) -> None:
+    """Raise for a table that a streaming sink owns: its readers go by the sink's log, so other rows would never be seen."""
+    if "_spark_metadata" in names_in(spark, table_location(spark, name)):
+        raise ValueError(f"table {name} is owned by a streaming sink; rows written beside it would not be seen")
+
+
+def _new_version(spark: SparkSession, name: str, path: str | None) -> str:
+    base = (path or f"{spark.conf.get('spark.sql.warehouse.dir')}/{name.lower()}-versions").rstrip("/")
+    return f"{base}/{_VERSION}{time.time_ns():020d}"
+
+
+def _publish(spark: SparkSession, name: str, columns: str, version: str) -> None:
+    """Make a complete version the table's content, and remove versions beyond the grace count."""
+    passing = f"{name}_new_{uuid4().hex[:12]}"
+    spark.sql(f"CREATE TABLE {passing} ({columns}) USING parquet LOCATION '{version}'")
+    if spark.catalog.tableExists(name) and declared_columns(spark, name) == declared_columns(spark, passing):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+        spark.sql(f"DROP TABLE {passing}")  # external: the files stay
+    else:
+        # Other columns are another table: this takes two steps, and between them there is none of that name.
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {passing} RENAME TO {name}")
+    spark.catalog.refreshTable(name)
+    base, own = version.rsplit("/", 1)
+    older = sorted(n for n in names_in(spark, base) if n.startswith(_VERSION) and not n.endswith(LOADS) and n < own)
+    for old in older[: len(older) - GRACE]:
+        remove_folder(spark, f"{base}/{old}")
+        remove_folder(spark, f"{base}/{old}{LOADS}")
+
+
 def create_or_replace_table(spark: SparkSession, name: str, columns: str, path: str | None = None) -> None:
     """An empty Parquet table with declared columns; an older table of that name goes, with its rows.
 
-    With ``path`` the table is external, and files that lie there are replaced by
-    an empty one. Plain Parquet tables have no CREATE OR REPLACE: the new table is
-    created under a passing name, so a wrong declaration leaves the old one as it
-    was, and takes the name when the old one is gone.
+    Versions lie below ``path``, or below the warehouse. A wrong declaration leaves
+    the old table as it was.
     """
-    location = f" LOCATION '{path}'" if path else ""
-    passing = f"{name}_new_{uuid4().hex[:12]}"
-    spark.sql(f"CREATE TABLE {passing} ({columns}) USING parquet{location}")
-    if path:
+    version = _new_version(spark, name, path)
+    probe = f"{name}_new_{uuid4().hex[:12]}"
+    spark.sql(f"CREATE TABLE {probe} ({columns}) USING parquet LOCATION '{version}'")
+    try:
         # The table's type holds declared lengths that a frame cannot; its files need none.
-        plain = spark.table(passing).schema
-        spark.createDataFrame([], plain).write.mode("overwrite").parquet(path)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {passing} RENAME TO {name}")
-    spark.catalog.refreshTable(name)
+        spark.createDataFrame([], spark.table(probe).schema).write.mode("overwrite").parquet(version)
+    finally:
+        spark.sql(f"DROP TABLE {probe}")
+    _publish(spark, name, columns, version)
 
 
 def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Replace the rows and the schema of a table by a query result.
-
-    Spark refuses to overwrite a table the query itself reads.
-    """
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    """Replace the rows and the schema of a table by a query result; the query may read the table."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        refuse_stream_log(spark, name)
+    version = _new_version(spark, name, path)
+    df.write.parquet(version)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    _publish(spark, name, columns, version)
 
 
 def append_by_name(df: DataFrame, name: str) -> None:
@@ -65,6 +120,7 @@ def append_by_name(df: DataFrame, name: str) -> None:
     A table column the frame lacks is NULL in the new rows; a frame column the
     table lacks is an error.
     """
+    refuse_stream_log(df.sparkSession, name)
     target = df.sparkSession.table(name).schema
     known = {f.name.upper() for f in target.fields}
     unknown = [c for c in df.columns if c.upper() not in known]
