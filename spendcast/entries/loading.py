@@ -30,8 +30,9 @@ from spendcast.plans.training import model_runs
 from spendcast.schemas import CHANNEL_COLUMNS, FEATURES, MONTH_KEYS, TRAIN_REPORT
 from spendcast.sources.landing import bulk_load, load_new_files, load_table_once, narrow_counts, read_csv, stream_csv
 from spendcast.sources.tables import append_by_name, bounded_pandas, create_or_replace_table, insert_rows, overwrite_table
+from spendcast.streaming.ledger import LedgerRefresh
 from spendcast.streaming.refresh import Refresh, current_features, retrain_with
-from spendcast.workspace import new_folder
+from spendcast.workspace import new_folder, remove_folder
 
 _SPEND = T.StructType(
     [
@@ -260,6 +261,30 @@ def refresh_suspend_resume(spark: SparkSession, folder: str) -> DataFrame:
     return feed.features()
 
 
+def refresh_corrected_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Three landings of spend and one of revenue; one is corrected and one removed before the last refresh."""
+    root = new_folder(spark, "ledger")
+    costs, income = spend(spark, folder), revenue(spark, folder)
+
+    def land(kind: str, name: str, rows: DataFrame) -> None:
+        rows.write.mode("overwrite").parquet(f"{root}/{kind}/{name}")
+
+    doubled = costs.withColumn("TOTAL_COST", (F.col("TOTAL_COST") * 2).cast("decimal(18,2)"))
+    land("spend", "early", doubled.filter(F.col("DATE") < _SECOND_DROP))
+    land("spend", "late", costs.filter(F.col("DATE") >= _SECOND_DROP))
+    land("spend", "wrong", costs.withColumn("CHANNEL", F.lit("1-URGENT")))
+    land("revenue", "all", income)
+    readers = [spark.read.schema(rows.schema).parquet for rows in (costs, income)]
+    refresh = LedgerRefresh(spark, f"{root}/spend/*", f"{root}/revenue/*", *readers, f"{root}/out", ORDER_CHANNELS)
+    refresh.run_once()
+    land("spend", "early", costs.filter(F.col("DATE") < _SECOND_DROP))
+    refresh.run_once()
+    remove_folder(spark, f"{root}/spend/wrong")
+    refresh.run_once()
+    kinds = {c: F.col(c).cast("decimal(28,2)") for c in (*ORDER_CHANNELS.values(), "REVENUE")}
+    return current_features(spark, f"{root}/out").select("YEAR", "MONTH", *[v.alias(c) for c, v in kinds.items()])
+
+
 def deployed_model_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Trained by a refresh on months, then by the job on lines, deployed from the root both use: the later run counts."""
     feed = _Feed(spark, folder)
@@ -331,6 +356,7 @@ ENTRIES = {
     "refresh_chain": Entry(refresh_chain, FEATURES_SQL),
     "refresh_new_channels": Entry(refresh_new_channels, FEATURES_SQL),
     "refresh_suspend_resume": Entry(refresh_suspend_resume, FEATURES_SQL),
+    "refresh_corrected_files": Entry(refresh_corrected_files, FEATURES_SQL),
     "refresh_retrain": Entry(refresh_retrain, report_sql(FEATURES_SQL, MONTH_KEYS)),
     "deployed_model_predictions": Entry(
         deployed_model_predictions,

@@ -12,14 +12,14 @@ with one registry snapshot; a batch repeated after a failure finds itself publis
 or writes the same version again. Features are committed on their own: a retrain
 that fails is recorded and tried again, and the feed goes on.
 
-A root has one writer at a time. The last few versions and snapshots are kept.
+A root has one writer of features at a time. Registries are snapshot logs of plain
+rows, read without a Spark job and once per batch; the last few versions are kept.
 """
 
 from __future__ import annotations
 
 import json
-import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -30,21 +30,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from spendcast.plans.features import month_of
 from spendcast.plans.training import TooFewRows, is_trained, record_failed_run, train_revenue_model
+from spendcast.registry import SnapshotLog
 from spendcast.schemas import CHANNEL_COLUMNS, LABEL, MONTH_KEYS
 from spendcast.workspace import remove_folder
 
-_REGISTRY = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("lineage", T.IntegerType()),
-        T.StructField("batch", T.LongType()),
-        T.StructField("checkpoint_id", T.StringType()),
-        T.StructField("channels", T.StringType()),
-    ]
-)
-_LINEAGES = T.StructType([T.StructField("lineage", T.IntegerType())])
 _ERRORS = T.StructType([T.StructField("version", T.LongType()), T.StructField("error", T.StringType())])
-_TOTAL_KEYS = (*MONTH_KEYS, "CHANNEL")
+_KEPT_ERRORS = 100
+TOTAL_KEYS = (*MONTH_KEYS, "CHANNEL")
 # Versions of two lineages never meet: the lineage stands above the batch number.
 _LINEAGE_SHIFT = 40
 
@@ -54,30 +46,29 @@ class RefreshMismatch(RuntimeError):
 
 
 def arriving_rows(
-    spend: DataFrame, revenue: DataFrame, channels: Mapping[str, str] = CHANNEL_COLUMNS
+    spend: DataFrame, revenue: DataFrame, channels: Mapping[str, str] = CHANNEL_COLUMNS, more: Sequence[str] = ()
 ) -> DataFrame:
-    """Both streams as one: a spend row has a cost, a revenue row has a revenue.
+    """Both sources as one: a spend row has a cost, a revenue row has a revenue; ``more`` columns come along.
 
     Only listed channels are kept, which bounds the totals by months times channels.
     """
-    costs = spend.filter(F.col("CHANNEL").isin(*channels)).select(*month_of("DATE"), "CHANNEL", "TOTAL_COST")
-    revenues = revenue.select(*MONTH_KEYS, LABEL)
+    costs = spend.filter(F.col("CHANNEL").isin(*channels)).select(*month_of("DATE"), "CHANNEL", "TOTAL_COST", *more)
+    revenues = revenue.select(*MONTH_KEYS, LABEL, *more)
     return costs.unionByName(revenues, allowMissingColumns=True)
 
 
-def add_totals(before: DataFrame | None, rows: DataFrame) -> DataFrame:
-    """Totals per year, month and channel after more rows.
-
-    Types stay those of the incoming columns, so totals can be added up for ever.
-    """
+def total_sums(rows: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Totals per year, month and channel (and ``more`` columns), in types that can be added up for ever."""
     types = {c: rows.schema[c].dataType for c in ("TOTAL_COST", LABEL)}
+    sums = [F.sum(c).cast(_total_type(t)).alias(c) for c, t in types.items()]
+    return rows.groupBy(*TOTAL_KEYS, *more).agg(*sums)
 
-    def sums(df: DataFrame) -> DataFrame:
-        return df.groupBy(*_TOTAL_KEYS).agg(*[F.sum(c).cast(_total_type(t)).alias(c) for c, t in types.items()])
 
+def add_totals(before: DataFrame | None, rows: DataFrame) -> DataFrame:
+    """Totals per year, month and channel after more rows."""
     # New rows are reduced first; only totals meet totals.
-    new = sums(rows)
-    return new if before is None else sums(before.unionByName(new))
+    new = total_sums(rows)
+    return new if before is None else total_sums(before.unionByName(new))
 
 
 def _total_type(value: T.DataType) -> T.DataType:
@@ -140,14 +131,22 @@ class Refresh:
         Corrected or deleted rows count, as do other channels than before. The
         features stay those of the old lineage until the new one is complete.
         """
-        tried = _read_if_present(self.spark, f"{self.root}/begun", _LINEAGES)
-        last = tried.agg(F.max("lineage").alias("n")).first()["n"] if tried is not None else 0
-        lineage = (last or 0) + 1
-        self._note(lineage, "begun")  # a rebuild that fails half way is not gone on with
+        lineages = _lineages(self.spark, self.root)
+        # The number is taken before the work, so a rebuild that fails half way is not gone on with.
+        begun = lineages.commit(lambda rows: [*rows, {"lineage": _last(rows) + 1, "complete": False}])
+        lineage = _last(begun)
         self._stream(lineage, None).awaitTermination()
-        self._note(lineage, "lineages")
+        if not _lineage_rows(self.spark, self.root, lineage):
+            # Sources without files have no batch; they have features all the same, without rows. Their first batch is 0.
+            self._batch(self._no_rows(), -1, lineage)
+        lineages.commit(lambda rows: [{"lineage": lineage, "complete": True}, *(r for r in rows if r["lineage"] > lineage)])
         self._retry_retrain()
 
+    def _no_rows(self) -> DataFrame:
+        """The arriving columns without a row."""
+        schema = arriving_rows(self.spend, self.revenue, self.channels).schema
+        return self.spark.createDataFrame([], schema)
+
     def _stream(self, lineage: int, interval: str | None) -> StreamingQuery:
         writer = (
             arriving_rows(self.spend, self.revenue, self.channels)
@@ -157,10 +156,6 @@ class Refresh:
         writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
         return writer.start()
 
-    def _note(self, lineage: int, name: str) -> None:
-        row = self.spark.createDataFrame([(lineage,)], _LINEAGES).coalesce(1)
-        row.write.mode("append").parquet(f"{self.root}/{name}")
-
     def _check(self, lineage: int) -> None:
         """Refuse a start whose batches would be skipped, counted twice or summed over other channels."""
         published = _lineage_rows(self.spark, self.root, lineage)
@@ -186,28 +181,17 @@ class Refresh:
             totals = spark.read.parquet(totals_path(self.root, version))
             features = features_from_totals(totals, self.channels)
             features.write.mode("overwrite").parquet(features_path(self.root, version))
-            own = (version, lineage, batch, checkpoint_id(spark, checkpoint_path(self.root, lineage)), self._channel_text())
-            self._publish(spark, own)
+            own = {
+                "version": version,
+                "lineage": lineage,
+                "batch": batch,
+                "checkpoint_id": checkpoint_id(spark, checkpoint_path(self.root, lineage)),
+                "channels": self._channel_text(),
+            }
+            publish(spark, self.root, own, self.keep)
         # The dependent step: reached only when the features are published, and no reason to stop the feed.
         self._train(spark.read.parquet(features_path(self.root, version)), version)
 
-    def _publish(self, spark: SparkSession, own: tuple) -> None:
-        """One snapshot of the versions kept, the new one among them; older versions and snapshots go."""
-        older = [tuple(r) for r in _registry(spark, self.root)]
-        mine = [r for r in older if r[1] == own[1]][: self.keep - 1]
-        # Another lineage keeps its newest version for as long as it may be the current one.
-        others = [r for r in older if r[1] != own[1] and r[1] == current_lineage(spark, self.root)][: self.keep]
-        kept = [own, *mine, *others]
-        snapshot = time.time_ns()
-        rows = spark.createDataFrame(kept, _REGISTRY).coalesce(1)
-        rows.write.parquet(f"{self.root}/published/snapshot={snapshot}")
-        for name in sorted(_snapshots(spark, self.root))[:-2]:
-            remove_folder(spark, f"{self.root}/published/snapshot={name}")
-        for row in older:
-            if row not in kept:
-                remove_folder(spark, totals_path(self.root, row[0]))
-                remove_folder(spark, features_path(self.root, row[0]))
-
     def _train(self, features: DataFrame, version: int) -> None:
         if self.retrain is None:
             return
@@ -217,8 +201,7 @@ class Refresh:
                 self.deploy(self.spark, self.root)
         except Exception as error:  # noqa: BLE001 - whatever it is, the features are published and the feed goes on
             text = f"{type(error).__name__}: {error}"[:2000]
-            row = self.spark.createDataFrame([(version, text)], _ERRORS).coalesce(1)
-            row.write.mode("append").parquet(f"{self.root}/retrain_errors")
+            _errors(self.spark, self.root).append({"version": version, "error": text}, _KEPT_ERRORS)
 
     def _retry_retrain(self) -> None:
         """Train the current version if its retrain failed or never began."""
@@ -251,39 +234,52 @@ def checkpoint_id(spark: SparkSession, path: str) -> str | None:
     return json.loads(row["value"])["id"] if row else None
 
 
-def _read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """A Parquet folder, or None before its first write."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def _lineages(spark: SparkSession, root: str) -> SnapshotLog:
+    return SnapshotLog(spark, f"{root}/lineages")
+
+
+def _last(rows: list[dict]) -> int:
+    return max((r["lineage"] for r in rows), default=0)
 
 
-def _snapshots(spark: SparkSession, root: str) -> list[int]:
-    """The registry snapshots that are there: two, and more only after a failure."""
-    found = _read_if_present(spark, f"{root}/published", T.StructType([*_REGISTRY.fields, T.StructField("snapshot", T.LongType())]))
-    return [r["snapshot"] for r in found.select("snapshot").distinct().collect()] if found is not None else []
+def _errors(spark: SparkSession, root: str) -> SnapshotLog:
+    return SnapshotLog(spark, f"{root}/retrain_errors")
 
 
-def _registry(spark: SparkSession, root: str) -> list:
-    """The versions kept, newest first."""
-    snapshots = _snapshots(spark, root)
-    if not snapshots:
-        return []
-    rows = spark.read.schema(_REGISTRY).parquet(f"{root}/published/snapshot={max(snapshots)}").collect()
+def published_rows(spark: SparkSession, root: str) -> list[dict]:
+    """The versions kept of every lineage, newest first."""
+    rows = SnapshotLog(spark, f"{root}/published").rows()
     return sorted(rows, key=lambda r: r["version"], reverse=True)
 
 
-def _lineage_rows(spark: SparkSession, root: str, lineage: int) -> list:
-    return [r for r in _registry(spark, root) if r["lineage"] == lineage]
+def publish(spark: SparkSession, root: str, own: dict, keep: int) -> list[dict]:
+    """Make a version known; of the versions that this pushes out the folders go, and their rows are returned."""
+    gone: list[dict] = []
+    current = current_lineage(spark, root)
+
+    def change(rows: list[dict]) -> list[dict]:
+        older = sorted(rows, key=lambda r: r["version"], reverse=True)
+        mine = [r for r in older if r["lineage"] == own["lineage"] and r["version"] != own["version"]][: keep - 1]
+        # Another lineage keeps its versions for as long as it may be the current one.
+        others = [r for r in older if r["lineage"] != own["lineage"] and r["lineage"] == current][:keep]
+        kept = [own, *mine, *others]
+        gone[:] = [r for r in older if r not in kept and r["version"] != own["version"]]
+        return kept
+
+    SnapshotLog(spark, f"{root}/published").commit(change)
+    for row in gone:
+        remove_folder(spark, totals_path(root, row["version"]))
+        remove_folder(spark, features_path(root, row["version"]))
+    return gone
+
+
+def _lineage_rows(spark: SparkSession, root: str, lineage: int) -> list[dict]:
+    return [r for r in published_rows(spark, root) if r["lineage"] == lineage]
 
 
 def current_lineage(spark: SparkSession, root: str) -> int:
     """The last lineage that is complete; the first one is lineage 0."""
-    found = _read_if_present(spark, f"{root}/lineages", _LINEAGES)
-    return (found.agg(F.max("lineage").alias("n")).first()["n"] or 0) if found is not None else 0
+    return _last([r for r in _lineages(spark, root).rows() if r["complete"]])
 
 
 def published_versions(spark: SparkSession, root: str) -> list[int]:
@@ -301,8 +297,8 @@ def current_features(spark: SparkSession, root: str) -> DataFrame:
 
 def retrain_errors(spark: SparkSession, root: str) -> DataFrame:
     """What went wrong in retrains: version and error."""
-    found = _read_if_present(spark, f"{root}/retrain_errors", _ERRORS)
-    return found if found is not None else spark.createDataFrame([], _ERRORS)
+    rows = _errors(spark, root).rows()
+    return spark.createDataFrame([(r["version"], r["error"]) for r in rows], _ERRORS)
 
 
 def retrain_with(

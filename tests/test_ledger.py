@@ -1,0 +1,193 @@
+"""Features that follow files which arrive, are replaced or go."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+from decimal import Decimal
+
+import pytest
+
+from spendcast.plans.features import feature_table
+from spendcast.plans.training import current_model, model_runs
+from spendcast.schemas import CAMPAIGN_SPEND, MONTHLY_REVENUE
+from spendcast.streaming import ledger as lg
+from spendcast.streaming import refresh as rf
+from tests.helpers import rows
+from tests.test_refresh import close, month_rows
+
+
+class Files:
+    """Landing folders whose files are written, replaced and removed one by one."""
+
+    def __init__(self, spark, root):
+        self.spark, self.root = spark, str(root)
+        for name in ("spend", "revenue"):
+            os.makedirs(f"{self.root}/{name}")
+
+    def put(self, kind, name, data):
+        schema = CAMPAIGN_SPEND if kind == "spend" else MONTHLY_REVENUE
+        parts = f"{self.root}/parts"
+        self.spark.createDataFrame(data, schema).coalesce(1).write.mode("overwrite").parquet(parts)
+        (part,) = [f for f in os.listdir(parts) if f.endswith(".parquet")]
+        os.replace(f"{parts}/{part}", f"{self.root}/{kind}/{name}.parquet")
+
+    def drop(self, kind, name):
+        os.remove(f"{self.root}/{kind}/{name}.parquet")
+
+    def read(self, kind):
+        return self.spark.read.schema(CAMPAIGN_SPEND if kind == "spend" else MONTHLY_REVENUE).parquet
+
+    def refresh(self, **more):
+        return lg.LedgerRefresh(
+            self.spark, f"{self.root}/spend", f"{self.root}/revenue", self.read("spend"), self.read("revenue"), f"{self.root}/out", **more
+        )
+
+    def current(self):
+        return rows(rf.current_features(self.spark, f"{self.root}/out"))
+
+    def rebuilt(self):
+        return rows(feature_table(self.read("spend")(f"{self.root}/spend"), self.read("revenue")(f"{self.root}/revenue")))
+
+    def totals(self):
+        out = f"{self.root}/out"
+        return self.spark.read.parquet(rf.totals_path(out, rf.published_versions(self.spark, out)[0]))
+
+
+@pytest.fixture
+def files(spark, tmp_path):
+    return Files(spark, tmp_path)
+
+
+def test_new_replaced_and_removed_files_count(spark, files):
+    for year in (2019, 2020, 2021):
+        costs, income = month_rows([year], seed=year)
+        files.put("spend", f"s{year}", costs)
+        files.put("revenue", f"r{year}", income)
+    assert files.refresh().run_once()
+    close(files.current(), files.rebuilt())
+    assert len(files.current()) == 36
+    assert not files.refresh().run_once()
+    assert len(rf.published_versions(spark, f"{files.root}/out")) == 1
+
+    costs, income = month_rows([2020], seed=99)
+    files.put("spend", "s2020", costs[:-2])  # corrected, and the last rows of a channel's month are gone
+    files.put("revenue", "r2020", [(y, m, None if m == 3 else r) for y, m, r in income])
+    assert files.refresh().run_once()
+    close(files.current(), files.rebuilt())
+    assert len(files.current()) == 34
+
+    files.drop("spend", "s2019")
+    files.put("revenue", "r2022", month_rows([2022], seed=5)[1])
+    assert files.refresh().run_once()
+    close(files.current(), files.rebuilt())
+    assert len(files.current()) == 22
+    files.drop("revenue", "r2021")
+    files.drop("spend", "s2020")
+    files.put("spend", "s2019", month_rows([2019], seed=2019)[0])
+    assert files.refresh().run_once()
+    close(files.current(), files.rebuilt())
+
+
+def test_months_that_share_files_and_missing_values(spark, files):
+    day = dt.date(2020, 1, 1)
+
+    def cost(channel, value, date=day):
+        return ("c", channel, date, Decimal(1), None if value is None else Decimal(value), Decimal(1))
+
+    four = [cost(c, n) for n, c in enumerate(("search_engine", "social_media", "video", "email"), 1)]
+    files.put("spend", "a", four)
+    files.put("spend", "b", [cost("video", 10), cost("email", None), cost("junk", 5), cost("video", 7, None)])
+    files.put("revenue", "r", [(2020, 1, 5.0), (None, 1, 1.0), (2020, None, None)])
+    files.refresh().run_once()
+    close(files.current(), files.rebuilt())
+    assert len(files.current()) == 1
+    files.put("spend", "a", [c for c in four if c[1] != "email"])  # what is left of e-mail is a null
+    files.refresh().run_once()
+    assert files.current() == files.rebuilt() == []
+    assert files.totals().filter("CHANNEL = 'email'").select("TOTAL_COST").collect() == [(None,)]
+    files.drop("spend", "b")
+    files.refresh().run_once()
+    assert files.totals().filter("CHANNEL = 'email'").isEmpty()
+    files.put("spend", "a", four)
+    files.refresh().run_once()
+    assert len(files.current()) == 1
+
+
+def test_only_changed_files_are_read(spark, files):
+    for year in range(2000, 2010):
+        files.put("spend", f"s{year}", month_rows([year], seed=year)[0])
+    files.put("revenue", "r", month_rows(range(2000, 2010))[1])
+    refresh = files.refresh()
+    refresh.run_once()
+    asked = []
+
+    def read(*paths):
+        asked.extend(paths)
+        return files.read("spend")(*paths)
+
+    refresh.read_spend = read
+    files.put("spend", "s2003", month_rows([2003], seed=77)[0])
+    refresh.run_once()
+    assert [p.rsplit("/", 1)[1] for p in asked] == ["s2003.parquet"]
+    close(files.current(), files.rebuilt())
+
+
+def test_a_run_that_fails_half_way_is_done_again(spark, files, monkeypatch):
+    files.put("spend", "s", month_rows([2019])[0])
+    files.put("revenue", "r", month_rows([2019])[1])
+    files.refresh().run_once()
+    files.put("spend", "s", month_rows([2019], seed=7)[0])
+    before = files.current()
+    with monkeypatch.context() as m:
+        m.setattr(lg, "publish", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            files.refresh().run_once()
+    assert files.current() == before
+    files.refresh().run_once()
+    close(files.current(), files.rebuilt())
+
+
+def test_the_ledger_stays_small(spark, files, monkeypatch):
+    monkeypatch.setattr(lg, "_KEPT_PARTS", 3)
+    files.put("revenue", "r", month_rows([2019])[1])
+    for n in range(9):
+        files.put("spend", f"s{n % 4}", month_rows([2019], seed=n)[0])
+        files.refresh(keep=2).run_once()
+        assert len(os.listdir(f"{files.root}/out/ledger")) <= 2 * (3 + 2)  # with checksums of folders
+        assert len([d for d in os.listdir(f"{files.root}/out/totals") if d.startswith("version=")]) <= 2
+    close(files.current(), files.rebuilt())
+
+
+def test_retrain_follows_and_other_roots_are_refused(spark, files):
+    costs, income = month_rows(range(2012, 2020))
+    files.put("spend", "s", costs)
+    files.put("revenue", "r", income)
+    files.refresh(retrain=rf.retrain_with(folds=5)).run_once()
+    out = f"{files.root}/out"
+    assert [r["model_saved"] for r in model_runs(spark, out).collect()] == [True]
+    assert current_model(spark, out).features
+    two = {"video": "VIDEO", "email": "EMAIL"}
+    with pytest.raises(rf.RefreshMismatch, match="channels"):
+        files.refresh(channels=two).run_once()
+    stream = rf.Refresh(spark, files.spark.readStream.schema(CAMPAIGN_SPEND).parquet(f"{files.root}/spend"), files.spark.readStream.schema(MONTHLY_REVENUE).parquet(f"{files.root}/revenue"), f"{files.root}/other")
+    stream.run_once()
+    refresh = files.refresh()
+    refresh.root = f"{files.root}/other"
+    with pytest.raises(rf.RefreshMismatch, match="stream"):
+        refresh.run_once()
+
+
+def test_empty_folders_and_ticks(spark, files):
+    refresh = files.refresh()
+    assert refresh.run_once()
+    assert files.current() == []
+    files.put("spend", "s", month_rows([2019])[0])
+    files.put("revenue", "r", month_rows([2019])[1])
+    query = refresh.start("1 second")
+    for _ in range(60):
+        if len(files.current()) == 12:
+            break
+        query.awaitTermination(0.5)
+    refresh.suspend()
+    close(files.current(), files.rebuilt())

@@ -307,6 +307,21 @@ def test_rebuild_counts_corrected_rows(spark, landing):
     close(rows(landing.current()), rows(landing.rebuilt()))
 
 
+@pytest.mark.parametrize("files", [True, False])
+def test_rebuild_of_empty_sources_is_an_empty_table(spark, landing, tmp_path, files):
+    for name, schema in (("spend", CAMPAIGN_SPEND), ("revenue", MONTHLY_REVENUE)):
+        if files:
+            spark.createDataFrame([], schema).write.parquet(f"{landing.root}/{name}")
+        else:
+            (tmp_path / name).mkdir()
+    landing.refresh().rebuild()
+    assert landing.current().count() == 0
+    assert landing.current().columns == landing.rebuilt().columns
+    landing.drop(*month_rows([2019]))
+    landing.refresh().run_once()
+    close(rows(landing.current()), rows(landing.rebuilt()))
+
+
 def test_registry_and_versions_stay_small(spark, landing, tmp_path):
     refresh = rf.Refresh(spark, None, None, f"{landing.root}/out", keep=3)
     out = f"{landing.root}/out"
@@ -315,10 +330,10 @@ def test_registry_and_versions_stay_small(spark, landing, tmp_path):
         new = spark.createDataFrame([(2000 + batch, 1, "video", Decimal(1), None)], "YEAR int, MONTH int, CHANNEL string, TOTAL_COST decimal(38,0), REVENUE double")
         refresh._batch(new.coalesce(1), batch)
         if batch >= 5:
-            files = [f for part in ("published", "totals", "features") for f in (tmp_path / "out" / part).rglob("*.parquet")]
-            counts.append(len(list((tmp_path / "out" / "published").rglob("*.parquet"))))
-            assert len({f.parent for f in files}) <= 2 + 2 * 3
-    assert set(counts) == {2}
+            files = [f for part in ("totals", "features") for f in (tmp_path / "out" / part).rglob("*.parquet")]
+            counts.append(len(list((tmp_path / "out" / "published").glob("*.json"))))
+            assert len({f.parent for f in files}) <= 2 * 3
+    assert set(counts) == {3}
     assert rf.published_versions(spark, out) == [49, 48, 47]
     assert spark.read.parquet(rf.totals_path(out, 49)).count() == 50
 
