@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendcast.llm.common import stored, whole_text
+from spendcast.llm.common import shuffle_partitions, stored, whole_text
 
 RANGE_BITS = 14  # numbers of one range: what a task holds at once
 _SPACE = "[\\x20\\x09-\\x0D]+"
@@ -115,7 +115,9 @@ def set_sizes(postings: DataFrame, filters: int, subsets: int = 0) -> DataFrame:
         ]
         return pa.table([*columns, *(pa.array(sizes, pa.int64()) for sizes in found)], ["part", "filter", "before", *names])
 
-    sizes = postings.groupBy("part", "range").applyInArrow(work, schema)
+    # Lists are small for the work they take, so their tasks go by the session's count and not by size.
+    dealt = postings.repartition(shuffle_partitions(postings.sparkSession), "part", "range")
+    sizes = dealt.groupBy("part", "range").applyInArrow(work, schema)
     return sizes.groupBy("part", "filter", "before").agg(*(F.sum(n).alias(n) for n in names))
 
 
