@@ -99,9 +99,10 @@ def row_features(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def net_price_features(spark: SparkSession, folder: str) -> DataFrame:
+def net_price_features(spark: SparkSession, folder: str, *more: str) -> DataFrame:
     """lineitem rows whose net price is nearly a polynomial of degree 2 of price, discount, tax and quantity."""
     return table(spark, folder, "lineitem").select(
+        *more,
         "l_orderkey",
         "l_linenumber",
         F.col("l_extendedprice").alias("SEARCH_ENGINE"),

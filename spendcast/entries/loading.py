@@ -23,10 +23,11 @@ from spendcast.entries.common import (
     table,
 )
 from spendcast.entries.training import report_sql, residual_steps, split_sql
+from spendcast.functions.live import LiveScorer
 from spendcast.jobs import call
 from spendcast.operators.reshape import recode
 from spendcast.plans.features import spend_per_month_wide
-from spendcast.plans.training import model_runs
+from spendcast.plans.training import model_runs, train_revenue_model
 from spendcast.schemas import CHANNEL_COLUMNS, FEATURES, MONTH_KEYS, TRAIN_REPORT
 from spendcast.sources.landing import bulk_load, load_new_files, load_table_once, narrow_counts, read_csv, stream_csv
 from spendcast.sources.tables import append_by_name, bounded_pandas, create_or_replace_table, insert_rows, overwrite_table
@@ -44,6 +45,7 @@ _SPEND = T.StructType(
 _SPEND_DDL = "DATE DATE, CHANNEL VARCHAR(60), TOTAL_COST DECIMAL(18,2)"
 # Rows dated before this day arrive first, the others later.
 _SECOND_DROP = "1998-07-01"
+_DEPLOYED_KEYS = ("l_orderkey", "l_linenumber")
 
 
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -303,6 +305,25 @@ def deployed_model_predictions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def live_scores_after_retrain(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line scored by one stream in two drops; between them a model of three times the price becomes current."""
+    root = new_folder(spark, "live")
+    rows = net_price_features(spark, folder, "l_shipdate")
+    early = F.col("l_shipdate") < _SECOND_DROP
+    scorer = LiveScorer(spark, f"{root}/models")
+    for drop, factor in ((early, 1), (~early, 3)):
+        train_revenue_model(
+            rows.drop("l_shipdate").withColumn("REVENUE", F.col("REVENUE") * factor), save_root=f"{root}/models", keys=list(_DEPLOYED_KEYS)
+        )
+        rows.filter(drop).write.mode("append").parquet(f"{root}/landing")
+        arrived = spark.readStream.schema(rows.schema).parquet(f"{root}/landing")
+        scorer.score_stream(
+            arrived, lambda scored, number: scored.write.mode("overwrite").parquet(f"{root}/scored/batch-{number}"), f"{root}/checkpoint", None
+        ).awaitTermination()
+    scored = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("PREDICTED_ROI", T.DoubleType())]))
+    return scored.parquet(f"{root}/scored/*").select("l_orderkey", "l_linenumber", F.round("PREDICTED_ROI", 1).alias("PREDICTED_ROI"))
+
+
 def job_feature_table(spark: SparkSession, folder: str) -> DataFrame:
     """Spend with channel codes and revenue as tables, then the feature job by name."""
     codes = dict(zip(ORDER_CHANNELS, CHANNEL_COLUMNS))
@@ -334,8 +355,8 @@ _INSERTED_SQL = (
     f"{SPEND_SQL} UNION ALL SELECT * FROM (VALUES (DATE '2020-01-01', 'email', CAST(NULL AS DECIMAL(18,2))), "
     "(CAST(NULL AS DATE), 'video', NULL), (NULL, NULL, NULL))"
 )
+_DATED_SQL = NET_PRICE_SQL.replace("SELECT ", "SELECT l_shipdate, ", 1)
 # The job splits by every column, as the table has no month.
-_DEPLOYED_KEYS = ("l_orderkey", "l_linenumber")
 _ALL_COLUMNS = (*_DEPLOYED_KEYS, *FEATURES, "REVENUE")
 
 ENTRIES = {
@@ -363,5 +384,10 @@ ENTRIES = {
         f"WITH {residual_steps(split_sql(NET_PRICE_SQL, _ALL_COLUMNS), _DEPLOYED_KEYS, 2)} SELECT l_orderkey, "
         "l_linenumber, round(abs(y - r), 1) AS BY_ARRAY, round(abs(y - r), 1) AS BY_BATCH FROM final",
     ),
+    "live_scores_after_retrain": Entry(
+        live_scores_after_retrain,
+        f"WITH {residual_steps(split_sql(_DATED_SQL, _DEPLOYED_KEYS), (*_DEPLOYED_KEYS, 'l_shipdate'), 2)} SELECT l_orderkey, "
+        f"l_linenumber, round(abs(y - r) * CASE WHEN l_shipdate < '{_SECOND_DROP}' THEN 1 ELSE 3 END, 1) AS PREDICTED_ROI FROM final",
+    ),
     "job_feature_table": Entry(job_feature_table, FEATURES_SQL),
 }

@@ -101,36 +101,42 @@ def register_array_function(spark: SparkSession, model: Polynomial, name: str =
     )
 
 
-def batch_function(model: Polynomial):
-    """A vectorised function over one column per feature.
+def evaluator(model: Polynomial):
+    """A function from one Arrow column per feature to the absolute predictions.
 
-    The closure holds plain arrays and is set up once per task, before the first batch.
+    It holds plain numbers only, so it travels to workers that lack this package.
     """
-    exponents = np.array(model.exponents)
-    weights = np.array(model.weights)
-    centers = np.array(model.centers)
-    scales = np.array(model.scales)
-    intercept = model.intercept
+    terms = [(w, [(i, int(e)) for i, e in enumerate(row) if e]) for w, row in zip(model.weights, model.exponents)]
+    centers, scales, intercept = model.centers, model.scales, model.intercept
+
+    def predictions(columns: Sequence[pa.Array]) -> pa.Array:
+        missing = np.zeros(len(columns[0]), bool)
+        scaled = []
+        for column, center, scale in zip(columns, centers, scales):
+            missing |= column.is_null().to_numpy(zero_copy_only=False)
+            values = column.cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False)
+            scaled.append((values - center) / scale)
+        total = np.full(len(missing), intercept)
+        for weight, factors in terms:
+            term = weight
+            for i, power in factors:
+                for _ in range(power):
+                    term = term * scaled[i]
+            total = total + term
+        # NULL and NaN stay apart, as in the native expression.
+        return pa.array(np.abs(total), pa.float64(), mask=missing)
+
+    return predictions
+
+
+def batch_function(model: Polynomial):
+    """A vectorised function over one column per feature."""
+    predictions = evaluator(model)
 
     @F.arrow_udf("double")
     def batch_predict(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        used = [[(i, int(e)) for i, e in enumerate(row) if e] for row in exponents]
         for columns in batches:
-            missing = np.zeros(len(columns[0]), bool)
-            scaled = []
-            for column, center, scale in zip(columns, centers, scales):
-                missing |= column.is_null().to_numpy(zero_copy_only=False)
-                values = column.cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False)
-                scaled.append((values - center) / scale)
-            total = np.full(len(missing), intercept)
-            for weight, factors in zip(weights, used):
-                term = weight
-                for i, power in factors:
-                    for _ in range(power):
-                        term = term * scaled[i]
-                total = total + term
-            # NULL and NaN stay apart, as in the native expression.
-            yield pa.array(np.abs(total), pa.float64(), mask=missing)
+            yield predictions(columns)
 
     return batch_predict
 

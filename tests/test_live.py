@@ -1,0 +1,92 @@
+"""A started stream follows the registry."""
+
+from __future__ import annotations
+
+import math
+
+import pytest
+
+from spendcast.functions.live import LiveScorer
+from spendcast.functions.scoring import Polynomial, score
+from spendcast.plans import training as tr
+from spendcast.schemas import FEATURES
+from tests.helpers import rows
+
+REPORT = {"train_r2": 0.9, "train_threshold": 0.85, "test_r2": 0.9, "test_threshold": 0.85, "model_saved": True}
+SCHEMA = ", ".join(f"{f} double" for f in FEATURES)
+
+
+def model(factor):
+    return Polynomial.plain(FEATURES, 1, [factor, 2.0 * factor, 3.0, -4.0], 0.5)
+
+
+def save(spark, root, factor, version, passed=True):
+    tr.save_model(spark, root, model(factor) if passed else None, REPORT | {"model_saved": passed}, version)
+
+
+def test_a_started_stream_scores_with_the_renewed_model(spark, tmp_path):
+    root, landing, out = (str(tmp_path / n) for n in ("root", "in", "out"))
+    data = [(float(i), 1.0, 2.0, 3.0) for i in range(200)]
+
+    def arrive():
+        spark.createDataFrame(data, SCHEMA).repartition(8).write.mode("append").parquet(landing)
+
+    save(spark, root, 1.0, 1)
+    arrive()
+    scorer = LiveScorer(spark, root)
+    query = scorer.score_stream(
+        spark.readStream.schema(SCHEMA).parquet(landing),
+        lambda scored, number: scored.write.mode("overwrite").parquet(f"{out}/batch-{number}"),
+        str(tmp_path / "c"),
+        "1 second",
+    )
+    try:
+        query.processAllAvailable()
+        loads = scorer.loads.value
+        arrive()
+        query.processAllAvailable()
+        # Workers that served the first batch have its model still; others may have started.
+        workers = scorer.loads.value
+        assert 1 <= loads <= workers <= 16
+        save(spark, root, 7.0, 2)
+        save(spark, root, 0.0, 3, passed=False)  # a failed gate changes nothing
+        arrive()
+        query.processAllAvailable()
+        arrive()
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    frame = spark.createDataFrame(data, SCHEMA)
+    for number, factor in enumerate((1.0, 1.0, 7.0, 7.0)):
+        found = rows(spark.read.parquet(f"{out}/batch-{number}"))
+        assert found == rows(score(frame, model(factor)))
+    assert scorer.version == 2
+    assert scorer.loads.value <= 2 * 16  # once for each worker and version, and not for each of 32 tasks or more
+
+
+def test_a_worker_prepares_a_version_once(spark, tmp_path):
+    root = str(tmp_path)
+    save(spark, root, 1.0, 1)
+    scorer = LiveScorer(spark, root)
+    frame = spark.range(4000).repartition(64).selectExpr(*[f"cast(id + {i} as double) as {f}" for i, f in enumerate(FEATURES)])
+    for _ in range(3):
+        assert scorer.score(frame).filter("PREDICTED_ROI is null").count() == 0
+    assert 1 <= scorer.loads.value <= 16  # 192 tasks in at most as many processes as tasks run at once, twice
+    assert scorer.renew() is False
+
+
+def test_null_nan_and_no_model(spark, tmp_path):
+    with pytest.raises(LookupError):
+        LiveScorer(spark, str(tmp_path / "none")).renew()
+    save(spark, str(tmp_path), 1.0, 1)
+    frame = spark.createDataFrame([(1.0, 2.0, 3.0, None), (math.nan, 1.0, 1.0, 1.0)], SCHEMA)
+    found = [r["PREDICTED_ROI"] for r in LiveScorer(spark, str(tmp_path)).score(frame).collect()]
+    assert found[0] is None and math.isnan(found[1])
+
+
+def test_columns_of_other_names(spark, tmp_path):
+    save(spark, str(tmp_path), 1.0, 1)
+    frame = spark.createDataFrame([(1, 1, 1, 1)], "a int, b int, c int, d int")
+    scorer = LiveScorer(spark, str(tmp_path))
+    (row,) = scorer.score(frame, dict(zip(FEATURES, "abcd")), "y").collect()
+    assert row["y"] == 2.5

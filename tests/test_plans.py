@@ -18,7 +18,7 @@ LAZY = [
     if n.split("_")[0]
     not in {
         "csv", "bulk", "replace", "load", "insert", "bounded", "overwrite", "append", "incremental", "refresh", "job",
-        "save", "saved", "train", "deployed",
+        "save", "saved", "train", "deployed", "live", "exact", "grid",
     }
     and n not in {"cv_scores", "cv_scores_rows", "ols_degree1", "ols_quadratic"}
 ]
