@@ -34,6 +34,7 @@ from spendcast.plans.training import (
     to_polynomial,
     train_revenue_model,
 )
+from spendcast.plans.search import candidate_frame, chosen_frame, search_model
 from spendcast.schemas import FEATURES, MONTH_KEYS
 from spendcast.workspace import new_folder
 
@@ -130,6 +131,25 @@ def saved_model_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(*_LINE_KEYS, "IS_TEST", F.round("PREDICTED_ROI", 1).alias("PREDICTED_ROI"))
 
 
+_GRID = {"degrees": (1, 2), "penalties": (0.0, 50.0, 5000.0), "folds": 10}
+
+
+def _search(spark: SparkSession, folder: str):
+    rows = table(spark, folder, "lineitem").select(*_LINE_KEYS, "l_quantity", "l_extendedprice")
+    return search_model(rows, keys=list(_LINE_KEYS), features=["l_quantity"], label="l_extendedprice", **_GRID)
+
+
+def grid_search_folds(spark: SparkSession, folder: str) -> DataFrame:
+    """Price on quantity over every line: each degree and penalty on each of ten folds."""
+    return candidate_frame(spark, _search(spark, folder)).withColumn("R2", F.round("R2", 6))
+
+
+def grid_search_chosen(spark: SparkSession, folder: str) -> DataFrame:
+    """The best of them, fitted to all training lines."""
+    chosen = chosen_frame(spark, _search(spark, folder))
+    return chosen.withColumns({c: F.round(c, 6) for c in ("MEAN_R2", "TRAIN_R2", "TEST_R2")})
+
+
 def _digest(keys: tuple[str, ...]) -> str:
     parts = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
     return f"md5(concat_ws(':', {parts}, '42'))"
@@ -222,6 +242,34 @@ def folds_sql(source: str, keys: tuple[str, ...], degree: int = 2) -> str:
     )
 
 
+def grid_sql() -> str:
+    """CTEs ending in ``scored``: DEGREE, PENALTY, FOLD (null: fitted to all training rows), R2, TRAIN_R2 and TEST_R2.
+
+    With one input the weights of degree 1 and 2 are a quotient and Cramer's rule.
+    """
+    source = "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem"
+    grid = ", ".join(f"({d}, CAST({p} AS DOUBLE))" for d in _GRID["degrees"] for p in _GRID["penalties"])
+    fit, own = "FILTER (NOT IS_TEST AND FOLD IS DISTINCT FROM HELD)", "FILTER (NOT IS_TEST AND FOLD = HELD)"
+    # Centered sums over the rows of a fit; a is the term, b its square, y the label.
+    cov = ", ".join(f"covar_pop({x}, {y}) {fit} * count(*) {fit} AS s{x}{y}" for x, y in (("a", "a"), ("a", "b"), ("b", "b"), ("a", "y"), ("b", "y")))
+    means = ", ".join(f"avg({x}) {fit} AS m{x}" for x in "aby")
+    w1 = "CASE DEGREE WHEN 1 THEN say / (saa + PENALTY) ELSE (say * (sbb + PENALTY) - sby * sab) / ((saa + PENALTY) * (sbb + PENALTY) - sab * sab) END"
+    w2 = "CASE DEGREE WHEN 1 THEN 0 ELSE (sby * (saa + PENALTY) - say * sab) / ((saa + PENALTY) * (sbb + PENALTY) - sab * sab) END"
+    r2 = "1 - sum(e * e) {f} / nullif(var_pop(y) {f} * count(*) {f}, 0)"
+    return (
+        f"WITH parts AS ({split_sql(source, _LINE_KEYS)}), "
+        "z AS (SELECT IS_TEST, FOLD, (l_quantity - avg(l_quantity) FILTER (NOT IS_TEST) OVER ()) / stddev_samp(l_quantity) FILTER (NOT IS_TEST) OVER () AS a, "
+        "(l_extendedprice - avg(l_extendedprice) FILTER (NOT IS_TEST) OVER ()) / stddev_samp(l_extendedprice) FILTER (NOT IS_TEST) OVER () AS y FROM parts), "
+        "rows_ AS (SELECT *, a * a AS b FROM z, (SELECT unnest([NULL, 0, 1, 2, 3, 4, 5, 6, 7, 8, 9]) AS HELD)), "
+        f"sums AS (SELECT HELD, {cov}, {means} FROM rows_ GROUP BY HELD), "
+        f"fitted AS (SELECT *, {w1} AS w1, {w2} AS w2 FROM sums, (VALUES {grid}) g(DEGREE, PENALTY)), "
+        "errors AS (SELECT r.IS_TEST, r.FOLD, f.HELD, DEGREE, PENALTY, r.y, r.y - my - w1 * (a - ma) - w2 * (b - mb) AS e "
+        "FROM rows_ r JOIN fitted f ON r.HELD IS NOT DISTINCT FROM f.HELD), "
+        f"scored AS (SELECT DEGREE, PENALTY, HELD AS FOLD, {r2.format(f=own)} AS R2, "
+        f"{r2.format(f='FILTER (NOT IS_TEST)')} AS TRAIN_R2, {r2.format(f='FILTER (IS_TEST)')} AS TEST_R2 FROM errors GROUP BY 1, 2, 3)"
+    )
+
+
 _SPLIT_ORDERS_SQL = hashed_sql("SELECT o_orderkey, o_custkey FROM orders", ("o_orderkey",))
 _LINES_SQL = "SELECT *, false AS IS_TEST, 0 AS FOLD FROM lineitem"
 _QUADRATIC_STEPS = residual_steps(_LINES_SQL, _LINE_KEYS, 2, label="l_extendedprice", features=("l_quantity",))
@@ -247,6 +295,15 @@ ENTRIES = {
         ols_quadratic,
         f"WITH {_QUADRATIC_STEPS} SELECT l_orderkey, l_linenumber, round(abs(y - r), 4) AS PREDICTED FROM final",
     ),
+    "grid_search_folds": Entry(
+        grid_search_folds, f"{grid_sql()} SELECT DEGREE, PENALTY, FOLD, round(R2, 6) AS R2 FROM scored WHERE FOLD IS NOT NULL"
+    ),
+    "grid_search_chosen": Entry(
+        grid_search_chosen,
+        f"{grid_sql()} SELECT DEGREE, PENALTY, round(m, 6) AS MEAN_R2, round(TRAIN_R2, 6) AS TRAIN_R2, round(TEST_R2, 6) AS TEST_R2 "
+        "FROM (SELECT DEGREE, PENALTY, avg(R2) AS m FROM scored WHERE FOLD IS NOT NULL GROUP BY 1, 2) JOIN "
+        "(SELECT * EXCLUDE (FOLD, R2) FROM scored WHERE FOLD IS NULL) USING (DEGREE, PENALTY) ORDER BY m DESC, DEGREE, PENALTY DESC LIMIT 1",
+    ),
     "train_report": Entry(train_report, report_sql(FEATURES_SQL, MONTH_KEYS)),
     "train_report_without_folds": Entry(train_report_without_folds, report_sql(FEATURES_SQL, MONTH_KEYS)),
     "train_report_rows": Entry(train_report_rows, report_sql(ROW_FEATURES_SQL, _LINE_KEYS)),

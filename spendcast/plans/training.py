@@ -138,7 +138,7 @@ def _term(inputs: Sequence[Column], exponents: Sequence[int]) -> Column:
 
 
 @dataclass(frozen=True)
-class _Equations:
+class NormalEquations:
     """Normal equations of some rows: sums of products of terms, with the label, and of the squared label."""
 
     gram: np.ndarray
@@ -149,11 +149,18 @@ class _Equations:
     def count(self) -> int:
         return int(round(self.gram[0, 0]))
 
-    def __add__(self, other: _Equations) -> _Equations:
-        return _Equations(self.gram + other.gram, self.moment + other.moment, self.squares + other.squares)
+    def __add__(self, other: NormalEquations) -> NormalEquations:
+        return NormalEquations(self.gram + other.gram, self.moment + other.moment, self.squares + other.squares)
 
-    def solve(self) -> np.ndarray:
-        return np.linalg.lstsq(self.gram, self.moment, rcond=None)[0]
+    def part(self, terms: Sequence[int]) -> NormalEquations:
+        """The equations of some of the terms."""
+        return NormalEquations(self.gram[np.ix_(terms, terms)], self.moment[list(terms)], self.squares)
+
+    def solve(self, penalty: float = 0.0) -> np.ndarray:
+        """The weights with the least squared error, plus ``penalty`` times the squared weights without the constant."""
+        added = np.full(len(self.moment), penalty)
+        added[0] = 0.0
+        return np.linalg.lstsq(self.gram + np.diag(added), self.moment, rcond=None)[0]
 
     def r2(self, weights: np.ndarray) -> float | None:
         error = float(self.squares - 2 * weights @ self.moment + weights @ self.gram @ weights)
@@ -173,13 +180,13 @@ def fit_rows(rows: DataFrame, features: Sequence[str], label: str, degree: int)
     """Fit on every row of a frame, without a split; two passes."""
     all_rows = prepared_rows(rows, [label], features=features, label=label)
     all_rows = all_rows.withColumns({"IS_TEST": F.lit(False), "FOLD": F.lit(0)})
-    base, mean, spread = _scaled(all_rows, features, label, degree)
-    (found,) = _equations(all_rows, base, mean, spread, label).values()
+    base, mean, spread = scaled_base(all_rows, features, label, degree)
+    (found,) = normal_equations(all_rows, base, mean, spread, label).values()
     weights = found.solve()
-    return FittedRows(_weighted(base, weights, mean, spread), found.r2(weights))
+    return FittedRows(weighted(base, weights, mean, spread), found.r2(weights))
 
 
-def _scaled(rows: DataFrame, features: Sequence[str], label: str, degree: int) -> tuple[Polynomial, float, float]:
+def scaled_base(rows: DataFrame, features: Sequence[str], label: str, degree: int) -> tuple[Polynomial, float, float]:
     """A polynomial that knows its centers and scales but no weights, with mean and deviation of the label."""
     n = len(features)
     found = _sides(features, label, rows)
@@ -194,7 +201,7 @@ def _scaled(rows: DataFrame, features: Sequence[str], label: str, degree: int) -
     return base, float(found[f"m{n}"]), float(found[f"s{n}"] or 1.0)
 
 
-def _weighted(base: Polynomial, weights: np.ndarray, mean: float, spread: float) -> Polynomial:
+def weighted(base: Polynomial, weights: np.ndarray, mean: float, spread: float) -> Polynomial:
     scaled = tuple(float(w * spread) for w in weights[1:])
     return replace(base, weights=scaled, intercept=float(weights[0] * spread + mean))
 
@@ -246,7 +253,7 @@ def _products(polynomial: Polynomial) -> tuple[tuple, list, dict]:
     return terms, products, {exponents: k for k, exponents in enumerate(products)}
 
 
-def _equations(rows: DataFrame, polynomial: Polynomial, mean: float, spread: float, label: str) -> dict:
+def normal_equations(rows: DataFrame, polynomial: Polynomial, mean: float, spread: float, label: str) -> dict:
     """Normal equations by (IS_TEST, FOLD)."""
     terms, _, place = _products(polynomial)
     merged: dict[tuple, dict] = {}
@@ -254,14 +261,14 @@ def _equations(rows: DataFrame, polynomial: Polynomial, mean: float, spread: flo
         for row in frame.collect():  # at most two rows per fold
             merged.setdefault((row["IS_TEST"], row["FOLD"]), {}).update(row.asDict())
 
-    def equations(row: dict) -> _Equations:
+    def equations(row: dict) -> NormalEquations:
         gram = [[row[f"p{place[tuple(a + b for a, b in zip(s, t))]}"] for t in terms] for s in terms]
-        return _Equations(np.array(gram), np.array([row[f"q{i}"] for i in range(len(terms))]), row["yy"])
+        return NormalEquations(np.array(gram), np.array([row[f"q{i}"] for i in range(len(terms))]), row["yy"])
 
     return {key: equations(row) for key, row in merged.items()}
 
 
-def fold_scores(parts: dict[int, _Equations], folds: int) -> list[dict]:
+def fold_scores(parts: dict[int, NormalEquations], folds: int) -> list[dict]:
     """R2 on every fold of a model fitted to the other folds; every fold has to have rows.
 
     Least squares needs only sums of products of terms, and those of the other folds
@@ -283,7 +290,7 @@ def cross_validate(
 ) -> list[dict]:
     """The fold scores of prepared rows, from one grouped aggregation."""
     training = rows.filter(~F.col("IS_TEST"))
-    parts = _equations(training, polynomial, mean, variance**0.5 or 1.0, label)
+    parts = normal_equations(training, polynomial, mean, variance**0.5 or 1.0, label)
     return fold_scores({fold: own for (_, fold), own in parts.items()}, folds)
 
 
@@ -310,8 +317,8 @@ def train_revenue_model(
     rows = prepared_rows(features, keys, seed, folds)
     if not folds:
         rows = rows.withColumn("FOLD", F.lit(0))
-    base, mean, spread = _scaled(rows, FEATURES, LABEL, degree)
-    parts = _equations(rows, base, mean, spread, LABEL)
+    base, mean, spread = scaled_base(rows, FEATURES, LABEL, degree)
+    parts = normal_equations(rows, base, mean, spread, LABEL)
     train = [p for (is_test, _), p in parts.items() if not is_test]
     test = [p for (is_test, _), p in parts.items() if is_test]
     scores = fold_scores({fold: p for (is_test, fold), p in parts.items() if not is_test}, folds) if folds else []
@@ -319,7 +326,7 @@ def train_revenue_model(
     weights = train.solve()
     train_r2 = train.r2(weights)
     test_r2 = sum(test[1:], test[0]).r2(weights) if test else None
-    polynomial = _weighted(base, weights, mean, spread)
+    polynomial = weighted(base, weights, mean, spread)
 
     passed = passes_gate(train_r2, train_threshold) and passes_gate(test_r2, test_threshold)
     report = _report(train_r2, train_threshold, test_r2, test_threshold, bool(save_root) and passed)
