@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from spendcast.functions.scoring import Polynomial, polynomial_exponents
-from spendcast.plans.training import NormalEquations, TooFewRows, normal_equations, prepared_rows, scaled_base, weighted
+from spendcast.plans.factors import Factor
+from spendcast.plans.training import SOLVERS, NormalEquations, TooFewRows, prepared_rows, scaled_base, weighted
 from spendcast.schemas import FEATURES, LABEL
 
 CANDIDATES = T.StructType(
@@ -64,6 +65,7 @@ def search_model(
     seed: int = 42,
     features: Sequence[str] = FEATURES,
     label: str = LABEL,
+    solver: str = "sums",
 ) -> SearchResult:
     """Choose degree and penalty by the mean fold score; of equal ones the lower degree, then the larger penalty.
 
@@ -74,7 +76,7 @@ def search_model(
         raise ValueError("a search takes two folds or more, a degree, and penalties of zero or more")
     prepared = prepared_rows(rows, keys, seed, folds, features, label)
     base, mean, spread = scaled_base(prepared, features, label, max(degrees))
-    parts = normal_equations(prepared, base, mean, spread, label)
+    parts = SOLVERS[solver](prepared, base, mean, spread, label)
     training = {fold: own for (is_test, fold), own in parts.items() if not is_test}
     empty = [f for f in range(folds) if f not in training]
     if empty:
@@ -110,7 +112,7 @@ def search_model(
     )
 
 
-def _total(parts: list[NormalEquations]) -> NormalEquations | None:
+def _total(parts: list[NormalEquations] | list[Factor]) -> NormalEquations | Factor | None:
     return sum(parts[1:], parts[0]) if parts else None
 
 

@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from spendcast.functions.scoring import Polynomial, polynomial_exponents
 from spendcast.operators.split import exact_split
+from spendcast.plans.factors import factors
 from spendcast.registry import SnapshotLog, read_text, write_text
 from spendcast.schemas import FEATURES, LABEL, MONTH_KEYS, TRAIN_REPORT
 from spendcast.workspace import remove_folder
@@ -268,6 +269,10 @@ def normal_equations(rows: DataFrame, polynomial: Polynomial, mean: float, sprea
     return {key: equations(row) for key, row in merged.items()}
 
 
+# How the parts of a fit are made: by (IS_TEST, FOLD), to be added up, solved and scored.
+SOLVERS = {"sums": normal_equations, "qr": factors}
+
+
 def fold_scores(parts: dict[int, NormalEquations], folds: int) -> list[dict]:
     """R2 on every fold of a model fitted to the other folds; every fold has to have rows.
 
@@ -305,11 +310,13 @@ def train_revenue_model(
     seed: int = 42,
     version: int | None = None,
     pipeline: bool = False,
+    solver: str = "sums",
 ) -> TrainResult:
     """Fit on the training side, score both sides, save if both scores reach their threshold.
 
     Without ``save_root`` nothing is saved. ``folds`` below 2 skips cross validation.
-    ``pipeline`` also fits the Spark ML pipeline on the training side, which reads the
+    ``solver`` is "sums" (of products, inside generated code) or "qr" (triangular factors,
+    for many terms or nearly collinear channels). ``pipeline`` also fits the Spark ML pipeline on the training side, which reads the
     rows again. Raises TooFewRows where a fit, a test score or a fold score has no rows
     to go by.
     """
@@ -318,7 +325,7 @@ def train_revenue_model(
     if not folds:
         rows = rows.withColumn("FOLD", F.lit(0))
     base, mean, spread = scaled_base(rows, FEATURES, LABEL, degree)
-    parts = normal_equations(rows, base, mean, spread, LABEL)
+    parts = SOLVERS[solver](rows, base, mean, spread, LABEL)
     train = [p for (is_test, _), p in parts.items() if not is_test]
     test = [p for (is_test, _), p in parts.items() if is_test]
     scores = fold_scores({fold: p for (is_test, fold), p in parts.items() if not is_test}, folds) if folds else []
