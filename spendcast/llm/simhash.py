@@ -23,6 +23,11 @@ they are, whatever their names, where documents are dropped.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+from itertools import combinations
+from operator import or_
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -35,6 +40,9 @@ from spendcast.llm.graph import components
 SEGMENTS = 32
 LOW_BITS = 0x5555555555555555
 _BLOCK = 1 << 15
+# Entropy of the bit count of two random bits, and how many tests of pairs a row in one more grid is worth.
+_SEGMENT_BITS = 1.5
+_ROW_COST = 10
 
 
 def fingerprint_of(text: str | None, shingle: int = 4) -> int:
@@ -82,10 +90,21 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def links(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
+def untouched_bands(count: int, max_bits: int) -> int:
+    """r: how many bands a cell is keyed by, with the least work for so many fingerprints."""
+
+    def work(r: int) -> float:
+        bands = max_bits + r
+        return math.comb(bands, r) * (_ROW_COST + count / 2 ** (_SEGMENT_BITS * SEGMENTS * r / bands))
+
+    return min(range(2, SEGMENTS - max_bits + 1), key=work, default=1)
+
+
+def links(nodes: DataFrame, max_bits: int = 4, bands: int | None = None) -> DataFrame:
     """(a, b) fingerprints that connect all groups: every pair within ``max_bits`` bits is joined by a path of links.
 
-    ``nodes`` has the long column fp, each value once.
+    ``nodes`` has the long column fp, each value once. ``bands`` is the number of
+    bands of a cell, by default what suits the number of nodes; it changes no group.
     """
     windows = [((1 << max_bits) - 1) << start for start in range(0, 64, max_bits)] if max_bits else []
     masks = ", ".join(f"{_signed(~w & (1 << 64) - 1)}L" for w in windows)
@@ -101,8 +120,8 @@ def links(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
     roots = components(near, "simhash-window-roots")
     known = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
-    band = _band_masks(max_bits + 2)
-    grids = [band[i] | band[j] for i in range(len(band)) for j in range(i)]
+    bands = bands or untouched_bands(nodes.count(), max_bits)
+    grids = [reduce(or_, chosen) for chosen in combinations(_band_masks(max_bits + bands), bands)]
     cells = known.withColumn("code", popcounts("fp")).select(
         "fp", "root", "code", F.posexplode(F.expr(f"transform(array({', '.join(f'{_signed(g)}L' for g in grids)}), m -> code & m)")).alias("grid", "cell")
     )
