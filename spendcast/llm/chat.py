@@ -19,6 +19,7 @@ null turn comes before all others; identical rows count once, rows that repeat
 a turn with other text are turns that follow each other; conversations of blank
 lines only have no turns; an empty table gives an empty result, as does a model
 fitted on nothing, whose states are all alike. Texts of any length are whole.
+Further columns of any name are not read.
 """
 
 from __future__ import annotations

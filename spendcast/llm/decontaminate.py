@@ -16,7 +16,9 @@ shingle length are one shingle of all their words.
 Defined results: null texts count as empty and match nothing, as do items
 without words; rows that repeat id and text give one result; a row without an
 id takes part like any other; repeated items each give their result; empty
-tables give an empty result. Texts and items of any length are read whole.
+tables give an empty result. Texts and items of any length are read whole. Only
+ids and texts are read; where documents are dropped, the others keep all columns,
+whatever their names.
 Of several equally similar places of an item in a document the first counts.
 """
 

@@ -13,7 +13,8 @@ or what follows the last one, is one document that is marked as not ended; an
 empty file has no documents; a file that holds part of an id is an error. In
 writing, a null text is an empty document, repeated rows and rows without an id
 are documents like any other, and an empty table gives no files. Documents of
-any length may span any number of blocks.
+any length may span any number of blocks. Only doc_id and text are read, so
+further columns of any name change nothing.
 """
 
 from __future__ import annotations

@@ -13,6 +13,7 @@ of all its words, one without words a signature of its characters, an empty one
 none. Two empty sets are alike (1.0), an empty and another are not (0.0). Rows
 without an id count as having the smallest id of all; rows that repeat an id
 are ordered by text, the larger first; an empty table gives an empty result.
+Only doc_id and text are read, so further columns of any name change nothing.
 Texts of any length are read whole.
 """
 
@@ -74,8 +75,14 @@ def signatures(df: DataFrame, text: str, out: str, *, chain: int = 2) -> DataFra
 
 
 def fingerprint(signature_set: str) -> Column:
-    """A digest of a sorted set of signatures; equal sets have equal digests."""
-    return F.md5(F.array_join(F.col(signature_set).cast("array<string>"), ","))
+    """The sorted set of signatures as text, 16 hexadecimal digits each: equal sets have equal fingerprints, and their likeness follows from them."""
+    return F.array_join(F.transform(F.col(signature_set), lambda s: F.lpad(F.lower(F.hex(s)), 16, "0")), "")
+
+
+def fingerprint_likeness(a: str, b: str) -> float:
+    """The Jaccard similarity of the sets that two fingerprints hold."""
+    x, y = ({f[i : i + 16] for i in range(0, len(f), 16)} for f in (a, b))
+    return len(x & y) / len(x | y) if x or y else 1.0
 
 
 def likeness(a: str, b: str, at_least: float = 0.0) -> Column:
@@ -89,26 +96,26 @@ def likeness(a: str, b: str, at_least: float = 0.0) -> Column:
 
 
 def near_pairs(documents: DataFrame, *, min_likeness: float = 0.8, chain: int = 2) -> tuple[DataFrame, DataFrame]:
-    """Pairs of classes (a, b, likeness) that reach ``min_likeness``, and membership (doc_id, class).
+    """Pairs of classes (a, b, likeness, a_set, b_set) that reach ``min_likeness``, and membership (doc_id, class, set).
 
-    A class holds the documents with one fingerprint and is named by its
-    smallest id, so a group of copies is one class and not all its pairs. Sets
+    A class holds the documents with one set of signatures, so a group of copies
+    is one class and not all its pairs. Its key is a digest of the set; it is also
+    named by its smallest id, which another class can share where rows repeat an
+    id. Rows without an id are left out. Sets
     are put into bands of sizes that grow by 1 / min_likeness: partners lie in
     one band or in two adjacent ones. A partner shares one of the first
     ``n - ceil(min_likeness * n) + 1`` signatures of the sorted set.
     """
     sets = documents.where("doc_id is not null").select("doc_id", whole_text().alias("sig_whole"))
-    signed = signatures(sets, "sig_whole", "sigs", chain=chain).withColumn("fingerprint", fingerprint("sigs"))
+    signed = signatures(sets, "sig_whole", "sigs", chain=chain).withColumn("set", F.md5(fingerprint("sigs")))
     signed = stored(signed, "spotsigs")
-    named = signed.groupBy("fingerprint").agg(F.min("doc_id").alias("class"))
-    members = signed.select("doc_id", "fingerprint").join(named, "fingerprint").select("doc_id", "class").distinct()
-    first = stored(
-        signed.join(named, "fingerprint").where("doc_id = class and size(sigs) > 0").dropDuplicates(["class"]).select("class", "sigs"),
-        "spotsigs-classes",
-    )
+    named = signed.groupBy("set").agg(F.min("doc_id").alias("class"))
+    members = signed.select("doc_id", "set").join(named, "set").select("doc_id", "class", "set").distinct()
+    own = signed.where("size(sigs) > 0").join(named.withColumnRenamed("class", "doc_id"), ["doc_id", "set"], "left_semi")
+    first = stored(own.dropDuplicates(["set"]).select(F.col("doc_id").alias("class"), "set", "sigs"), "spotsigs-classes")
     grow = -math.log(min_likeness) if min_likeness < 1 else 1.0
     banded = first.select(
-        "class",
+        "set",
         F.size("sigs").alias("n"),
         F.floor(F.log(F.size("sigs").cast("double")) / F.lit(grow)).alias("band"),
         F.expr(f"explode(slice(sigs, 1, size(sigs) - cast(ceil({min_likeness} * size(sigs) - 1e-9) as int) + 1))").alias("sig"),
@@ -119,20 +126,24 @@ def near_pairs(documents: DataFrame, *, min_likeness: float = 0.8, chain: int =
         asking.join(
             banded.alias("y"),
             F.expr(
-                "x.sig = y.sig and x.to = y.band and (y.n < x.n or (y.n = x.n and y.class < x.class))"
+                "x.sig = y.sig and x.to = y.band and (y.n < x.n or (y.n = x.n and y.set < x.set))"
                 f" and y.n >= {min_likeness} * x.n - 1e-9"
             ),
         )
-        .select(F.col("x.class").alias("c"), F.col("y.class").alias("d"))
+        .select(F.col("x.set").alias("c"), F.col("y.set").alias("d"))
         .distinct()
     )
     compared = (
-        found.join(first.select(F.col("class").alias("c"), F.col("sigs").alias("s")), "c")
-        .join(first.select(F.col("class").alias("d"), F.col("sigs").alias("t")), "d")
+        found.join(first.select(F.col("set").alias("c"), F.col("class").alias("i"), F.col("sigs").alias("s")), "c")
+        .join(first.select(F.col("set").alias("d"), F.col("class").alias("j"), F.col("sigs").alias("t")), "d")
         .withColumn("likeness", likeness("s", "t", min_likeness))
         .where(F.col("likeness") >= min_likeness)
     )
-    return compared.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), "likeness"), members
+    # The class with the smaller id (then key) stands first.
+    ends = [F.struct(F.col(i).alias("id"), F.col(s).alias("set")) for i, s in (("i", "c"), ("j", "d"))]
+    placed = compared.select(F.least(*ends).alias("low"), F.greatest(*ends).alias("high"), "likeness")
+    columns = [F.col("low.id").alias("a"), F.col("high.id").alias("b"), "likeness", F.col("low.set").alias("a_set"), F.col("high.set").alias("b_set")]
+    return placed.select(*columns), members
 
 
 def _with_next(documents: DataFrame, parts: int) -> DataFrame:

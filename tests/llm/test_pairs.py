@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -85,8 +86,21 @@ def test_manhattan_distance_of_popcounts_is_a_lower_bound(spark):
         assert r["l1"] == l1 <= (x ^ y).bit_count()
 
 
-@pytest.mark.parametrize("max_bits", [1, 3, 4, 7])
-def test_links_connect_all_pairs_within_the_distance(spark, max_bits):
+def test_cells_get_finer_as_fingerprints_get_more():
+    def tested(count):
+        """Pairs that meet in cells for each of so many random fingerprints."""
+        r = simhash.untouched_bands(count, 4)
+        return math.comb(4 + r, r) * count / 2 ** (1.5 * 32 * r / (4 + r))
+
+    chosen = [simhash.untouched_bands(10**k, 4) for k in range(3, 13)]
+    assert chosen == sorted(chosen) and chosen[0] == 2 and chosen[-1] > 6
+    # Cells of two bands would test some 10^8 pairs for each of 10^12 fingerprints.
+    assert all(tested(10**k) < 30_000 for k in range(3, 13))
+    assert all(tested(10**k) < 30 for k in range(3, 7))
+
+
+@pytest.mark.parametrize(("max_bits", "bands"), [(1, None), (3, None), (4, None), (7, None), (4, 3), (4, 5), (2, 8)])
+def test_links_connect_all_pairs_within_the_distance(spark, max_bits, bands):
     rng = np.random.default_rng(max_bits)
     seeds = rng.integers(-(2**62), 2**62, 20)
     values = {int(s) for s in seeds}
@@ -96,7 +110,7 @@ def test_links_connect_all_pairs_within_the_distance(spark, max_bits):
             v ^= 1 << int(bit)
         values.add(v)
     values = sorted(values)
-    links = simhash.links(spark.createDataFrame([(v,) for v in values], "fp long"), max_bits).collect()
+    links = simhash.links(spark.createDataFrame([(v,) for v in values], "fp long"), max_bits, bands).collect()
     near = [(x, y) for x in values for y in values if x < y and ((x ^ y) & (1 << 64) - 1).bit_count() <= max_bits]
     assert all(((r["a"] ^ r["b"]) & (1 << 64) - 1).bit_count() <= max_bits for r in links)
     assert groups([(r["a"], r["b"]) for r in links], values) == groups(near, values)
@@ -177,6 +191,8 @@ def test_spotsigs_equal_brute_force(spark):
         assert r["edited_sha256"] == hashlib.sha256(new.encode()).hexdigest()
         assert r["near_edited"] == pytest.approx(jaccard(sets[i], signatures(new)))
         assert r["near_next"] == pytest.approx(jaccard(sets[i], sets[i - 1]))
+        assert spotsigs.fingerprint_likeness(r["fingerprint"], r["edited_fingerprint"]) == pytest.approx(r["near_edited"])
+        assert spotsigs.fingerprint_likeness(r["fingerprint"], found[(i - 1) % len(texts)]["fingerprint"]) == pytest.approx(r["near_next"])
         for j in range(i):
             assert (r["fingerprint"] == found[j]["fingerprint"]) == (sets[i] == sets[j])
 
@@ -192,6 +208,12 @@ def test_spotsigs_edges(spark):
 
 
 def test_spotsig_pairs_equal_brute_force(spark):
+    one_id = [(1, BASE[0]), (1, BASE[1]), (5, BASE[1]), (7, BASE[0]), (None, BASE[1])]
+    pairs, members = spotsigs.near_pairs(documents(spark, one_id))
+    assert pairs.count() == 0
+    found = {(r["doc_id"], r["class"], r["set"]) for r in members.collect()}
+    assert {(i, c) for i, c, _ in found} == {(1, 1), (5, 1), (7, 1)}
+    assert len(found) == 4 and len({s for _, _, s in found}) == 2
     texts = BASE + NEAR + [BASE[3], BASE[3]] + ["", "one"]
     pairs, members = spotsigs.near_pairs(documents(spark, texts), min_likeness=0.8)
     sets = [frozenset(signatures(t)) for t in texts]
