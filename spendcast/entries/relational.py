@@ -20,11 +20,13 @@ from spendcast.entries.common import (
 )
 from spendcast.functions.scalars import fixed_decimals, month_name, percent_change
 from spendcast.operators.reshape import (
+    RECODE_BROADCAST_ROWS,
     flag_equal,
     last_by_order,
     order_index,
     pivot_wide,
     recode,
+    recode_by_table,
     sort_by_list,
     unpivot_long,
 )
@@ -204,6 +206,33 @@ def array_of_columns(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _named_lines(spark: SparkSession, folder: str, broadcast_rows: int) -> DataFrame:
+    parts = table(spark, folder, "part").select(F.concat(F.lit("P"), "p_partkey").alias("CODE"), F.col("p_name").alias("LABEL"))
+    suppliers = table(spark, folder, "supplier").select(F.concat(F.lit("S"), "s_suppkey").alias("CODE"), F.col("s_name").alias("LABEL"))
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.concat(F.lit("P"), "l_partkey").alias("PART"),
+        F.concat(F.lit("S"), "l_suppkey").alias("SUPPLIER"),
+    )
+    return recode_by_table(lines, parts.unionByName(suppliers), ["PART", "SUPPLIER"], broadcast_rows=broadcast_rows)
+
+
+def recode_by_small_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of part and supplier for every line, by one map that is small enough for every task."""
+    return _named_lines(spark, folder, RECODE_BROADCAST_ROWS)
+
+
+def recode_by_large_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by joins, as for a map of any size."""
+    return _named_lines(spark, folder, 0)
+
+
+_NAMED_SQL = (
+    "SELECT l_orderkey, l_linenumber, coalesce(p_name, 'P' || l_partkey) AS PART, coalesce(s_name, 'S' || l_suppkey) AS SUPPLIER "
+    "FROM lineitem LEFT JOIN part ON p_partkey = l_partkey LEFT JOIN supplier ON s_suppkey = l_suppkey"
+)
+
 ENTRIES = {
     "scan_project": Entry(
         scan_project,
@@ -227,6 +256,8 @@ ENTRIES = {
         f"SELECT * FROM ({_CUSTOMER_YEARS_SQL}) WHERE o_custkey IS NOT NULL AND YEAR IS NOT NULL AND "
         + " AND ".join(f"{c} IS NOT NULL" for c in ORDER_CHANNELS.values()),
     ),
+    "recode_by_table": Entry(recode_by_small_table, _NAMED_SQL),
+    "recode_by_join": Entry(recode_by_large_table, _NAMED_SQL),
     "recode_values": Entry(
         recode_values,
         "SELECT c_custkey, CASE c_mktsegment "

@@ -14,6 +14,7 @@ from spendcast.operators.reshape import (
     order_index,
     pivot_wide,
     recode,
+    recode_by_table,
     sort_by_list,
     unpivot_long,
 )
@@ -162,3 +163,50 @@ def test_one_hot_month_and_channel(spark):
         totals[key][channel] = (totals[key][channel] or 0) + i % 97
     expected = sorted(((*k, *[None if v[c] is None else Decimal(v[c]) for c in four]) for k, v in totals.items()), key=repr)
     assert rows(spend_per_month_wide(hot)) == expected
+
+
+CODES = [("a", "Alpha"), ("b", "Beta"), ("c", None), (None, "never"), ("z", "Zed")]
+
+
+def coded(spark):
+    values = ["a"] * 400 + ["b", "c", "x", None, "Alpha"] * 20
+    return spark.createDataFrame(
+        [(n, v, values[-1 - n], "kept") for n, v in enumerate(values)], "n int, CODE string, second string, `new_CODE` string"
+    )
+
+
+@pytest.mark.parametrize("broadcast_rows", [100, 0])
+def test_recode_by_table(spark, broadcast_rows):
+    df = coded(spark).repartition(5)
+    mapping = spark.createDataFrame(CODES, "CODE string, LABEL string")
+    found = recode_by_table(df, mapping, ["CODE", "second"], broadcast_rows=broadcast_rows)
+    assert found.columns == df.columns
+    labels = {c: v for c, v in CODES if c is not None}
+    want = [(r["n"], labels.get(r["CODE"], r["CODE"]), labels.get(r["second"], r["second"]), "kept") for r in df.collect()]
+    assert rows(found) == sorted(want, key=repr)
+    assert recode_by_table(df.limit(0), mapping, ["CODE"], broadcast_rows=broadcast_rows).count() == 0
+    empty = recode_by_table(df, mapping.limit(0), ["CODE"], broadcast_rows=broadcast_rows)
+    assert rows(empty) == rows(df)
+
+
+def test_recode_by_table_refuses_a_code_with_two_labels(spark):
+    mapping = spark.createDataFrame([("a", "x"), ("a", "y")], "c string, l string")
+    with pytest.raises(ValueError, match="several labels for a"):
+        recode_by_table(coded(spark), mapping, ["CODE"], code="c", label="l")
+
+
+def test_a_hot_code_is_dealt_over_tasks(spark):
+    """Three quarters of the rows share a code or have none; no partition of the join takes more than its share."""
+    df = spark.range(8000).select("id", F.when(F.col("id") % 4 < 2, "hot").when(F.col("id") % 4 == 3, F.concat(F.lit("c"), "id")).alias("CODE"))
+    mapping = spark.createDataFrame([("hot", "Hot"), ("c3", "three")], "CODE string, LABEL string")
+    found = recode_by_table(df, mapping, ["CODE"], broadcast_rows=0)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = recode_by_table(df, mapping, ["CODE"], broadcast_rows=0)
+        sizes = plan.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 2 * 8000 / 8
+        broadcast = recode_by_table(df, mapping, ["CODE"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert found.groupBy("CODE").count().filter("CODE in ('Hot', 'three')").orderBy("CODE").collect() == [("Hot", 4000), ("three", 1)]
+    assert "Exchange hashpartitioning" not in broadcast
