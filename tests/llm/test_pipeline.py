@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as driver
 import corpus_pipeline
 from spendcast.llm import queries
-from tests.llm.helpers import documents, prose
+from tests.llm.helpers import documents, edited, prose
+from tests.llm.test_pairs import ITEMS, contaminated, one_of_each_group
+from tests.llm.test_texts import TIKTOKEN, deduped
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 PER_DOCUMENT = ["op1_token_counts", "op2_toxicity", "op4_line_dedup", "op5_suffix_dedup", "op7_simhash", "op8_byte_bpe", "op10_spotsigs", "op12_merkle_manifest", "op13_prefix_tree"]
@@ -58,3 +62,34 @@ def test_stages_take_odd_rows(spark, name, stage):
             assert found.columns == df.columns
         ids = {r["doc_id"] for r in found.select("doc_id").collect()}
         assert docs is not df or ids >= set(range(20))
+
+
+def test_the_whole_pipeline_equals_brute_force(spark, tmp_path):
+    """Labels of one class reject nothing; every other stage is worked out row by row."""
+    base = [prose(i, 90 + i, 10**5) for i in range(14)]
+    header, footer = "all rights\nare reserved", prose(800, 55, 10**5)
+    texts = base + [edited(base[i % 7], 40 + i, 1) for i in range(10)] + base[:4]
+    texts += [f"{header}\n{prose(300 + i, 70, 10**5)}\n{footer}" for i in range(8)]
+    texts += [f"{prose(400 + i, 40, 10**5)} {ITEMS[i][1]} {prose(500 + i, 40, 10**5)}" for i in range(6)]
+    texts += ["", None, "one", "one", "é ü 日本語 don't 12345\t  x", base[2] + "\n" + base[2], prose(900, 3000, 10**5), header]
+    assert len(texts) == 50
+    frames = {
+        "documents": documents(spark, texts),
+        "labels": spark.createDataFrame([(i, 1, 0) for i in range(50)], "doc_id long, quality int, toxic int"),
+        "benchmark": spark.createDataFrame([(i, t) for i, t in ITEMS], "item_id long, text string"),
+    }
+    for name, frame in frames.items():
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+
+    kept = list(enumerate(deduped(texts)))
+    kept = one_of_each_group(kept)
+    dirty = {n for n, _ in contaminated([t for _, t in kept], ITEMS)}
+    want = {}
+    for n, (i, text) in enumerate(kept):
+        if n not in dirty:
+            ids = TIKTOKEN.encode_ordinary(text)
+            want[i] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+    assert 20 < len(want) < 42
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in found} == want
+    assert len(found) == len(want)

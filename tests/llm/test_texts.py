@@ -62,6 +62,37 @@ def test_toxicity_on_held_out_rows(spark):
     assert len(ids & {i for i in range(len(texts)) if i % 4}) > 0.95 * 180
 
 
+def plain_features(text, words, stems):
+    """The twelve features in the order of their names, counted word by word."""
+    read = text.lower().translate(str.maketrans(*toxicity.LOOKALIKES))
+    found = regex.split(r"[^\p{L}]+", read)
+    count = max(sum(w != "" for w in found), 1)
+    fixed = sum(w in toxicity.INSULTS for w in found)
+    second = sum(w in toxicity.SECOND_PERSON for w in found)
+    hits = [i for i, w in enumerate(found) if w in toxicity.INSULTS or w in words or any(w[:n] in stems[n] for n in stems)]
+    # Seven words that begin three before the hit, or with the first word.
+    near = sum(any(v in toxicity.SECOND_PERSON for v in found[max(i - 3, 0) :][:7]) for i in hits)
+    chars = max(len(text), 1)
+    of = [len(regex.findall(p, text)) for p in (r"\p{Lu}", r"\p{Lu}{3,}", r"\p{P}", r"\p{L}[0-9@$*]+\p{L}", r"(\p{L})\1{2,}")]
+    return [
+        fixed / count, len(hits) / count, len(hits), second / count, near / count, of[0] / chars, of[1] / count,
+        of[2] / chars, text.count("!") / chars, of[3] / count, of[4] / count, np.log1p(sum(w != "" for w in found)),
+    ]
+
+
+def test_features_equal_brute_force(spark):
+    rnd = random.Random(11)
+    pieces = ["you", "tu", "vous", "idiot", "1d10t", "ZORGLE", "zorgleos", "HEING,!!", "THE!!", "sh1t", "sooo", "l0ser,", "word", "Größe", "été", "a-b", "x2y", "$tupid"]
+    texts = ["", " ", "!!!", "idiot you", "you a b c d e idiot", "idiot a b c d you", "x" * 50_000, "ÀÉÎ ÕÜÇ aaa bbbB"]
+    texts += [" ".join(rnd.choice(pieces) for _ in range(rnd.randrange(1, 40))) for _ in range(150)]
+    words, stems = ("blorpen", "word"), {4: ("zorg",), 5: (), 6: ("größen",)}
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, tox_text string")
+    rows = {r["n"]: r for r in toxicity._features(df, words, stems).collect()}
+    for n, text in enumerate(texts):
+        found = [rows[n][f"tox_{name}"] for name in toxicity.FEATURES]
+        assert found == pytest.approx(plain_features(text, words, stems)), text[:80]
+
+
 def test_held_out_rows_have_no_part_in_the_fit(spark):
     texts, labels = labelled(spark, 60)
     df = documents(spark, texts)
