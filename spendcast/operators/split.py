@@ -51,9 +51,10 @@ def with_split(
     return df.withColumns(columns)
 
 
-_STEP = 4  # hexadecimal digits told apart by one pass: 65,536 counts at most for each open prefix
+_STEP = 3  # hexadecimal digits told apart by one pass: 4,096 counts at most for each open prefix
 _DIGITS = 32
 _ABOVE = "g"  # greater than any hexadecimal digit
+_PASSED = "split_cuts_passed"
 
 
 def rank_cuts(digests: DataFrame, ranks_of: Callable[[int], Sequence[int]]) -> tuple[int, list[str]]:
@@ -69,9 +70,9 @@ def rank_cuts(digests: DataFrame, ranks_of: Callable[[int], Sequence[int]]) -> t
     below: dict[str, int] = {"": 0}
     rows, length = digests, 0
     while total is None or waiting:
-        length += _STEP
         if waiting:
-            rows = digests.filter(F.substring("digest", 1, length - _STEP).isin(sorted(waiting)))
+            rows = digests.filter(F.substring("digest", 1, length).isin(sorted(waiting)))
+        length = min(length + _STEP, _DIGITS)
         counted = rows.groupBy(F.substring("digest", 1, length).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
         counts = sorted((r["prefix"], r["n"]) for r in counted.collect())
         if total is None:
@@ -119,10 +120,11 @@ def exact_split(
         size, larger = divmod(total - test, folds) if folds else (0, 0)
         return [test, *(test + f * size + min(f, larger) for f in range(1, folds))]
 
-    _, (test, *starts) = rank_cuts(df.select(digest.alias("digest")), ranks_of)
-    is_test = digest < F.lit(test)
-    columns = {"IS_TEST": is_test}
+    _, cuts = rank_cuts(df.select(digest.alias("digest")), ranks_of)
+    # How many cuts a row has passed, as one sum, so that its digest is worked out once: none on the test side.
+    passed = sum(((digest >= F.lit(c)).cast("int") for c in cuts[1:]), (digest >= F.lit(cuts[0])).cast("int"))
+    placed = df.withColumn(_PASSED, passed)
+    columns = {"IS_TEST": F.col(_PASSED) == 0}
     if folds:
-        fold = sum(((digest >= F.lit(c)).cast("int") for c in starts), F.lit(0))
-        columns["FOLD"] = F.when(~is_test, fold)
-    return df.withColumns(columns)
+        columns["FOLD"] = F.when(F.col(_PASSED) > 0, F.col(_PASSED) - 1)
+    return placed.withColumns(columns).drop(_PASSED)
