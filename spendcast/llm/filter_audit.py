@@ -195,9 +195,11 @@ def document_verdicts(documents: DataFrame, labels: DataFrame) -> DataFrame:
         )
     )
     judged = stored(judged, "filter-texts")  # what follows carries no text
+    # Written, so that both sides of the join are plain shuffles, which adaptive execution splits where a text is common.
     copies = judged.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    copies = stored(copies.select("key", "first"), "filter-copies")
     marks = labels.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    joined = judged.join(copies.select("key", "first"), "key", "left").join(marks, "doc_id", "left")
+    joined = judged.join(copies, "key", "left").join(marks, "doc_id", "left")
     return joined.select(
         "part",
         *"ABCD",
