@@ -224,6 +224,7 @@ def _clusters(lists: DataFrame, percent: int) -> DataFrame:
     rarest = F.slice("grams", F.size("grams") - count + 1, count)
     entries = stored(lists.where(count > 0).select("row", F.explode(rarest).alias("g")), "ngram-prefixes")
     leads = entries.groupBy("g").agg(F.min("row").alias("lead"), F.max("row").alias("last")).where("lead <> last")
+    leads = stored(leads, "ngram-leads")  # as a plain shuffle its join is split where an n-gram is common
     edges = entries.join(leads, "g").where("row <> lead").select(F.col("row").alias("a"), F.col("lead").alias("b"))
     return components(edges, "ngram-clusters")
 
