@@ -26,8 +26,8 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     now = stored(_clean(edges), purpose)
     state = _state(now)
     while state[0]:
-        now = _dealt(now, state[0])
-        now = stored(_star(_star(now, large=True), large=False), purpose)
+        now, many = _dealt(now, state[0]), state[0] > EDGES_PER_TASK
+        now = stored(_star(_star(now, large=True, many=many), large=False, many=many), purpose)
         release(now.sparkSession)
         if (found := _state(_dealt(now, state[0]))) == state:
             break
@@ -55,10 +55,16 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def _star(edges: DataFrame, *, large: bool) -> DataFrame:
-    """Link the neighbours of every node (the larger ones, or the others) to the smallest of them all."""
+def _star(edges: DataFrame, *, large: bool, many: bool) -> DataFrame:
+    """Link the neighbours of every node (the larger ones, or the others) to the smallest of them all.
+
+    With ``many`` edges the smallest ones are written: the join is then one of two
+    plain shuffles, which adaptive execution splits where a node has very many edges.
+    """
     around = _both(edges, ("a", "b"), ("b", "a")) if large else edges
     least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    if many:
+        least = stored(least, "components-least")
     linked = around.join(least.hint("merge"), "a")
     if large:
         return _clean(_both(linked.where("b > a"), ("b", "m")))

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from spendcast.llm import decontaminate, simhash, spotsigs
+from spendcast.llm import decontaminate, graph, simhash, spotsigs
 from spendcast.llm.graph import components
 from tests.helpers import final_plan
 from tests.llm.helpers import documents, edited, prose
@@ -45,7 +45,9 @@ def groups(edges, nodes):
     return {n: find(n) for n in nodes}
 
 
-def test_components_of_chains_stars_and_rings(spark):
+@pytest.mark.parametrize("edges_per_task", [10, 1 << 18])
+def test_components_of_chains_stars_and_rings(spark, monkeypatch, edges_per_task):
+    monkeypatch.setattr(graph, "EDGES_PER_TASK", edges_per_task)
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(7, 1000 + i) for i in range(200)]
     ring = [(50, 51), (51, 52), (52, 50), (60, 60)]
