@@ -261,7 +261,7 @@ def near_texts():
     return texts + [None, "", " \t ", "One", "one", "one two THREE", "one two three", "a b c d", "w " * 300, "W " * 9, base[3], base[3].upper(), "y" * 100_000]
 
 
-@pytest.mark.parametrize("settings_", [{}, {"block_rows": 4, "shared_rows": 1}, {"block_rows": 7, "shared_rows": 3, "slices": 1}, {"block_grams": 500, "slices": 2}])
+@pytest.mark.parametrize("settings_", [{}, {"block_rows": 4, "shared_rows": 1, "slices": 1}, {"block_grams": 500, "slices": 2}])
 def test_groups_equal_brute_force(spark, settings_):
     rows = list(enumerate(near_texts()))
     rows += [(5, prose(3, 57, 5000)), (5, rows[5][1]), (5, rows[5][1]), (None, rows[6][1]), (None, "only this one has no id"), (3, "")]
