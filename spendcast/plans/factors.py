@@ -70,6 +70,9 @@ def factors(rows: DataFrame, polynomial: Polynomial, mean: float, spread: float,
     centers, scales = np.array(polynomial.centers), np.array(polynomial.scales)
     width = len(exponents) + 2
 
+    def triangle(stacked: np.ndarray) -> np.ndarray:  # a function of its own, as workers may lack this package
+        return np.linalg.qr(stacked, mode="r")
+
     def design(batch: pa.RecordBatch) -> np.ndarray:
         numbers = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(2, batch.num_columns)]
         inputs = (np.column_stack(numbers[:-1]) - centers) / scales
@@ -106,13 +109,13 @@ def factors(rows: DataFrame, polynomial: Polynomial, mean: float, spread: float,
                 name = (value == -1, None if value < 0 else int(value))
                 mine = table[key == value]
                 before = found.get(name)
-                found[name] = _triangle(mine if before is None else np.vstack([before, mine]))
+                found[name] = triangle(mine if before is None else np.vstack([before, mine]))
         yield frame(found, TaskContext.get().partitionId())
 
     def merge(key: tuple, group: pa.Table) -> pa.Table:
         stacked = np.vstack([np.asarray(f).reshape(-1, width) for f in group["factor"].to_pylist()])
         name = (key[0].as_py(), key[1].as_py())
-        return pa.Table.from_batches([frame({name: _triangle(stacked)}, key[2].as_py())])
+        return pa.Table.from_batches([frame({name: triangle(stacked)}, key[2].as_py())])
 
     numbers = [F.col(c).cast("double") for c in (*polynomial.features, label)]
     made = rows.select("IS_TEST", "FOLD", *numbers).mapInArrow(fold, _FACTOR)
