@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendcast.functions.scoring import score
+from spendcast.operators import split
 from spendcast.operators.split import exact_split, key_digest, rank_cuts, with_split
 from spendcast.plans import training as tr
 from spendcast.schemas import FEATURES, TRAIN_REPORT
@@ -93,6 +94,40 @@ def test_cuts_refine_shared_prefixes_and_keep_ties_together(spark):
     assert below == [0, 30, 30, 37, 80, 120, 120]  # a cut inside equal digests moves behind them
 
 
+def _digests(spark):
+    shared = "ab" * 14
+    digests = [f"{shared}{n:04x}" for n in range(50)] + ["0" * 32] * 30 + ["f" * 32] * 40 + [f"{shared[:9]}{n:023x}" for n in range(30)]
+    return digests, spark.createDataFrame([(d,) for d in digests], "digest string").repartition(4)
+
+
+@pytest.mark.parametrize("few", [0, 4, 60, 1 << 16])
+def test_cuts_are_the_same_whenever_whole_digests_are_counted(spark, monkeypatch, few):
+    monkeypatch.setattr(split, "_FEW", few)
+    digests, df = _digests(spark)
+    wanted = [0, 10, 30, 37, 75, 100, 120, 149, 150]
+    total, cuts = rank_cuts(df, lambda n: wanted)
+    assert total == 150
+    ranked = sorted(digests)
+    for rank, cut in zip(wanted, cuts):
+        below = sum(d < cut for d in digests)
+        assert below >= rank and ranked[below - 1 : below] != ranked[below : below + 1]
+        assert below == rank or len(set(ranked[rank - 1 : below])) == 1
+
+
+def test_repeated_keys_take_no_more_passes(spark):
+    """Every key three times: most cuts fall into rows of one digest."""
+    df = spark.range(3000).select((F.col("id") % 1000).alias("id"))
+    context = spark.sparkContext
+    context.setJobGroup("repeated", "repeated")
+    marked = exact_split(df, ["id"], folds=10)
+    jobs = context.statusTracker().getJobIdsForGroup("repeated")
+    context.setJobGroup("", "")
+    assert len(jobs) <= 4  # two passes, each a scan and a small sum
+    sides = marked.groupBy("id").agg(F.count_distinct("IS_TEST", F.coalesce("FOLD", F.lit(-1))).alias("n"))
+    assert sides.where("n <> 1").count() == 0
+    assert marked.where("IS_TEST").count() == 600
+
+
 def test_ten_folds_on_two_years(spark):
     x, y = months(noise=1e4)
     result = tr.train_revenue_model(frame(spark, x[:24], y[:24]), folds=10, degree=1)
