@@ -36,7 +36,8 @@ def test_one_row_for_each_document(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{FOLDER}/documents.parquet')")
+    for table in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
     found = queries.QUERIES[name](spark, FOLDER)
     expected = con.execute(queries.ORACLE_SQL[name])
     names = [d[0] for d in expected.description]
