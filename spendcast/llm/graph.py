@@ -58,14 +58,20 @@ def _state(edges: DataFrame) -> tuple:
 def _star(edges: DataFrame, *, large: bool, many: bool) -> DataFrame:
     """Link the neighbours of every node (the larger ones, or the others) to the smallest of them all.
 
+    No larger neighbour is the smallest of them, so edges that lead from the larger
+    to the smaller node settle it as they are. An edge makes one edge: with ``large``
+    its larger end goes to the smallest around the other one, else its smaller end to
+    the smallest around the larger one, or the larger end where it is that one itself.
+
     With ``many`` edges the smallest ones are written: the join is then one of two
     plain shuffles, which adaptive execution splits where a node has very many edges.
     """
-    around = _both(edges, ("a", "b"), ("b", "a")) if large else edges
-    least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "node")
     if many:
         least = stored(least, "components-least")
-    linked = around.join(least.hint("merge"), "a")
+    least = least.hint("merge")
     if large:
-        return _clean(_both(linked.where("b > a"), ("b", "m")))
-    return _clean(_both(linked, ("b", "m"), ("a", "m")))
+        linked = edges.join(least, F.col("b") == F.col("node"), "left")
+        return linked.select("a", F.coalesce("m", "b").alias("b")).distinct()
+    linked = edges.join(least, F.col("a") == F.col("node"))
+    return linked.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).distinct()

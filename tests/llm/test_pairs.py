@@ -58,6 +58,25 @@ def test_components_of_chains_stars_and_rings(spark, monkeypatch, edges_per_task
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("many", [False, True])
+def test_a_star_step_makes_one_edge_of_an_edge(spark, many):
+    """By the definition of the two steps, and without rows in between that outnumber the edges."""
+    rng = np.random.default_rng(4)
+    edges = {(int(max(e)), int(min(e))) for e in rng.integers(0, 60, (150, 2)) if e[0] != e[1]} | {(i, 5) for i in range(60, 200)}
+    around = {}
+    for a, b in edges:
+        around.setdefault(a, set()).add(b)
+        around.setdefault(b, set()).add(a)
+    large = {(n, min(u, *around[u])) for u in around for n in around[u] if n > u}
+    small = {(n, min(ns)) for u in around if (ns := [n for n in around[u] if n < u]) for n in (*ns, u) if n != min(ns)}
+    df = spark.createDataFrame(sorted(edges), "a long, b long")
+    for step, want in ((graph._star(df, large=True, many=many), large), (graph._star(df, large=False, many=many), small)):
+        found = step.collect()
+        assert {tuple(r) for r in found} == want
+        assert len(found) == len(want) <= len(edges)
+        assert "Generate" not in final_plan(step)
+
+
 def test_simhash_equals_brute_force(spark):
     texts = BASE + NEAR + ODD
     found = simhash.near_duplicates(documents(spark, [*texts, (None, BASE[1]), (None, "only here, no id")], "clash"))
